@@ -43,6 +43,7 @@ def difference(df, con, sql: str) -> str | None:
     if got == want:
         return None
     types = [(c, [type(v).__name__ for v in pair]) for c, *pair in zip(got_columns, got[0], want[0], strict=True)] if got and want else []
-    only_got = [r for r in got if r not in set(want)][:2]
-    only_want = [r for r in want if r not in set(got)][:2]
+    got_set, want_set = set(got), set(want)
+    only_got = [r for r in got if r not in want_set][:2]
+    only_want = [r for r in want if r not in got_set][:2]
     return f"{len(got)} vs {len(want)} rows; only got {only_got}; only expected {only_want}; {got_columns}; {types}"
