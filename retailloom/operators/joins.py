@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,3 +63,12 @@ def orphan_counts(child: DataFrame, child_key: str, parent: DataFrame, parent_ke
     counted = keys.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     known = parent.select(F.col(parent_key).alias("k")).where(F.col("k").isNotNull()).distinct()
     return counted.join(known, "k", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("offending_rows"))
+
+
+def union_all(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union by name, pairwise, so the plan stays shallow however many parts there are."""
+    parts = list(parts)
+    while len(parts) > 1:
+        pairs = [a.unionByName(b) for a, b in zip(parts[::2], parts[1::2], strict=False)]
+        parts = pairs + (parts[-1:] if len(parts) % 2 else [])
+    return parts[0]

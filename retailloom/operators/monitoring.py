@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailloom.functions import as_timestamp, boundary_diff
+from retailloom.operators.joins import union_all
 
 AUDIT_SCHEMA = (
     "load_id string, table_name string, file_name string, actor string, pool string, status string,"
@@ -97,7 +97,7 @@ def table_profile(spark: SparkSession, tables: Callable[[str], DataFrame], names
                 broken, "table_name string, row_count long, column_count int, status string, problem string"
             )
         )
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 def sample_rows(df: DataFrame, n: int = 3) -> DataFrame:

@@ -1,8 +1,8 @@
 """Data-quality checks: declared specs in, one result row per check out.
 
-All per-column checks of a table share a single scan. Uniqueness checks of a
-table share one scan and one shuffle. Relationship checks reduce both sides to
-keys before joining. The gates raise; everything else is a lazy DataFrame.
+All per-column checks of a table share a single scan. Uniqueness checks of all
+tables share one shuffle, relationship checks one join after both sides are
+reduced to keys. The gates raise; everything else is a lazy DataFrame.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailloom.functions import as_timestamp
-from retailloom.operators.joins import orphan_counts
+from retailloom.operators.joins import union_all
 
 RESULT_SCHEMA = "check_id int, check_name string, table_name string, column_name string, severity string"
 
@@ -82,20 +82,30 @@ def _row_metrics(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
     return counted.select(F.inline(cells))
 
 
-def _key_metrics(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
-    """Number of key values occurring more than once, per check."""
-    cells = []
-    for i, check in checks:
-        if len(check.columns) == 1:
-            value = F.col(check.columns[0]).cast("string")  # a unique column ignores NULL
-        else:
-            value = F.struct(*(F.col(c).cast("string").alias(f"k{n}") for n, c in enumerate(check.columns)))
-        cells.append(F.struct(F.lit(i).alias("check_id"), value.alias("value")))
-    keyed = df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+def _keyed(df: DataFrame, checks: list[tuple[int, Column]]) -> DataFrame:
+    """One (check, value) row per checked column of every row, NULLs left out, in one scan."""
+    cells = F.array(*(F.struct(F.lit(i).alias("check_id"), value.alias("value")) for i, value in checks))
+    return df.select(F.inline(cells)).where(F.col("value").isNotNull())
+
+
+def _key_value(check: Check) -> Column:
+    texts = [F.col(c).cast("string") for c in check.columns]
+    return texts[0] if len(texts) == 1 else F.array(*texts)  # a combination counts NULL as a value
+
+
+def _duplicate_metrics(keyed: DataFrame) -> DataFrame:
+    """Values occurring more than once per check; all tables share this one shuffle."""
     counted = keyed.groupBy("check_id", "value").count()
     return counted.groupBy("check_id").agg(F.count_if(F.col("count") > 1).alias("failing_rows"))
 
 
+def _orphan_metrics(children: DataFrame, parents: DataFrame) -> DataFrame:
+    """Child rows without a parent per check; both sides are reduced to keys before the join."""
+    counted = children.groupBy("check_id", "value").agg(F.count(F.lit(1)).alias("n"))
+    orphans = counted.join(parents.distinct(), ["check_id", "value"], "left_anti")
+    return orphans.groupBy("check_id").agg(F.sum("n").alias("failing_rows"))
+
+
 def run_checks(spark: SparkSession, table: Callable[[str], DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per check: its failing rows and ``pass``, ``warn`` or ``fail``.
 
@@ -103,32 +113,29 @@ def run_checks(spark: SparkSession, table: Callable[[str], DataFrame], checks: S
     failing rows are duplicated values, for relationships child rows without a
     parent.
     """
-    by_table: dict[tuple[str, object], list[tuple[int, Check]]] = defaultdict(list)
+    rows, keys, combinations = defaultdict(list), defaultdict(list), defaultdict(list)
+    children, parents = defaultdict(list), defaultdict(list)
     for i, check in enumerate(checks):
-        group: object = "rows" if check.kind in ROW_KINDS else i
-        if check.kind in KEY_KINDS:
-            group = ("keys", len(check.columns))
-        by_table[(check.table, group)].append((i, check))
-
-    metrics = []
-    for (name, _), members in by_table.items():
-        kind = members[0][1].kind
-        if kind in ROW_KINDS:
-            metrics.append(_row_metrics(table(name), members))
-        elif kind in KEY_KINDS:
-            metrics.append(_key_metrics(table(name), members))
+        if check.kind in ROW_KINDS:
+            rows[check.table].append((i, check))
+        elif check.kind in KEY_KINDS:
+            (keys if len(check.columns) == 1 else combinations)[check.table].append((i, _key_value(check)))
         else:
-            i, check = members[0]
             parent, parent_column = check.parent
-            metrics.append(
-                orphan_counts(table(name), check.columns[0], table(parent), parent_column, nulls_are_orphans=False).select(
-                    F.lit(i).alias("check_id"), F.col("offending_rows").alias("failing_rows")
-                )
-            )
+            children[check.table].append((i, _key_value(check)))
+            parents[parent].append((i, F.col(parent_column).cast("string")))
+
+    def keyed(groups) -> DataFrame:
+        return union_all([_keyed(table(name), members) for name, members in groups.items()])
+
+    metrics = [_row_metrics(table(name), members) for name, members in rows.items()]
+    metrics += [_duplicate_metrics(keyed(groups)) for groups in (keys, combinations) if groups]
+    if children:
+        metrics.append(_orphan_metrics(keyed(children), keyed(parents)))
     specs = spark.createDataFrame(
         [(i, c.kind, c.table, ",".join(c.columns), c.severity) for i, c in enumerate(checks)], RESULT_SCHEMA
     )
-    found = reduce(DataFrame.unionByName, metrics)
+    found = union_all(metrics)
     failing = F.coalesce("failing_rows", F.lit(0)).cast("bigint")
     return specs.join(found, "check_id", "left").select(
         "check_id", "check_name", "table_name", "column_name", "severity",

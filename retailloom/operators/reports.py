@@ -3,24 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailloom.functions import as_timestamp, boundary_diff
-from retailloom.operators.joins import orphan_counts
+from retailloom.operators.joins import orphan_counts, union_all
 
 Tables = Callable[[str], DataFrame]
 
 
-def _union(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
 def last_loaded(tables: Tables, loaded_at: Mapping[str, str]) -> DataFrame:
     """Latest load time per table, reading only that one column."""
-    return _union([
+    return union_all([
         tables(name).agg(F.max(column).cast("timestamp_ntz").alias("last_loaded_at")).select(
             F.lit(name).alias("table_name"), "last_loaded_at"
         )
@@ -35,7 +30,7 @@ def freshness_report(tables: Tables, sla: Mapping[str, tuple[str, int]], as_of)
     ]
     hours = F.col("hours_since_last_load")
     return (
-        _union(latest)
+        union_all(latest)
         .withColumn("hours_since_last_load", boundary_diff("hour", F.col("last_loaded_at"), as_timestamp(as_of)))
         .withColumn(
             "freshness_status",
@@ -57,7 +52,7 @@ def source_freshness(tables: Tables, limits: Mapping[str, tuple[str, int, int]],
         latest = last_loaded(tables, {name: column})
         parts.append(latest.withColumn("warn_after", F.lit(warn)).withColumn("error_after", F.lit(error)))
     return (
-        _union(parts)
+        union_all(parts)
         .withColumn("age_seconds", F.floor(boundary_diff("millisecond", F.col("last_loaded_at"), as_timestamp(as_of)) / 1000))
         .withColumn(
             "status",
@@ -68,7 +63,7 @@ def source_freshness(tables: Tables, limits: Mapping[str, tuple[str, int, int]],
 
 def referential_integrity_report(tables: Tables, references: Sequence[tuple[str, str, str, str, str]]) -> DataFrame:
     """Orphan rows per (check, child, child key, parent, parent key); NULL keys are orphans."""
-    return _union([
+    return union_all([
         orphan_counts(tables(child), child_key, tables(parent), parent_key, nulls_are_orphans=True).select(
             F.lit(check).alias("check_name"), "offending_rows"
         )
@@ -80,7 +75,7 @@ def row_count_report(spark: SparkSession, tables: Tables, bounds: Mapping[str, t
     expected = spark.createDataFrame(
         [(name, low, high) for name, (low, high) in bounds.items()], "table_name string, min_rows long, max_rows long"
     )
-    actual = _union([
+    actual = union_all([
         tables(name).agg(F.count(F.lit(1)).alias("actual_rows")).select(F.lit(name).alias("table_name"), "actual_rows")
         for name in bounds
     ])

@@ -12,11 +12,11 @@ from retailloom.session import prepare, scratch_path
 from retailloom.sources import orders_model
 from retailloom.sources.writers import write_clustered
 
-# (clustering column, unique column that splits a crowded day) of the date-clustered facts.
+# (day column, sort column) of the date-clustered facts.
 CLUSTERING = {
-    "fact_sales": ("sale_date", "sale_id"),
-    "fact_returns": ("return_date", "return_id"),
-    "fct_sales_realtime": ("event_ts", "event_id"),
+    "fact_sales": ("sale_date", "sale_date"),
+    "fact_returns": ("return_date", "return_date"),
+    "fct_sales_realtime": ("sale_date", "event_ts"),
 }
 
 
@@ -31,6 +31,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame], root: str, as_of):
         self.spark, self.source, self.root, self.as_of = spark, source, root, as_of
         self._written: dict[str, DataFrame] = {}
+        self._views: dict[str, DataFrame] = {}
         self._paths: dict[str, str] = {}
 
     def _materialise(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -58,7 +59,9 @@ class Warehouse:
         return self._materialise(entity, lambda: orders_model.build(entity, self.source))
 
     def staged(self, view: str) -> DataFrame:
-        return staging.stage(self.raw(staging.VIEWS[view].raw), view)
+        if view not in self._views:
+            self._views[view] = staging.stage(self.raw(staging.VIEWS[view].raw), view)
+        return self._views[view]
 
     def mart(self, name: str) -> DataFrame:
         return self._materialise(name, lambda: self._build_mart(name))

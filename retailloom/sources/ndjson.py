@@ -44,12 +44,14 @@ def classify_lines(
     wire = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
 
-    parsed = lines.select(
+    # Exploding a one-element array keeps later filters above the parse, so a line is parsed once.
+    record = F.struct(
         *carry,
         F.col("value").alias(LINE),
         F.from_json("value", wire, options).alias("j"),
         F.json_object_keys("value").alias("present"),
     )
+    parsed = lines.select(F.inline(F.array(record)))
     field = {n: F.col(f"j.{n}") for n in names}
     text = {
         c.name: polymorphic_address(F.col(LINE)) if (table.name, c.name) == ("stores", "address") else resolve_wire_value(field, c)

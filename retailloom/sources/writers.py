@@ -73,13 +73,14 @@ def load_upsert(spark: SparkSession, df: DataFrame, source: str, target: str, ke
     return counted_write(merged, lambda d: d.write.mode("errorifexists").parquet(target))
 
 
-def write_clustered(df: DataFrame, target: str, cluster_by: str, spread_by: str) -> int:
-    """Full refresh laid out by ``cluster_by``, so readers skip files by its range.
+def write_clustered(df: DataFrame, target: str, day: str, sort_by: str | None = None) -> int:
+    """Full refresh laid out by ``day`` and sorted within files, so readers skip by its range.
 
-    The range partitioning also uses the unique ``spread_by``: a single day
-    holding much of the data is cut into several files instead of one task.
+    One hash shuffle and no sampling pass, which would evaluate the input
+    twice. Adaptive execution cuts a day holding much of the data into several
+    files and merges small days.
     """
-    laid_out = df.repartitionByRange(cluster_by, spread_by).sortWithinPartitions(cluster_by)
+    laid_out = df.hint("rebalance", day).sortWithinPartitions(sort_by or day)
     return counted_write(laid_out, lambda d: d.write.mode("overwrite").parquet(target))
 
 
