@@ -34,6 +34,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Small files would otherwise be packed into fewer tasks than there are cores.
+        .config("spark.sql.files.openCostInBytes", str(256 * 1024))
     )
     for key, value in {**REQUIRED_CONF, **conf}.items():
         builder = builder.config(key, value)
