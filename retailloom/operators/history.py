@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retailloom.functions import as_timestamp
 from retailloom.operators.joins import left_join
+from retailloom.session import child_names
 
 # The customer attributes kept in history, and those whose change opens a version.
 CUSTOMER_COLUMNS = [
@@ -39,6 +41,15 @@ def _kept(columns: list[str], alias: str, valid_to):
     )
 
 
+def _one_row_per_key(observed: DataFrame, key: str) -> DataFrame:
+    row = F.struct(*(c for c in observed.columns if c != key))
+    spread = observed.groupBy(key).agg(F.min(row).alias("low"), F.max(row).alias("high"))
+    conflict = F.concat(F.lit("conflicting rows for key "), F.col(key).cast("string"))
+    agreed = F.when(F.col("low").eqNullSafe(F.col("high")), F.col("high")).otherwise(F.raise_error(conflict))
+    single = spread.select(key, agreed.alias("row"))
+    return single.select(*(F.col(c) if c == key else F.col(f"row.{c}").alias(c) for c in observed.columns))
+
+
 def scd2(
     previous: DataFrame | None,
     current: DataFrame,
@@ -51,10 +62,11 @@ def scd2(
 
     A key opens a new version when any ``check`` column differs (NULL-safe).
     Unchanged versions are passed through as they were, keys missing from
-    ``current`` stay open, and closed versions skip the join altogether. The
+    ``current`` stay open, and closed versions skip the join altogether. A key
+    observed with conflicting rows fails the job; equal repeats count once. The
     result must be written to a new path, never over ``previous``.
     """
-    observed = current.select(*columns)
+    observed = _one_row_per_key(current.select(*columns), key)
     if previous is None:
         return observed.alias("new").select(F.inline(F.array(_opened(key, columns, "new", as_of))))
 
@@ -75,6 +87,50 @@ def scd2(
     return closed.select(*columns, *META_COLUMNS).unionByName(refreshed)
 
 
+def record_snapshot(spark: SparkSession, root: str, current: DataFrame, as_of, **options) -> None:
+    """Observe ``current`` at ``as_of`` and store the outcome below ``root``.
+
+    Layout: ``root/run=<time>/closed=<bool>``. A run writes its open versions
+    and the versions it closed in one commit. Versions closed by earlier runs
+    are neither read nor rewritten, and repeating a run replaces its own folder.
+    """
+    run = run_label(as_of)
+    earlier = [r for r in _runs(spark, root) if r < run]
+    previous = None
+    if earlier:
+        previous = spark.read.parquet(f"{root}/run={earlier[-1]}/closed=false")
+    versions = scd2(previous, current, as_of, **options)
+    (
+        versions.withColumn("closed", F.col("valid_to").isNotNull())
+        .write.mode("overwrite").partitionBy("closed").parquet(f"{root}/run={run}")
+    )
+
+
+def read_history(spark: SparkSession, root: str) -> DataFrame:
+    """All versions: those every run closed, and those the latest run left open."""
+    runs = _runs(spark, root)
+    if not runs:
+        raise ValueError(f"no snapshot below {root}")
+    stored = spark.read.option("basePath", root).parquet(f"{root}/run={runs[-1]}")
+    everything = spark.read.schema(_with_run(stored.schema)).option("basePath", root).parquet(root)
+    return everything.where(F.col("closed") | (F.col("run") == runs[-1])).drop("run", "closed")
+
+
+def run_label(as_of) -> str:
+    """The moment as a folder name that sorts by time."""
+    digits = "".join(ch for ch in (as_of if isinstance(as_of, str) else as_of.isoformat()) if ch.isdigit())
+    return "t" + digits[:14].ljust(14, "0")
+
+
+def _runs(spark: SparkSession, root: str) -> list[str]:
+    return sorted(n.removeprefix("run=") for n in child_names(spark, root) if n.startswith("run="))
+
+
+def _with_run(schema: T.StructType) -> T.StructType:
+    kept = [f for f in schema if f.name not in ("run", "closed")]
+    return T.StructType([*kept, T.StructField("run", T.StringType()), T.StructField("closed", T.BooleanType())])
+
+
 def point_in_time(
     fact: DataFrame,
     history: DataFrame,

@@ -67,11 +67,14 @@ def customer_versions(wh: Warehouse) -> list[tuple[str, DataFrame]]:
 
 
 def customer_history(wh: Warehouse) -> DataFrame:
-    """The history after all deliveries; every run is written before the next reads it."""
-    previous = None
-    for n, (as_of, current) in enumerate(customer_versions(wh), start=1):
-        previous = wh.keep(f"customer_history_v{n}", lambda p=previous, c=current, t=as_of: history.scd2(p, c, t))
-    return previous
+    """The history after all deliveries; every run is stored before the next reads it."""
+    def build() -> str:
+        root = scratch_path(wh.spark, "customer-history")
+        for as_of, current in customer_versions(wh):
+            history.record_snapshot(wh.spark, root, current, as_of)
+        return root
+
+    return history.read_history(wh.spark, wh.once("customer_history", build))
 
 
 # --- loads ---------------------------------------------------------------------------------

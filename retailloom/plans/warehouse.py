@@ -28,8 +28,18 @@ class Warehouse:
     re-read of files. Staging views stay lazy.
     """
 
-    def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame], root: str, as_of):
-        self.spark, self.source, self.root, self.as_of = spark, source, root, as_of
+    def __init__(
+        self,
+        spark: SparkSession,
+        build_raw: Callable[[str], DataFrame],
+        root: str,
+        as_of,
+        calendar: tuple[str, str] | None = None,
+        source: Callable[[str], DataFrame] | None = None,
+    ):
+        """``build_raw`` gives a raw table by name; ``calendar`` fixes the date range, else it follows the facts."""
+        self.spark, self.build_raw, self.root, self.as_of = spark, build_raw, root, as_of
+        self.calendar, self.source = calendar, source
         self._written: dict[str, DataFrame] = {}
         self._views: dict[str, DataFrame] = {}
         self._paths: dict[str, str] = {}
@@ -45,10 +55,6 @@ class Warehouse:
             self._written[name] = self.spark.read.schema(df.schema).parquet(path)
         return self._written[name]
 
-    def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """Write an intermediate table once and read it back."""
-        return self._materialise(name, build)
-
     def once(self, name: str, make: Callable[[], str]) -> str:
         """Run something that produces a path once, and remember the path."""
         if name not in self._paths:
@@ -56,7 +62,7 @@ class Warehouse:
         return self._paths[name]
 
     def raw(self, entity: str) -> DataFrame:
-        return self._materialise(entity, lambda: orders_model.build(entity, self.source))
+        return self._materialise(entity, lambda: self.build_raw(entity))
 
     def staged(self, view: str) -> DataFrame:
         if view not in self._views:
@@ -74,6 +80,8 @@ class Warehouse:
         if name == "dim_store":
             return dimensions.dim_store(self.staged("stg_stores"), self.as_of)
         if name == "dim_date":
+            if self.calendar:
+                return dimensions.dim_date(dimensions.calendar_bounds(self.spark, *self.calendar))
             dated = [(self.staged("stg_sales"), "sale_date"), (self.staged("stg_returns"), "return_date")]
             return dimensions.dim_date(dimensions.calendar_bounds_of(*dated))
         if name == "fact_sales":
@@ -113,5 +121,6 @@ def warehouse_for(spark: SparkSession, sf_dir: str, as_of) -> Warehouse:
         def source(name: str) -> DataFrame:
             return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-        _open[key] = Warehouse(spark, source, scratch_path(spark, "warehouse"), as_of)
+        root = scratch_path(spark, "warehouse")
+        _open[key] = Warehouse(spark, lambda entity: orders_model.build(entity, source), root, as_of, source=source)
     return _open[key]

@@ -70,7 +70,7 @@ def load_upsert(spark: SparkSession, df: DataFrame, source: str, target: str, ke
         merged = upsert(spark.read.schema(df.schema).parquet(source), df, key, order_by)
     else:
         merged = latest_per_key(df, key, order_by)
-    return counted_write(merged, lambda d: d.write.mode("errorifexists").parquet(target))
+    return counted_write(merged, lambda d: d.write.mode("overwrite").parquet(target))
 
 
 def write_clustered(df: DataFrame, target: str, day: str, sort_by: str | None = None) -> int:

@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.errors import PySparkException
 from rows import customer, plan_of, raw, sale
 
 from retailloom.operators import history
@@ -74,3 +75,24 @@ def test_point_in_time_keeps_the_equality(spark, path):
     joined = history.point_in_time(spark.read.parquet(path("sales")), spark.read.parquet(path("history")), "sale_date")
     plan = plan_of(joined)
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_stored_history_rewrites_no_closed_version(spark, path):
+    root = path("history")
+    deliveries = [(T1, customer()), (T2, customer(segment="Gold")), (T3, customer(segment="Gold", lifetime_value=7))]
+    for as_of, row in deliveries:
+        history.record_snapshot(spark, root, customers(spark, row), as_of)
+    expected = None
+    for as_of, row in deliveries:
+        expected = history.scd2(expected, customers(spark, row), as_of)
+    stored = history.read_history(spark, root)
+    assert versions(stored) == versions(expected) and stored.columns == expected.columns
+    history.record_snapshot(spark, root, customers(spark, deliveries[-1][1]), T3)  # a repeated run replaces itself
+    assert versions(history.read_history(spark, root)) == versions(expected)
+    assert spark.read.parquet(f"{root}/run=t20240301000000/closed=true").count() == 1
+
+
+def test_conflicting_observations_fail(spark):
+    with pytest.raises(PySparkException, match="conflicting rows for key C1"):
+        history.scd2(None, customers(spark, customer(), customer(segment="Gold")), T1).collect()
+    assert history.scd2(None, customers(spark, customer(), customer()), T1).count() == 1
