@@ -17,6 +17,7 @@ from retailloom.functions import (
     value_tier,
 )
 from retailloom.functions.measures import STORE_REGIONS
+from retailloom.operators.joins import per_key
 
 
 def customer_sales_agg(sales: DataFrame) -> DataFrame:
@@ -32,7 +33,9 @@ def customer_sales_agg(sales: DataFrame) -> DataFrame:
         F.min("sale_date").alias("first_day"),
         F.max("sale_date").alias("last_day"),
     )
-    return monthly.groupBy("customer_id").agg(
+    return per_key(
+        monthly,
+        "customer_id",
         F.sum("orders").alias("observed_orders"),
         F.sum("revenue").alias("observed_revenue"),
         F.min("first_day").alias("first_order_date"),

@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailloom.functions import date_key, percent_of, surrogate_key
-from retailloom.operators.joins import left_join
+from retailloom.operators.joins import left_join, per_key
 
 
 def returns_agg(returns: DataFrame, statuses: list[str] | None = None) -> DataFrame:
     """Return count and refunds per sale. All statuses count unless some are named."""
     if statuses is not None:
         returns = returns.where(F.col("status").isin(statuses))
-    return returns.groupBy("sale_id").agg(
+    return per_key(
+        returns,
+        "sale_id",
         F.count(F.lit(1)).alias("return_count"),
         F.sum("refund_amount").alias("total_refund_amount"),
     )

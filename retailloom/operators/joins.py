@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT_BUCKETS = 64
@@ -21,6 +21,17 @@ def heavy_keys(df: DataFrame, key: str, share: float = 1 / 32) -> list:
     return [r[0] for r in counts.where(F.col("count") >= max(1.0, total * share)).select(key).collect()]
 
 
+def per_key(df: DataFrame, key: str, *aggregates: Column) -> DataFrame:
+    """One row per key, for joining to a side on which that key may be hot.
+
+    Adaptive execution only splits a skewed join whose two inputs are both
+    fresh shuffles. An aggregate by the join key alone would be joined in place,
+    so it also groups by the key's hash: the same rows, shuffled once more after
+    they were reduced.
+    """
+    return df.groupBy(key, F.xxhash64(key).alias("_apart")).agg(*aggregates).drop("_apart")
+
+
 def left_join(left: DataFrame, right: DataFrame, key: str, hot: list | None = None, condition=None) -> DataFrame:
     """Left equi-join, optionally with an extra ``condition`` over both sides.
 

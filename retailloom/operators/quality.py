@@ -10,9 +10,8 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailloom.functions import as_timestamp
@@ -57,19 +56,20 @@ def unique_combination(table: str, *columns: str, severity: str = "error") -> Ch
     return Check("unique_combination", table, columns, severity)
 
 
-def row_condition(check: Check) -> Column:
-    """True on the rows that break a row-level check. NULL passes all but not_null."""
-    column = F.col(check.columns[0])
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def row_condition(check: Check) -> str:
+    """SQL that is true on the rows breaking a row-level check. NULL passes all but not_null."""
+    column = f"`{check.columns[0]}`"
     if check.kind == "not_null":
-        return column.isNull()
+        return f"{column} is null"
     if check.kind == "accepted_values":
-        return ~column.isin(list(check.values))
-    bounds = []
-    if check.low is not None:
-        bounds.append(column < check.low)
-    if check.high is not None:
-        bounds.append(column > check.high)
-    return reduce(lambda a, b: a | b, bounds)
+        return f"{column} not in ({', '.join(map(_text, check.values))})"
+    low = [f"{column} < {check.low}"] if check.low is not None else []
+    high = [f"{column} > {check.high}"] if check.high is not None else []
+    return " or ".join(low + high)
 
 
 ROW_KINDS = ("not_null", "accepted_values", "between")
@@ -77,20 +77,20 @@ KEY_KINDS = ("unique", "unique_combination")
 
 
 def _row_metrics(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
-    counted = df.agg(*(F.count_if(row_condition(c)).alias(f"c{i}") for i, c in checks))
-    cells = F.array(*(F.struct(F.lit(i).alias("check_id"), F.col(f"c{i}").alias("failing_rows")) for i, _ in checks))
-    return counted.select(F.inline(cells))
+    counted = df.agg(*(F.expr(f"count_if({row_condition(c)}) as c{i}") for i, c in checks))
+    cells = ", ".join(f"{i}, c{i}" for i, _ in checks)
+    return counted.selectExpr(f"stack({len(checks)}, {cells}) as (check_id, failing_rows)")
 
 
-def _keyed(df: DataFrame, checks: list[tuple[int, Column]]) -> DataFrame:
+def _keyed(df: DataFrame, checks: list[tuple[int, str]]) -> DataFrame:
     """One (check, value) row per checked column of every row, NULLs left out, in one scan."""
-    cells = F.array(*(F.struct(F.lit(i).alias("check_id"), value.alias("value")) for i, value in checks))
-    return df.select(F.inline(cells)).where(F.col("value").isNotNull())
+    cells = ", ".join(f"{i}, {value}" for i, value in checks)
+    return df.selectExpr(f"stack({len(checks)}, {cells}) as (check_id, value)").where("value is not null")
 
 
-def _key_value(check: Check) -> Column:
-    texts = [F.col(c).cast("string") for c in check.columns]
-    return texts[0] if len(texts) == 1 else F.array(*texts)  # a combination counts NULL as a value
+def _key_value(check: Check) -> str:
+    texts = [f"cast(`{c}` as string)" for c in check.columns]
+    return texts[0] if len(texts) == 1 else f"array({', '.join(texts)})"  # a combination counts NULL as a value
 
 
 def _duplicate_metrics(keyed: DataFrame) -> DataFrame:
@@ -123,7 +123,7 @@ def run_checks(spark: SparkSession, table: Callable[[str], DataFrame], checks: S
         else:
             parent, parent_column = check.parent
             children[check.table].append((i, _key_value(check)))
-            parents[parent].append((i, F.col(parent_column).cast("string")))
+            parents[parent].append((i, f"cast(`{parent_column}` as string)"))
 
     def keyed(groups) -> DataFrame:
         return union_all([_keyed(table(name), members) for name, members in groups.items()])

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from retailloom.operators.joins import per_key
 from retailloom.schemas import raw_table
 
 Source = Callable[[str], DataFrame]
@@ -138,7 +139,7 @@ def customers(source: Source) -> DataFrame:
 
 def products(source: Source) -> DataFrame:
     """Parts as products; size 1 is given away, sizes from 40 cost more than they sell for."""
-    supplied = source("lineitem").groupBy("l_partkey").agg(F.min("l_suppkey").alias("suppkey"))
+    supplied = per_key(source("lineitem"), "l_partkey", F.min("l_suppkey").alias("suppkey"))
     parts = source("part")
     size, listed = F.col("p_size"), _money("p_retailprice")
     factor = F.when(size >= 40, F.lit("1.10")).otherwise(F.lit("0.60")).cast("decimal(3,2)")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retailloom.operators.joins import per_key
 from retailloom.operators.monitoring import AUDIT_SCHEMA
 from retailloom.session import path_exists
 
@@ -56,7 +57,8 @@ def latest_per_key(df: DataFrame, key: str, order_by: str) -> DataFrame:
 def upsert(existing: DataFrame, incoming: DataFrame, key: str, order_by: str) -> DataFrame:
     """``existing`` with the incoming rows' keys replaced. Repeating it changes nothing."""
     fresh = latest_per_key(incoming, key, order_by)
-    return existing.join(fresh.select(key), key, "left_anti").select(*fresh.columns).unionByName(fresh)
+    replaced = per_key(incoming, key, F.count(F.lit(1)).alias("n")).select(key)
+    return existing.join(replaced, key, "left_anti").select(*fresh.columns).unionByName(fresh)
 
 
 def load_upsert(spark: SparkSession, df: DataFrame, source: str, target: str, key: str, order_by: str) -> int:

@@ -61,16 +61,25 @@ def resume_offsets(spark: SparkSession, target: str, topic: str) -> str:
 
 
 def append_once(
-    records: DataFrame, batch_id: int, target: str, run: str, ingested_at: Column | None = None, against: Column | None = None
+    records: DataFrame,
+    batch_id: int,
+    target: str,
+    run: str,
+    ingested_at: Column | None = None,
+    against: Column | None = None,
+    repeats: bool = True,
 ) -> None:
     """Write one micro-batch idempotently.
 
-    ``against`` selects the landed rows this batch may repeat, by ``run`` and
+    Without ``repeats`` the batch is known to hold each offset once, as a topic
+    guarantees, and is written without a shuffle. ``against`` selects the landed rows this batch may repeat, by ``run`` and
     ``batch``. Repeats are removed by an anti-join on (partition, offset) that
     reads only landed rows in the batch's own offset range.
     """
     spark = records.sparkSession
-    parsed = parse_events(records, ingested_at).dropDuplicates(OFFSET_KEY)
+    parsed = parse_events(records, ingested_at)
+    if repeats:
+        parsed = parsed.dropDuplicates(OFFSET_KEY)
     if against is not None:
         reach = records.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
         if reach.lo is not None:
@@ -101,7 +110,7 @@ def land_stream(
     checkpoint over a source that starts again from its beginning; it costs
     nothing while this run is the only one below ``target``. ``all`` also covers
     a source that repeats records within a run. ``none`` is enough for a topic
-    started at :func:`resume_offsets`.
+    started at :func:`resume_offsets`, and then landing needs no shuffle.
     """
     if guard not in ("runs", "all", "none"):
         raise ValueError(f"guard must be runs, all or none, not {guard!r}")
@@ -114,7 +123,7 @@ def land_stream(
             against = (F.col("run") != run) | (F.col("batch") != batch_id)
         elif guard == "runs" and landed_runs - {f"run={run}"}:
             against = F.col("run") != run
-        append_once(batch, batch_id, target, run, ingested_at, against)
+        append_once(batch, batch_id, target, run, ingested_at, against, repeats=guard != "none")
 
     writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if interval is None:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from rows import plan_of
 
-from retailloom.operators import joins, quality
+from retailloom.operators import dimensions, facts, history, joins, quality
 from retailloom.sources import writers
 
 N = 30_000
@@ -47,22 +47,58 @@ def test_salt_spreads_exact_copies(spark, hot, parents):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_adaptive_execution_splits_a_plain_skewed_join(spark, hot, parents):
+@pytest.fixture
+def eager_splitting(spark):
+    """Thresholds scaled down to the test data; no side is small enough to broadcast."""
     small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
              "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
     for k, v in small.items():
         spark.conf.set(k, v)
-    try:
-        joined = joins.left_join(hot, parents, "k")
-        assert len(joined.collect()) == joined.count()
-        joined.write.format("noop").mode("overwrite").save()
-        probe = joins.left_join(hot, parents, "k")
-        probe.collect()
-        assert "skewed" in plan_of(probe)
-    finally:
-        for k in small:
-            spark.conf.unset(k)
+    yield
+    for k in small:
+        spark.conf.unset(k)
+
+
+def executed_plan(df):
+    df.collect()
+    return plan_of(df)
+
+
+def test_adaptive_execution_splits_a_plain_skewed_join(eager_splitting, hot, parents):
+    assert "skewed" in executed_plan(joins.left_join(hot, parents, "k"))
+
+
+def sales_of(spark, **columns):
+    """Stored sales, half of them sharing the values in ``columns``."""
+    hot = F.col("id") % 2 == 0
+    base = spark.range(0, N, 1, 6).select(
+        F.concat(F.lit("S"), "id").alias("sale_id"), F.concat(F.lit("C"), F.col("id") % 500).alias("customer_id"), F.lit("P1").alias("product_id"),
+        F.lit("ST1").alias("store_id"), F.lit("online").alias("channel"), F.lit("France").alias("country"),
+        F.lit("2024-01-01").cast("date").alias("sale_date"), F.lit(1).alias("quantity"), F.lit(10).cast("decimal(10,2)").alias("unit_price"),
+        F.lit(10).cast("decimal(10,2)").alias("total_amount"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ingested_at"), "id")
+    return base.withColumns({c: F.when(hot, F.lit(v)).otherwise(F.col(c)) for c, v in columns.items()}).drop("id")
+
+
+def test_fact_sales_splits_a_repeated_sale(spark, eager_splitting):
+    returns = spark.range(2000).select(F.concat(F.lit("S"), F.col("id") * 2 + 1).alias("sale_id"), F.lit(1).cast("decimal(10,2)").alias("refund_amount"))
+    fact = facts.fact_sales(sales_of(spark, sale_id="S1"), returns)
+    assert "skewed" in executed_plan(fact)
+    assert fact.count() == N and fact.where("sale_id = 'S1'").agg(F.sum("return_count")).first()[0] == N / 2 + 1
+
+
+def test_point_in_time_splits_a_hot_customer(spark, eager_splitting, path):
+    customers = spark.range(500).select(*(F.concat(F.lit("C"), "id").alias(c) if c == "customer_id" else F.lit(None).cast("string").alias(c)
+                                          for c in history.CUSTOMER_COLUMNS))
+    history.record_snapshot(spark, path("history"), customers, "2023-01-01 00:00:00")
+    joined = history.point_in_time(sales_of(spark, customer_id="C7"), history.read_history(spark, path("history")), "sale_date")
+    assert "skewed" in executed_plan(joined)
+    assert joined.count() == N
+
+
+def test_customer_aggregate_of_a_hot_customer(spark):
+    got = {r.customer_id: r for r in dimensions.customer_sales_agg(sales_of(spark, customer_id="C7")).collect()}
+    assert got["C7"].observed_orders == N / 2 + N / 500 and sum(r.observed_orders for r in got.values()) == N
 
 
 def test_orphans_are_counted_after_reducing_to_keys(hot, parents):
