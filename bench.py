@@ -39,9 +39,8 @@ def main() -> None:
         return result
 
     spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().collect()  # JVM and codegen warm-up
-    timed("land_raw_tables", lambda: [wh.raw(entity) for entity in RAW_TABLES])
-    for mart in wh.MARTS:
-        timed(mart, lambda m=mart: wh.mart(m))
+    timed("land_raw_tables", lambda: wh.build(RAW_TABLES))
+    timed("build_star", lambda: wh.build(wh.MARTS))
     timed("all_110_checks", lambda: quality.run_checks(spark, wh.table, checks.ALL_CHECKS).collect())
     timed("validation_reports", lambda: [
         reports.freshness_report(wh.table, checks.FRESHNESS_SLA, registry.AS_OF).collect(),
@@ -51,7 +50,8 @@ def main() -> None:
     timed("scd2_customers", lambda: registry.customer_history(wh))
     timed("point_in_time_sales", lambda: drain(
         history.point_in_time(wh.mart("fact_sales"), registry.customer_history(wh), "sale_date")))
-    timed("fact_returns_lazy", lambda: drain(facts.fact_returns(wh.staged("stg_returns"), wh.staged("stg_sales"))))
+    timed("fact_sales", lambda: drain(facts.fact_sales(wh.staged("stg_sales"), wh.staged("stg_returns"))))
+    timed("fact_returns", lambda: drain(facts.fact_returns(wh.staged("stg_returns"), wh.staged("stg_sales"))))
 
     fact, store, product = wh.mart("fact_sales"), wh.mart("dim_store"), wh.mart("dim_product")
     for name, query in {
@@ -87,7 +87,7 @@ def main() -> None:
     duplicates = reports.stream_exactly_once_report(landing.landed(spark, target)).first().offending_groups
 
     n_sales = wh.staged("stg_sales").count()
-    build = sum(seconds[m] for m in wh.MARTS) + seconds["all_110_checks"]
+    build = seconds["build_star"] + seconds["all_110_checks"]
     print(json.dumps({
         "metric": "retail star schema, checks, history, loads and stream",
         "value": round(sum(seconds.values()), 3),

@@ -30,39 +30,41 @@ def load_deliveries(spark: SparkSession, data_dir: str, root: str, as_of, refere
 
     Transactional tables are replaced. Reference tables are appended by column
     name, so a repeated delivery repeats its rows, or with ``upsert`` merged by
-    key into a new version of the table. Without any transactional row the
-    load fails.
+    key. Replaced and merged tables become a new version next to the old one,
+    which stays in use if the load fails. Without any transactional row the
+    refresh fails.
     """
     if reference not in ("append", "upsert"):
         raise ValueError(f"reference must be append or upsert, not {reference!r}")
     counts, audit = {}, f"{root}/load_audit"
     for table in (*TRANSACTIONAL, *REFERENCE):
-        delivery, target = f"{data_dir}/{table.name}.json", f"{root}/raw/{table.name}"
+        delivery = f"{data_dir}/{table.name}.json"
         if not path_exists(spark, delivery):
             continue
         rows = ndjson.read_ndjson(spark, delivery, table.name, "strict", as_of)
-        if table in REFERENCE and reference == "upsert":
-            statement = f"MERGE INTO {table.name} USING {delivery}"
-            load = _upsert(spark, table, rows, target, as_of)
-        elif table in TRANSACTIONAL:
-            statement, load = f"INSERT INTO {table.name}", lambda r=rows, t=target: writers.load_replace(r, t)
-        else:
-            statement = f"COPY INTO {table.name} FROM {delivery}"
-            load = lambda r=rows, t=target, s=table.schema: writers.load_append(r, t, s)
+        statement, load = _load(spark, table, rows, delivery, f"{root}/raw/{table.name}", as_of, reference)
         counts[table.name] = writers.audited_load(spark, table.name, delivery, statement, load, audit).row_count
     quality.empty_load_gate({t.name: counts.get(t.name, 0) for t in TRANSACTIONAL})
     return counts
 
 
-def _upsert(spark: SparkSession, table: RawTable, rows: DataFrame, folder: str, as_of):
+def _load(spark: SparkSession, table: RawTable, rows: DataFrame, delivery: str, folder: str, as_of, reference: str):
     version = f"version={history.run_label(as_of)}"
-    before = [v for v in _versions(spark, folder) if v < version]
+    if table in TRANSACTIONAL:
+        return f"INSERT INTO {table.name}", lambda: writers.load_replace(rows, f"{folder}/{version}")
+    if reference == "append":
+        return f"COPY INTO {table.name} FROM {delivery}", lambda: writers.load_append(rows, folder, table.schema)
+    before = [v for v in complete_versions(spark, folder) if v < version]
     source = f"{folder}/{before[-1]}" if before else f"{folder}/none"
-    return lambda: writers.load_upsert(spark, rows, source, f"{folder}/{version}", table.key, table.loaded_at)
+    return f"MERGE INTO {table.name} USING {delivery}", lambda: writers.load_upsert(
+        spark, rows, source, f"{folder}/{version}", table.key, table.loaded_at
+    )
 
 
-def _versions(spark: SparkSession, folder: str) -> list[str]:
-    return sorted(n for n in child_names(spark, folder) if n.startswith("version="))
+def complete_versions(spark: SparkSession, folder: str) -> list[str]:
+    """Versions below a folder whose write was committed, oldest first."""
+    names = sorted(n for n in child_names(spark, folder) if n.startswith("version="))
+    return [n for n in names if path_exists(spark, f"{folder}/{n}/_SUCCESS")]
 
 
 def open_warehouse(spark: SparkSession, root: str, as_of, stream_target: str | None = None, calendar=CALENDAR) -> Warehouse:
@@ -73,9 +75,18 @@ def open_warehouse(spark: SparkSession, root: str, as_of, stream_target: str | N
             return landing.landed(spark, stream_target)
         if not path_exists(spark, path):
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet("/".join([path, *_versions(spark, path)[-1:]]))
+        return spark.read.schema(schema).parquet("/".join([path, *complete_versions(spark, path)[-1:]]))
 
-    return LoadedWarehouse(spark, loaded, f"{root}/marts", as_of, calendar)
+    return LoadedWarehouse(spark, loaded, f"{root}/marts/{history.run_label(as_of)}", as_of, calendar)
+
+
+def latest_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A mart as of the newest refresh that completed all of them."""
+    for label in sorted(child_names(spark, f"{root}/marts"), reverse=True):
+        folder = f"{root}/marts/{label}"
+        if all(path_exists(spark, f"{folder}/{mart}/_SUCCESS") for mart in Warehouse.MARTS):
+            return spark.read.parquet(f"{folder}/{name}")
+    raise ValueError(f"no complete refresh below {root}")
 
 
 class LoadedWarehouse(Warehouse):
@@ -104,8 +115,7 @@ def refresh(
     prepare(spark)
     counts = load_deliveries(spark, data_dir, root, as_of, reference)
     warehouse = open_warehouse(spark, root, as_of, stream_target)
-    for name in warehouse.MARTS:
-        warehouse.mart(name)
+    warehouse.build(warehouse.MARTS)
     history.record_snapshot(spark, f"{root}/customer_history", warehouse.staged("stg_customers"), as_of)
     results = quality.run_checks(spark, warehouse.table, checks.ALL_CHECKS)
     if gates:

@@ -98,3 +98,8 @@ def test_realtime_fact_is_a_projection(spark):
     fact = facts.fct_sales_realtime(staged(spark, "stg_stream_sales", "stream_sales", event()))
     assert "Exchange" not in fact._jdf.queryExecution().executedPlan().toString()
     assert fact.first().event_sk == hashed("e1")
+
+
+def test_build_time_is_added_on_request(spark):
+    fact = facts.fct_sales_realtime(staged(spark, "stg_stream_sales", "stream_sales", event()))
+    assert facts.stamp_build(fact).columns == [*fact.columns, "loaded_at"]

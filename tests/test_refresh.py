@@ -3,10 +3,11 @@
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 
 from retailloom.operators import history
 from retailloom.operators.quality import QualityGateError
-from retailloom.plans.refresh import refresh
+from retailloom.plans.refresh import latest_mart, open_warehouse, refresh
 
 
 def deliver(folder, segment="VIP"):
@@ -50,6 +51,7 @@ def test_refresh_from_deliveries(spark, tmp_path, path):
     assert fact.count() == 20 and fact.where("has_return").count() == 3
     assert first.warehouse.mart("dim_date").count() == 4017
     assert first.warehouse.mart("dim_store").first().address == "1 Rue, Paris, France"
+    assert latest_mart(spark, path("root"), "fact_sales").exceptAll(fact).count() == 0
     assert spark.read.parquet(path("root/load_audit")).where("status = 'LOADED'").count() == 9
 
 
@@ -86,3 +88,18 @@ def test_nothing_transactional_stops_the_refresh(spark, tmp_path, path):
     (folder / "sales.json").write_text("")
     with pytest.raises(QualityGateError, match="no rows loaded"):
         refresh(spark, str(folder), path("root"), "2024-01-06 00:00:00")
+
+
+def test_a_failed_load_leaves_the_tables_as_they_were(spark, tmp_path, path):
+    with pytest.raises(ValueError):
+        latest_mart(spark, path("root"), "fact_sales")
+    refresh(spark, deliver(tmp_path / "d1"), path("root"), "2024-01-06 00:00:00", gates=False)
+    broken = tmp_path / "d2"
+    deliver(broken)
+    (broken / "sales.json").write_text('{"sale_id": "S1"}\n')
+    with pytest.raises(PySparkException, match="missing:sale_date"):
+        refresh(spark, str(broken), path("root"), "2024-01-07 00:00:00", gates=False)
+    assert open_warehouse(spark, path("root"), "2024-01-07 00:00:00").raw("sales").count() == 20
+    assert latest_mart(spark, path("root"), "fact_sales").count() == 20
+    failed = spark.read.parquet(path("root/load_audit")).where("status = 'FAIL'").collect()
+    assert [r.table_name for r in failed] == ["sales"] and "missing:sale_date" in failed[0].error_message
