@@ -10,9 +10,19 @@ from retailloom.llm.queries import table, tokenizer_path
 from retailloom.llm.shared import ready, stored
 
 
+def _set_aside(docs: DataFrame, *used: str) -> DataFrame:
+    """Renames all columns but those used, so that none clashes with what an operator adds."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in used else f"kept:{c}") for c in docs.columns])
+
+
+def _restored(found: DataFrame, docs: DataFrame, *used: str) -> DataFrame:
+    return found.select(*[F.col(f"`{c if c in used else f'kept:{c}'}`").alias(c) for c in docs.columns])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language: those without a letter, or far from every language, go."""
-    return language.identify(docs, language.fit(docs)).where("not rejected").select(*docs.columns)
+    found = language.identify(_set_aside(docs, "text"), language.fit(docs))
+    return _restored(found.where("not rejected"), docs, "text")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +38,8 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words stand in benchmark windows."""
-    found = decontaminate.judged(decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark")))
-    return found.where("not contaminated").select(*docs.columns)
+    found = decontaminate.judged(decontaminate.overlaps(_set_aside(docs, "text"), table(spark, sf_dir, "benchmark")))
+    return _restored(found.where("not contaminated"), docs, "text")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
