@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,8 @@ from pyspark.sql import types as T
 
 from retailloom.functions import as_timestamp
 from retailloom.operators.joins import left_join
-from retailloom.session import child_names
+from retailloom.schemas import CUSTOMERS
+from retailloom.session import child_names, path_exists
 
 # The customer attributes kept in history, and those whose change opens a version.
 CUSTOMER_COLUMNS = [
@@ -87,43 +89,71 @@ def scd2(
     return closed.select(*columns, *META_COLUMNS).unionByName(refreshed)
 
 
-def record_snapshot(spark: SparkSession, root: str, current: DataFrame, as_of, **options) -> None:
+def history_schema(columns: list[str] = CUSTOMER_COLUMNS, types: T.StructType = CUSTOMERS.schema) -> T.StructType:
+    """The stored columns of a history, declared so that an empty run can be read."""
+    moments = [T.StructField(c, T.TimestampNTZType()) for c in META_COLUMNS[1:]]
+    return T.StructType([*(T.StructField(c, types[c].dataType) for c in columns), T.StructField("scd_id", T.StringType()), *moments])
+
+
+class HistoryOrderError(ValueError):
+    """A snapshot that would have to rewrite what later ones were built on."""
+
+
+def record_snapshot(spark: SparkSession, root: str, current: DataFrame, as_of, columns: list[str] = CUSTOMER_COLUMNS, **options) -> None:
     """Observe ``current`` at ``as_of`` and store the outcome below ``root``.
 
     Layout: ``root/run=<time>/closed=<bool>``. A run writes its open versions
-    and the versions it closed in one commit. Versions closed by earlier runs
-    are neither read nor rewritten, and repeating a run replaces its own folder.
+    and the versions it closed in one commit; one that was interrupted is not
+    seen and is written again. Versions closed by earlier runs are neither read
+    nor rewritten. A time before a stored run is refused, and so is the time of the
+    latest run with another outcome; with the same outcome nothing is done.
     """
-    run = run_label(as_of)
-    earlier = [r for r in _runs(spark, root) if r < run]
-    previous = None
-    if earlier:
-        previous = spark.read.parquet(f"{root}/run={earlier[-1]}/closed=false")
-    versions = scd2(previous, current, as_of, **options)
-    (
-        versions.withColumn("closed", F.col("valid_to").isNotNull())
-        .write.mode("overwrite").partitionBy("closed").parquet(f"{root}/run={run}")
-    )
-
-
-def read_history(spark: SparkSession, root: str) -> DataFrame:
-    """All versions: those every run closed, and those the latest run left open."""
+    run, done = run_label(as_of), _runs(spark, root)
+    if done and done[-1] > run:
+        raise HistoryOrderError(f"{as_of} lies before the stored run {done[-1]}")
+    schema = history_schema(columns, current.schema)
+    earlier = [r for r in done if r < run]
+    previous = _stored_run(spark, root, earlier[-1], schema).where("not closed").drop("closed") if earlier else None
+    versions = scd2(previous, current, as_of, columns=columns, **options).withColumn("closed", F.col("valid_to").isNotNull())
+    if run in done:
+        stored = _stored_run(spark, root, run, schema)
+        if versions.exceptAll(stored).unionByName(stored.exceptAll(versions)).limit(1).count():
+            raise HistoryOrderError(f"the run {run} is stored with another outcome")
+        return
+    versions.write.mode("overwrite").partitionBy("closed").parquet(f"{root}/run={run}")
+
+
+def _stored_run(spark: SparkSession, root: str, run: str, schema: T.StructType) -> DataFrame:
+    folder = f"{root}/run={run}"
+    return spark.read.schema(T.StructType([*schema, T.StructField("closed", T.BooleanType())])).option("basePath", folder).parquet(folder)
+
+
+def read_history(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """All versions: those every committed run closed, and those the latest one left open."""
     runs = _runs(spark, root)
     if not runs:
         raise ValueError(f"no snapshot below {root}")
-    stored = spark.read.option("basePath", root).parquet(f"{root}/run={runs[-1]}")
-    everything = spark.read.schema(_with_run(stored.schema)).option("basePath", root).parquet(root)
+    everything = spark.read.schema(_with_run(schema or history_schema())).option("basePath", root).parquet(*(f"{root}/run={r}" for r in runs))
     return everything.where(F.col("closed") | (F.col("run") == runs[-1])).drop("run", "closed")
 
 
 def run_label(as_of) -> str:
-    """The moment as a folder name that sorts by time."""
-    digits = "".join(ch for ch in (as_of if isinstance(as_of, str) else as_of.isoformat()) if ch.isdigit())
-    return "t" + digits[:14].ljust(14, "0")
+    """The moment, to the microsecond and in UTC, as a folder name that sorts by time.
+
+    Text must be an ISO date or time; a moment without an offset is taken as UTC.
+    """
+    moment = datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+    if not isinstance(moment, datetime):
+        moment = datetime(moment.year, moment.month, moment.day)
+    if moment.tzinfo:
+        moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
+    return moment.strftime("t%Y%m%d%H%M%S%f")
 
 
 def _runs(spark: SparkSession, root: str) -> list[str]:
-    return sorted(n.removeprefix("run=") for n in child_names(spark, root) if n.startswith("run="))
+    """Committed runs, oldest first."""
+    names = sorted(n.removeprefix("run=") for n in child_names(spark, root) if n.startswith("run="))
+    return [n for n in names if path_exists(spark, f"{root}/run={n}/_SUCCESS")]
 
 
 def _with_run(schema: T.StructType) -> T.StructType:

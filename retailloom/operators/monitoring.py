@@ -71,33 +71,23 @@ def recent_copies(audit: DataFrame, as_of, hours: int = 2, limit: int = 10) -> D
     )
 
 
-def table_profile(spark: SparkSession, tables: Callable[[str], DataFrame], names: Iterable[str]) -> DataFrame:
-    """Rows and columns per table: OK, EMPTY, or ERROR when it cannot be opened."""
-    parts, broken = [], []
+def table_profile(spark: SparkSession, tables: Callable[[str], DataFrame], names: Iterable[str], sample: int = 3) -> DataFrame:
+    """Rows, columns and some rows as JSON per table: OK, EMPTY, or ERROR when it cannot be opened or read.
+
+    Each table is read in a job of its own, so that one which fails while being
+    read leaves the others' profiles alone. A row count and ``sample`` rows of each
+    reach the driver.
+    """
+    found = []
     for name in names:
         try:
             df = tables(name)
-            width = len(df.columns)
+            rows = df.agg(F.count(F.lit(1))).first()[0]
+            found.append((name, rows, len(df.columns), "OK" if rows else "EMPTY", None, [r.j for r in sample_rows(df, sample).select(F.to_json(F.struct("*")).alias("j")).collect()]))
         except (PySparkException, ValueError) as problem:
-            broken.append((name, None, None, "ERROR", str(problem).splitlines()[0]))
-            continue
-        rows = F.col("row_count")
-        parts.append(
-            df.agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(name).alias("table_name"),
-                "row_count",
-                F.lit(width).alias("column_count"),
-                F.when(rows == 0, "EMPTY").otherwise("OK").alias("status"),
-                F.lit(None).cast("string").alias("problem"),
-            )
-        )
-    if broken:
-        parts.append(
-            spark.createDataFrame(
-                broken, "table_name string, row_count long, column_count int, status string, problem string"
-            )
-        )
-    return union_all(parts)
+            found.append((name, None, None, "ERROR", str(problem), []))
+    return spark.createDataFrame(
+        found, "table_name string, row_count long, column_count int, status string, problem string, sample array<string>")
 
 
 def sample_rows(df: DataFrame, n: int = 3) -> DataFrame:

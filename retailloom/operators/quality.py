@@ -60,6 +60,16 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def at_least(table: str, rows: int, severity: str = "error") -> Check:
+    """The table holds this many rows; the failing rows are those it lacks."""
+    return Check("at_least", table, ("*",), severity, low=rows)
+
+
+def shaped(table: str, column: str, prefix: str, severity: str = "error") -> Check:
+    """The column's text begins so; NULL passes."""
+    return Check("shaped", table, (column,), severity, values=(prefix,))
+
+
 def row_condition(check: Check) -> str:
     """SQL that is true on the rows breaking a row-level check. NULL passes all but not_null."""
     column = f"`{check.columns[0]}`"
@@ -67,17 +77,23 @@ def row_condition(check: Check) -> str:
         return f"{column} is null"
     if check.kind == "accepted_values":
         return f"{column} not in ({', '.join(map(_text, check.values))})"
+    if check.kind == "shaped":
+        return f"not startswith({column}, {_text(check.values[0])})"
     low = [f"{column} < {check.low}"] if check.low is not None else []
     high = [f"{column} > {check.high}"] if check.high is not None else []
     return " or ".join(low + high)
 
 
-ROW_KINDS = ("not_null", "accepted_values", "between")
+ROW_KINDS = ("not_null", "accepted_values", "between", "shaped", "at_least")
 KEY_KINDS = ("unique", "unique_combination")
 
 
+def _row_metric(check: Check) -> str:
+    return f"greatest(0, {check.low} - count(*))" if check.kind == "at_least" else f"count_if({row_condition(check)})"
+
+
 def _row_metrics(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
-    counted = df.agg(*(F.expr(f"count_if({row_condition(c)}) as c{i}") for i, c in checks))
+    counted = df.agg(*(F.expr(f"{_row_metric(c)} as c{i}") for i, c in checks))
     cells = ", ".join(f"{i}, c{i}" for i, _ in checks)
     return counted.selectExpr(f"stack({len(checks)}, {cells}) as (check_id, failing_rows)")
 
@@ -173,56 +189,49 @@ def duplicate_offsets(stream: DataFrame) -> DataFrame:
 
 
 class QualityGateError(RuntimeError):
-    """Raised with every breach found, not just the first."""
+    """All breaches of a gate at once, in ``breaches``."""
 
     def __init__(self, breaches: Sequence[str]):
         self.breaches = list(breaches)
-        super().__init__("quality breaches:\n  - " + "\n  - ".join(self.breaches))
+        super().__init__(f"{len(self.breaches)} breaches: " + "; ".join(self.breaches))
+
+
+def _enforce(*breaches: DataFrame) -> None:
+    """Raise if any of these one-column frames of breach texts has a row; one job looks at all of them."""
+    found = [r.breach for r in union_all(breaches).orderBy("breach").collect()]
+    if found:
+        raise QualityGateError(found)
 
 
-def _settle(breaches: list[str]) -> None:
-    if breaches:
-        raise QualityGateError(breaches)
+def _told(rows: DataFrame, text: str, *columns: str) -> DataFrame:
+    return rows.select(F.format_string(text, *columns).alias("breach"))
 
 
 def check_gate(results: DataFrame) -> None:
     """Fail on any error-severity check; warnings only report."""
-    failed = results.where("status = 'fail'").orderBy("check_id").collect()
-    _settle([f"{r.check_name} on {r.table_name}.{r.column_name}: {r.failing_rows}" for r in failed])
+    _enforce(_told(results.where("status = 'fail'"), "%s on %s.%s: %d", "check_name", "table_name", "column_name", "failing_rows"))
 
 
 def batch_gate(freshness: DataFrame, integrity: DataFrame, row_counts: DataFrame) -> None:
     """Fail on stale or empty tables, on orphans and on row counts out of bounds."""
-    breaches = [
-        f"freshness: {r.table_name} is {r.freshness_status}"
-        for r in freshness.where("freshness_status in ('STALE', 'EMPTY')").collect()
-    ]
-    breaches += [
-        f"referential: {r.check_name}={r.offending_rows}" for r in integrity.where("offending_rows > 0").collect()
-    ]
-    breaches += [
-        f"row_count: {r.table_name} actual={r.actual_rows} status={r.status}"
-        for r in row_counts.where("status <> 'OK'").collect()
-    ]
-    _settle(breaches)
+    _enforce(
+        _told(freshness.where("freshness_status <> 'FRESH'"), "table %s counts as %s", "table_name", "freshness_status"),
+        _told(integrity.where("offending_rows > 0"), "%s finds %d rows without a match", "check_name", "offending_rows"),
+        _told(row_counts.where("status <> 'OK'"), "table %s holds %d rows: %s", "table_name", "actual_rows", "status"),
+    )
 
 
 def stream_gate(freshness: DataFrame, exactly_once: DataFrame) -> None:
-    """Fail on a stale stream or duplicated offsets. An empty stream passes."""
-    breaches = [
-        f"stream freshness: {r.table_name} is STALE ({r.minutes_since_last_load} min since last event)"
-        for r in freshness.where("freshness_status = 'STALE'").collect()
-    ]
-    breaches += [
-        f"exactly-once: {r.offending_groups} duplicated (partition, offset) groups"
-        for r in exactly_once.where("offending_groups > 0").collect()
-    ]
-    _settle(breaches)
+    """Fail on a stale stream or on offsets that landed twice. An empty stream passes."""
+    _enforce(
+        _told(freshness.where("freshness_status = 'STALE'"), "%s last grew %d minutes ago", "table_name", "minutes_since_last_load"),
+        _told(exactly_once.where("offending_groups > 0"), "%d offsets landed more than once", "offending_groups"),
+    )
 
 
 def empty_load_gate(row_counts: Mapping[str, int]) -> int:
     """Fail when a whole load brought no rows; returns the total otherwise."""
     total = sum(row_counts.values())
     if total == 0:
-        raise QualityGateError(["no rows loaded: " + ", ".join(row_counts)])
+        raise QualityGateError([f"nothing was loaded into {', '.join(row_counts)}"])
     return total

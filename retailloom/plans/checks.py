@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from retailloom.operators.quality import (
     accepted_values,
+    at_least,
     between,
     not_null,
     relationship,
+    shaped,
     unique,
     unique_combination,
 )
@@ -16,6 +18,7 @@ CHANNELS = ("online", "offline", "mobile", "in-store", "wholesale", "retail")
 TIERS = ("VIP", "High Value", "Regular", "Occasional", "Inactive")
 REGIONS = ("Europe", "Americas", "Asia-Pacific", "Other")
 
+# The checks declared per layer.
 RAW_CHECKS = [
     *not_null("sales", "sale_id", "customer_id", "product_id", "total_amount"), *unique("sales", "sale_id"),
     *not_null("returns", "return_id", "sale_id"), *unique("returns", "return_id"),
@@ -97,6 +100,8 @@ PRE_LOAD_CHECKS = [
     between("sales", "quantity", 1), between("sales", "unit_price", 0.01), between("sales", "total_amount", 0),
     between("products_margin", "gross_margin", 0),
     between("reviews", "rating", 1, 5),
+    *(at_least(t, 1) for t in ("suppliers", "products", "customers", "stores", "sales")),
+    shaped("returns", "sale_id", "S"),
 ]
 
 # Hours a table may go without a load before it counts as stale.

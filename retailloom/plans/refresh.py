@@ -30,9 +30,8 @@ def load_deliveries(spark: SparkSession, data_dir: str, root: str, as_of, refere
 
     Transactional tables are replaced. Reference tables are appended by column
     name, so a repeated delivery repeats its rows, or with ``upsert`` merged by
-    key. Replaced and merged tables become a new version next to the old one,
-    which stays in use if the load fails. Without any transactional row the
-    refresh fails.
+    key; the two may alternate. Nothing in use is overwritten: a failed load leaves
+    every table as it was. Without any transactional row the refresh fails.
     """
     if reference not in ("append", "upsert"):
         raise ValueError(f"reference must be append or upsert, not {reference!r}")
@@ -48,23 +47,58 @@ def load_deliveries(spark: SparkSession, data_dir: str, root: str, as_of, refere
     return counts
 
 
+class LoadOrderError(ValueError):
+    """A load older than what its table already holds."""
+
+
 def _load(spark: SparkSession, table: RawTable, rows: DataFrame, delivery: str, folder: str, as_of, reference: str):
-    version = f"version={history.run_label(as_of)}"
+    """The statement and the write of one load.
+
+    Every table has one layout, ``version=<time>/part=<time>``. A full load begins a
+    version, an append adds a part to the current one; repeating a load replaces
+    its own part. Readers see the committed parts of the newest version.
+    """
+    label = history.run_label(as_of)
+    parts = committed_parts(spark, folder)
+    if any(max(p) > label for p in parts):
+        raise LoadOrderError(f"{table.name} was loaded after {as_of}")
+    fresh = f"{folder}/version={label}/part={label}"
     if table in TRANSACTIONAL:
-        return f"INSERT INTO {table.name}", lambda: writers.load_replace(rows, f"{folder}/{version}")
+        return f"INSERT INTO {table.name}", lambda: writers.load_replace(rows, fresh)
     if reference == "append":
-        return f"COPY INTO {table.name} FROM {delivery}", lambda: writers.load_append(rows, folder, table.schema)
-    before = [v for v in complete_versions(spark, folder) if v < version]
-    source = f"{folder}/{before[-1]}" if before else f"{folder}/none"
+        version = parts[-1][0] if parts else label
+        target = f"{folder}/version={version}/part={label}"
+        aligned = writers.align_by_name(rows, table.schema)
+        return f"COPY INTO {table.name} FROM {delivery}", lambda: writers.load_replace(aligned, target)
+    before = [p for p in parts if p[0] < label]
+    sources = [f"{folder}/version={v}/part={p}" for v, p in before if v == before[-1][0]]
     return f"MERGE INTO {table.name} USING {delivery}", lambda: writers.load_upsert(
-        spark, rows, source, f"{folder}/{version}", table.key, table.loaded_at
+        spark, rows, sources, fresh, table.key, table.loaded_at
     )
 
 
-def complete_versions(spark: SparkSession, folder: str) -> list[str]:
-    """Versions below a folder whose write was committed, oldest first."""
-    names = sorted(n for n in child_names(spark, folder) if n.startswith("version="))
-    return [n for n in names if path_exists(spark, f"{folder}/{n}/_SUCCESS")]
+def load_table(spark: SparkSession, table: RawTable, rows: DataFrame, delivery: str, folder: str, as_of, reference: str = "append") -> int:
+    """Load one table's delivery below ``folder``; returns its row count."""
+    _, load = _load(spark, table, rows, delivery, folder, as_of, reference)
+    return load()
+
+
+def committed_parts(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    """(version, part) of every committed write below a table's folder, oldest first."""
+    found = []
+    for version in child_names(spark, folder):
+        for part in child_names(spark, f"{folder}/{version}") if version.startswith("version=") else ():
+            if part.startswith("part=") and path_exists(spark, f"{folder}/{version}/{part}/_SUCCESS"):
+                found.append((version.removeprefix("version="), part.removeprefix("part=")))
+    return sorted(found)
+
+
+def current_table(spark: SparkSession, folder: str, schema) -> DataFrame:
+    """The committed parts of a table's newest version; empty if there is none."""
+    parts = committed_parts(spark, folder)
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*(f"{folder}/version={v}/part={p}" for v, p in parts if v == parts[-1][0]))
 
 
 def open_warehouse(spark: SparkSession, root: str, as_of, stream_target: str | None = None, calendar=CALENDAR) -> Warehouse:
@@ -73,9 +107,7 @@ def open_warehouse(spark: SparkSession, root: str, as_of, stream_target: str | N
         schema, path = raw_table(entity).schema, f"{root}/raw/{entity}"
         if entity == STREAM_SALES.name and stream_target:
             return landing.landed(spark, stream_target)
-        if not path_exists(spark, path):
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet("/".join([path, *complete_versions(spark, path)[-1:]]))
+        return current_table(spark, path, schema)
 
     return LoadedWarehouse(spark, loaded, f"{root}/marts/{history.run_label(as_of)}", as_of, calendar)
 
@@ -93,9 +125,7 @@ class LoadedWarehouse(Warehouse):
     """A warehouse whose raw tables are already stored, so they are read in place."""
 
     def raw(self, entity: str) -> DataFrame:
-        if entity not in self._written:
-            self._written[entity] = self.build_raw(entity)
-        return self._written[entity]
+        return self._once(f"table {entity}", lambda: self.build_raw(entity))
 
 
 def refresh(

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retailloom.operators import dimensions, facts, history, monitoring, quality, reports, staging
-from retailloom.plans import checks, serving
+from retailloom.operators.joins import heavy_keys
+from retailloom.plans import checks, refresh, serving
 from retailloom.plans.warehouse import Warehouse, warehouse_for
 from retailloom.schemas import REFERENCE, TRANSACTIONAL, raw_table
 from retailloom.session import scratch_path
@@ -20,7 +21,7 @@ AS_OF = "2001-12-31 12:00:00"
 STREAM_AS_OF = "2024-01-30 12:00:00"
 LOADED_AT = "2002-01-01 00:00:00"
 # Derived ids grow with the data, so they may be wider than the declared id columns.
-WIDE_IDS = {"sale_id": 40, "return_id": 40, "inventory_id": 40, "review_id": 40, "product_id": 40, "customer_id": 40, "store_id": 40}
+WIDE_IDS = {"sale_id": 40, "return_id": 40, "inventory_id": 40, "review_id": 40, "product_id": 40, "customer_id": 40, "store_id": 40, "promotion_id": 80}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +57,7 @@ def customer_versions(wh: Warehouse) -> list[tuple[str, DataFrame]]:
     first = base.where("registration_date < '1997-01-01'")
     # A tracked change for one segment, an untracked one for everybody.
     second = base.where("registration_date < '1999-01-01'").withColumns({
-        "preferred_channel": F.when(F.col("segment") == "BUILDING", "Concierge").otherwise(F.col("preferred_channel")),
+        "preferred_channel": F.when(F.col("segment") == "BUILDING", "personal").otherwise(F.col("preferred_channel")),
         "first_name": F.upper("first_name"),
     })
     # One segment is deleted at the source; a NULL turns into a value.
@@ -94,10 +95,10 @@ def strict_round_trip(entity: str) -> Callable[[Warehouse], DataFrame]:
 
 
 def _damaged_sales(wh: Warehouse) -> str:
-    """Sales as NDJSON where unsold lines are cut off and online sales lack the store field."""
+    """Sales as NDJSON where lines of one channel are cut off and online sales lack the store field."""
     path = scratch_path(wh.spark, "ndjson-damaged")
     record = F.to_json(F.struct(*(c.name for c in raw_table("sales").on_the_wire)))
-    cut = F.when(F.col("quantity") == 0, F.substring(record, 1, 40)).otherwise(record)
+    cut = F.when(F.col("channel") == "2-HIGH", F.substring(record, 1, 40)).otherwise(record)
     wh.raw("sales").select(cut.alias("value")).write.text(path)
     return path
 
@@ -147,7 +148,7 @@ def normalise_promotions(wh: Warehouse) -> DataFrame:
     )
     path = scratch_path(wh.spark, "ndjson-promotions")
     wh.raw("promotions").select(line.alias("value")).write.text(path)
-    return ndjson.read_ndjson(wh.spark, path, "promotions", "strict")
+    return ndjson.read_ndjson(wh.spark, path, "promotions", "strict", widths=WIDE_IDS)
 
 
 def address_json(wh: Warehouse) -> DataFrame:
@@ -189,6 +190,17 @@ def load_upsert(wh: Warehouse) -> DataFrame:
     return wh.spark.read.schema(base.schema).parquet(paths[-1]).select("customer_id", "registration_date", "lifetime_value")
 
 
+def load_mixed_strategies(wh: Warehouse) -> DataFrame:
+    """Customers appended, then upserted, then appended again: every key stays."""
+    base, folder, table = wh.raw("customers"), scratch_path(wh.spark, "mixed"), raw_table("customers")
+    known, others = base.where("segment = 'BUILDING'"), base.where("segment not in ('BUILDING', 'MACHINERY')")
+    changed = known.withColumn("lifetime_value", (F.col("lifetime_value") + 100).cast("decimal(12,2)"))
+    deliveries = [("append", known), ("upsert", changed.unionByName(base.where("segment = 'MACHINERY'"))), ("append", others)]
+    for day, (how, rows) in enumerate(deliveries, 1):
+        refresh.load_table(wh.spark, table, rows, f"delivery {day}", folder, f"2002-01-0{day}", how)
+    return refresh.current_table(wh.spark, folder, table.schema).select("customer_id", "segment", "lifetime_value")
+
+
 def load_audit_records(wh: Warehouse) -> DataFrame:
     """The audit after loading every reference table and one damaged sales delivery."""
     audit = scratch_path(wh.spark, "audit")
@@ -216,6 +228,40 @@ def declared(*kinds: str, of=checks.ALL_CHECKS) -> Callable[[Warehouse], DataFra
     return lambda wh: quality.run_checks(wh.spark, wh.table, chosen).select(*columns)
 
 
+def damaged(kind: str) -> Callable[[Warehouse], DataFrame]:
+    """The declared checks of one kind over tables damaged so that every one of them fails.
+
+    Checked values ending in 7 are lost, rows whose first unique value ends in 3
+    stand twice, and keys ending in 7 lead nowhere.
+    """
+    chosen = [c for c in checks.ALL_CHECKS if c.kind == kind]
+    columns: dict[str, list[str]] = {}
+    for check in chosen:
+        columns.setdefault(check.table, []).extend(check.columns)
+
+    def ends(df: DataFrame, column: str, digit: str):
+        return F.coalesce(df[column].cast("string").endswith(digit), F.lit(False))
+
+    def lost(df: DataFrame, column: str):
+        wrong = F.lit(None) if kind == "not_null" else (
+            F.concat(df[column], F.lit("x")) if isinstance(df.schema[column].dataType, T.StringType) else df[column] + 900000000)
+        return F.when(ends(df, column, "7"), wrong).otherwise(df[column])
+
+    def build(wh: Warehouse) -> DataFrame:
+        def table(name: str) -> DataFrame:
+            df = wh.table(name)
+            if name not in columns:
+                return df
+            if kind == "unique":
+                return df.unionByName(df.where(ends(df, columns[name][0], "3")))
+            return df.withColumns({c: lost(df, c) for c in dict.fromkeys(columns[name])})
+
+        return quality.run_checks(wh.spark, table, chosen).select(
+            "check_name", "table_name", "column_name", "severity", "failing_rows", "status")
+
+    return build
+
+
 def replayed_stream(wh: Warehouse) -> DataFrame:
     """The stream as an at-least-once source delivers it after replaying partition 0."""
     rows = wh.raw("stream_sales")
@@ -279,7 +325,7 @@ def stream_dedup_watermark(wh: Warehouse) -> DataFrame:
     rows = replayed_stream(wh)
     rows.write.parquet(path)
     query = (
-        live.dedup_stream(wh.spark.readStream.schema(rows.schema).parquet(path), "3650 days")
+        live.dedup_stream(wh.spark.readStream.schema(rows.schema).parquet(path))
         .writeStream.format("parquet").option("path", out)
         .option("checkpointLocation", scratch_path(wh.spark, "checkpoint")).trigger(availableNow=True).start()
     )
@@ -304,13 +350,14 @@ def stream_throughput_windows(wh: Warehouse) -> DataFrame:
     rows, path, out = wh.raw("stream_sales"), scratch_path(wh.spark, "stream"), scratch_path(wh.spark, "partials")
     rows.write.parquet(path)
     partials = live.minute_partials(wh.spark.readStream.schema(rows.schema).parquet(path))
-    # Complete mode holds no minute back; every batch replaces the partials of the one before.
+    # Update mode holds no minute back and keeps only those within the watermark as state.
     query = (
-        partials.writeStream.outputMode("complete").foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out))
+        partials.writeStream.outputMode("update").foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch={i}"))
         .option("checkpointLocation", scratch_path(wh.spark, "checkpoint")).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return live.trailing_windows(wh.spark.read.schema(partials.schema).parquet(out))
+    updates = wh.spark.read.schema(T.StructType([*partials.schema, T.StructField("batch", T.LongType())])).parquet(out)
+    return live.trailing_windows(live.latest_partials(updates))
 
 
 def stream_dead_letters(wh: Warehouse) -> DataFrame:
@@ -328,13 +375,23 @@ def stream_dead_letters(wh: Warehouse) -> DataFrame:
 
 
 def stream_progress(wh: Warehouse) -> DataFrame:
-    query = _land(wh, _topic_files(wh), scratch_path(wh.spark, "landing-progress"))
-    return landing.progress(wh.spark, query).agg(F.sum("input_rows").alias("input_rows"))
+    return landing.progress(wh.spark, _landed_once(wh)).agg(F.sum("input_rows").alias("input_rows"))
 
 
 def stream_enriched(wh: Warehouse) -> DataFrame:
-    enriched = live.enrich(wh.mart("fct_sales_realtime"), wh.mart("dim_customer"), wh.mart("dim_product"), wh.mart("dim_store"))
-    return enriched.select("event_id", "store_name", "region", "brand", "category", "value_tier", "segment", "gross_amount")
+    """The realtime fact enriched as a stream; stores with much of the events are spread over tasks."""
+    rows, path, out = wh.raw("stream_sales"), scratch_path(wh.spark, "stream"), scratch_path(wh.spark, "enriched")
+    rows.write.parquet(path)
+    hot = {"store_sk": heavy_keys(wh.mart("fct_sales_realtime"), "store_sk")}
+    fact = live.realtime_fact(wh.spark.readStream.schema(rows.schema).parquet(path))
+    enriched = live.enrich(fact, wh.mart("dim_customer"), wh.mart("dim_product"), wh.mart("dim_store"), hot).select(
+        "event_id", "store_name", "region", "brand", "category", "value_tier", "segment", "gross_amount")
+    query = (
+        enriched.writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", scratch_path(wh.spark, "checkpoint")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return wh.spark.read.schema(enriched.schema).parquet(out)
 
 
 def publish_events(wh: Warehouse) -> DataFrame:
@@ -384,6 +441,8 @@ def _build_catalogue() -> dict[str, Callable[[Warehouse], DataFrame]]:
 
     for kind in ("not_null", "unique", "accepted_values", "relationships", "between", "unique_combination"):
         c[f"dq_{kind}"] = declared(kind)
+    for kind in ("not_null", "unique", "relationships"):
+        c[f"dq_{kind}_damaged"] = damaged(kind)
     c["dq_pre_load"] = declared(of=checks.PRE_LOAD_CHECKS)
     c["dq_repeated_sale_lines"] = repeated_sale_lines
     c["dq_source_freshness"] = lambda wh: reports.source_freshness(wh.table, checks.SOURCE_FRESHNESS, AS_OF)
@@ -411,6 +470,7 @@ def _build_catalogue() -> dict[str, Callable[[Warehouse], DataFrame]]:
     c["load_replace"] = load_replace
     c["load_append_by_name"] = load_append_by_name
     c["load_upsert"] = load_upsert
+    c["load_mixed_strategies"] = load_mixed_strategies
     c["load_audit_records"] = load_audit_records
 
     c["publish_events"] = publish_events
@@ -439,7 +499,7 @@ def _build_catalogue() -> dict[str, Callable[[Warehouse], DataFrame]]:
     c["ingestion_lag"] = lambda wh: reports.last_loaded(wh.table, transactional)
     c["table_profile"] = lambda wh: monitoring.table_profile(
         wh.spark, wh.table, [t.name for t in (*TRANSACTIONAL, *REFERENCE)] + ["no_such_table"]
-    ).drop("problem")
+    ).drop("problem", "sample")
     c["load_history"] = lambda wh: monitoring.load_history(orders_model.load_audit(wh.source), STREAM_AS_OF)
     c["recent_failures"] = lambda wh: monitoring.recent_failures(orders_model.load_audit(wh.source), STREAM_AS_OF, pool="ingest")
     c["recent_copies"] = lambda wh: monitoring.recent_copies(orders_model.load_audit(wh.source), STREAM_AS_OF)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,34 +42,44 @@ class Warehouse:
         """``build_raw`` gives a raw table by name; ``calendar`` fixes the date range, else it follows the facts."""
         self.spark, self.build_raw, self.root, self.as_of = spark, build_raw, root, as_of
         self.calendar, self.source = calendar, source
-        self._written: dict[str, DataFrame] = {}
-        self._views: dict[str, DataFrame] = {}
-        self._paths: dict[str, str] = {}
+        self._lock, self._pending = Lock(), {}
+
+    def _once(self, name: str, make: Callable[[], object]):
+        """The outcome of ``make``, run by the first thread that asks; others wait for it. A failure is not kept."""
+        with self._lock:
+            pending, mine = self._pending.get(name), False
+            if pending is None:
+                pending, mine = self._pending.setdefault(name, Future()), True
+        if mine:
+            try:
+                pending.set_result(make())
+            except BaseException as problem:
+                with self._lock:
+                    del self._pending[name]
+                pending.set_exception(problem)
+        return pending.result()
 
     def _materialise(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._written:
+        def write() -> DataFrame:
             path = f"{self.root}/{name}"
             df = build()
             if name in CLUSTERING:
                 write_clustered(df, path, *CLUSTERING[name])
             else:
                 df.write.mode("overwrite").parquet(path)
-            self._written[name] = self.spark.read.schema(df.schema).parquet(path)
-        return self._written[name]
+            return self.spark.read.schema(df.schema).parquet(path)
+
+        return self._once(f"table {name}", write)
 
     def once(self, name: str, make: Callable[[], str]) -> str:
         """Run something that produces a path once, and remember the path."""
-        if name not in self._paths:
-            self._paths[name] = make()
-        return self._paths[name]
+        return self._once(f"path {name}", make)
 
     def raw(self, entity: str) -> DataFrame:
         return self._materialise(entity, lambda: self.build_raw(entity))
 
     def staged(self, view: str) -> DataFrame:
-        if view not in self._views:
-            self._views[view] = staging.stage(self.raw(staging.VIEWS[view].raw), view)
-        return self._views[view]
+        return staging.stage(self.raw(staging.VIEWS[view].raw), view)
 
     def mart(self, name: str) -> DataFrame:
         return self._materialise(name, lambda: self._build_mart(name))
@@ -114,17 +125,20 @@ class Warehouse:
         self.build(self.MARTS)
 
 
-_open: dict[tuple[str, str], Warehouse] = {}
+# Dates that orders may carry; a date outside is an error the checks must find. The end is exclusive.
+ORDERS_CALENDAR = ("1990-01-01", "2011-01-01")
+
+_open: dict[tuple[str, ...], Warehouse] = {}
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str, as_of) -> Warehouse:
     """The warehouse over the tables in ``sf_dir``, shared by the queries of one application."""
     prepare(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, str(as_of))
     if key not in _open:
         def source(name: str) -> DataFrame:
             return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
         root = scratch_path(spark, "warehouse")
-        _open[key] = Warehouse(spark, lambda entity: orders_model.build(entity, source), root, as_of, source=source)
+        _open[key] = Warehouse(spark, lambda entity: orders_model.build(entity, source), root, as_of, ORDERS_CALENDAR, source)
     return _open[key]

@@ -69,6 +69,7 @@ class RawTable:
         return tuple(c for c in self.columns if not c.filled)
 
 
+# Names, types, widths and wire names of the raw tables.
 C = Column
 _CREATED = C("created_at", "timestamp_ntz", filled=True)
 

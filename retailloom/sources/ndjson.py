@@ -1,13 +1,14 @@
 """Newline-delimited JSON into typed raw tables.
 
-Every line is parsed once against the declared schema, with all values as text,
-and then cast, so a bad value is reported by column instead of voiding the
-line. Extra fields are dropped by the schema.
+Every line is parsed once into its fields, with all values as text, and the
+declared ones are then cast, so a bad value is reported by column instead of
+voiding the line. Fields that are not declared are dropped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from hashlib import md5
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +17,10 @@ from pyspark.sql import types as T
 from retailloom.functions import as_timestamp
 from retailloom.schemas import Column as RawColumn
 from retailloom.schemas import RawTable, raw_table
-from retailloom.session import path_exists
+from retailloom.session import path_exists, scratch_path
 from retailloom.sources.normalise import polymorphic_address, resolve_wire_value
 
 LINE, REASON = "raw_line", "reject_reason"
-_CORRUPT = "_corrupt"
 
 
 def _typed(value: Column, column: RawColumn) -> Column:
@@ -41,31 +41,26 @@ def classify_lines(
     widths = widths or {}
     columns = table.on_the_wire
     names = list(dict.fromkeys(n for c in columns for n in c.wire_names))
-    wire = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    # Stores keep each value's own type, as an address may be text or an object.
+    shaped = table.name == "stores"
+    wire = T.MapType(T.StringType(), T.VariantType() if shaped else T.StringType())
 
     # Exploding a one-element array keeps later filters above the parse, so a line is parsed once.
-    record = F.struct(
-        *carry,
-        F.col("value").alias(LINE),
-        F.from_json("value", wire, options).alias("j"),
-        F.json_object_keys("value").alias("present"),
-    )
+    record = F.struct(*carry, F.col("value").alias(LINE), F.from_json("value", wire).alias("j"))
     parsed = lines.select(F.inline(F.array(record)))
-    field = {n: F.col(f"j.{n}") for n in names}
+    value = {n: F.try_element_at("j", F.lit(n)) for n in names}
+    field = {n: F.try_variant_get(v, "$", "string") for n, v in value.items()} if shaped else value
     text = {
-        c.name: polymorphic_address(F.col(LINE)) if (table.name, c.name) == ("stores", "address") else resolve_wire_value(field, c)
+        c.name: polymorphic_address(value["address"]) if shaped and c.name == "address" else resolve_wire_value(field, c)
         for c in columns
     }
-    staged = parsed.select(
-        *carry, LINE, "present", F.col(f"j.{_CORRUPT}").alias(_CORRUPT), *(text[c.name].alias(f"t_{c.name}") for c in columns)
-    )
+    staged = parsed.select(*carry, LINE, F.map_keys("j").alias("present"), *(text[c.name].alias(f"t_{c.name}") for c in columns))
     typed = staged.select("*", *(_typed(F.col(f"t_{c.name}"), c).alias(c.name) for c in columns))
 
     required = [n for c in columns if not c.optional for n in c.wire_names[:1]]
     missing = F.array_except(F.array(*(F.lit(n) for n in required)), F.col("present"))
     reasons = [
-        F.when(F.col(_CORRUPT).isNotNull() | F.col("present").isNull(), F.lit("malformed")),
+        F.when(F.col("present").isNull(), F.lit("malformed")),
         F.when(F.size(missing) > 0, F.concat(F.lit("missing:"), F.array_join(missing, ","))),
     ]
     for c in columns:
@@ -110,6 +105,7 @@ def read_ndjson(
     rows = classify_lines(read_lines(spark, path), table, as_of, widths)
     reason = F.col(REASON)
     if mode == "strict":
+        # The message shows the beginning of a line; the line itself is in the delivery.
         message = F.concat(F.lit(f"{entity}: "), reason, F.lit(" in: "), F.substring(LINE, 1, 200))
         rows = rows.where(F.when(reason.isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
     elif mode == "lenient":
@@ -144,18 +140,28 @@ def load_with_quarantine(
     tolerance: int,
     as_of="1970-01-01 00:00:00",
     widths: Mapping[str, int] | None = None,
+    load_id: str | None = None,
 ) -> tuple[int, int]:
     """Append fit rows to ``target`` and rejected lines to ``rejects``.
 
-    Rejects are written and counted first; with ``tolerance`` or more of them
-    nothing is appended to the target and the load fails.
+    The delivery is parsed once and stored by outcome; both counts and outputs come
+    from there. Rejects go to ``rejects/load=<load_id>``, by default named after the
+    delivery and the load time, so a retried load replaces its own. With
+    ``tolerance`` or more of them nothing is appended to the target and the load fails.
     """
     from retailloom.sources.writers import counted_write
 
-    good, bad = quarantine_split(spark, path, entity, as_of, widths)
-    rejected = counted_write(bad, lambda df: df.write.mode("append").json(rejects))
+    table = raw_table(entity)
+    rows = classify_lines(read_lines(spark, path), table, as_of, widths)
+    parsed = scratch_path(spark, "parsed")
+    rows.withColumn("rejected", F.col(REASON).isNotNull()).write.partitionBy("rejected").parquet(parsed)
+    stored = spark.read.schema(T.StructType([*rows.schema, T.StructField("rejected", T.BooleanType())])).parquet(parsed)
+    name = load_id or md5(f"{path} {as_of}".encode()).hexdigest()
+    bad = stored.where("rejected").select(LINE, REASON)
+    rejected = counted_write(bad, lambda df: df.write.mode("overwrite").json(f"{rejects}/load={name}"))
     if rejected >= tolerance:
-        raise QuarantineToleranceError(f"{entity}: {rejected} rejected lines, tolerance is {tolerance}; see {rejects}")
+        raise QuarantineToleranceError(f"{entity}: {rejected} rejected lines, tolerance is {tolerance}; see {rejects}/load={name}")
+    good = stored.where("not rejected").select(*table.column_names)
     return counted_write(good, lambda df: df.write.mode("append").parquet(target)), rejected
 
 

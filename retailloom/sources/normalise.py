@@ -27,22 +27,19 @@ def resolve_wire_value(field: Mapping[str, Column], column: RawColumn) -> Column
     return F.coalesce(F.nullif(value, F.lit("")), field[others[0]])
 
 
-def polymorphic_address(line: Column) -> Column:
+def polymorphic_address(address: Column) -> Column:
     """An address given as text stays as it is, as an object becomes "street, city, country".
 
-    The declared schema cannot tell text from an object, so the value's own
-    type is taken from the parsed line.
+    ``address`` is the parsed value with its own type, which a declared schema could not tell.
     """
-    record = F.try_parse_json(line)
-    address = F.try_variant_get(record, "$.address", "variant")
     shape = F.schema_of_variant(address)
 
     def part(name: str) -> Column:
-        return F.coalesce(F.try_variant_get(record, f"$.address.{name}", "string"), F.lit(""))
+        return F.coalesce(F.try_variant_get(address, f"$.{name}", "string"), F.lit(""))
 
     joined = F.concat(part("street"), F.lit(", "), part("city"), F.lit(", "), part("country"))
     return (
-        F.when(shape == "STRING", F.try_variant_get(record, "$.address", "string"))
+        F.when(shape == "STRING", F.try_variant_get(address, "$", "string"))
         .when(shape.startswith("OBJECT"), F.trim(joined, F.lit(", ")))
         .otherwise(F.lit(""))
     )

@@ -50,16 +50,19 @@ def _seconds(amount: Column) -> Column:
 
 
 def sale_lines(source: Source) -> DataFrame:
-    """Line items as sale rows, one per line item: the sale id may repeat."""
+    """Order lines as sale ids that leave the part out, so that some repeat."""
     return source("lineitem").select(_id("S", "l_orderkey", "l_linenumber").alias("sale_id"), "l_orderkey", "l_partkey")
 
 
+# A line item is told apart by these; should one be repeated, its quantities and amounts add up.
+_LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
 def sales(source: Source) -> DataFrame:
-    """One sale per (order, line number). Untaxed lines count as quantity zero."""
-    lines = source("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
-        F.min("l_partkey").alias("partkey"),
-        F.max(F.when(F.col("l_tax") > 0, F.col("l_quantity")).otherwise(F.lit(0.0))).cast("int").alias("quantity"),
-        F.max(_money("l_extendedprice")).alias("total_amount"),
+    """One sale per line item: all quantities and amounts of the line items are kept."""
+    lines = source("lineitem").groupBy(*_LINE).agg(
+        F.sum("l_quantity").cast("int").alias("quantity"),
+        F.sum(_money("l_extendedprice")).cast("decimal(10,2)").alias("total_amount"),
     )
     orders = source("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     customers = source("customer").select("c_custkey", "c_nationkey")
@@ -69,11 +72,11 @@ def sales(source: Source) -> DataFrame:
     )
     sold = F.col("quantity")
     return lines.join(placed, lines.l_orderkey == placed.o_orderkey).select(
-        _id("S", "l_orderkey", "l_linenumber").alias("sale_id"),
+        _id("S", *_LINE).alias("sale_id"),
         F.col("o_orderdate").cast("date").alias("sale_date"),
         _id("C", "o_custkey").alias("customer_id"),
-        _id("P", "partkey").alias("product_id"),
-        F.concat(F.lit("Part "), F.col("partkey").cast("string")).alias("product_name"),
+        _id("P", "l_partkey").alias("product_id"),
+        F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("product_name"),
         sold.alias("quantity"),
         F.coalesce(F.round(F.col("total_amount") / F.nullif(sold, F.lit(0)), 2), F.col("total_amount"))
         .cast("decimal(10,2)").alias("unit_price"),
@@ -87,30 +90,28 @@ def sales(source: Source) -> DataFrame:
 
 
 def returns(source: Source) -> DataFrame:
-    """One return per returned (order, line number, line status); open lines refund above the price."""
+    """One return per returned line item and line status; open lines refund above the price."""
     price = _money("l_extendedprice", "decimal(12,2)")
     rate = F.col("l_discount").cast("decimal(4,2)")
     refund = price * F.when(F.col("l_linestatus") == "F", rate).otherwise(rate + F.lit(1).cast("decimal(1,0)"))
-    lines = source("lineitem").where("l_returnflag = 'R'").groupBy("l_orderkey", "l_linenumber", "l_linestatus").agg(
-        F.min("l_partkey").alias("partkey"),
-        F.min("l_suppkey").alias("suppkey"),
+    lines = source("lineitem").where("l_returnflag = 'R'").groupBy(*_LINE, "l_linestatus").agg(
         F.max("l_shipdate").alias("shipped"),
-        F.max(F.round(refund, 2)).cast("decimal(10,2)").alias("refund_amount"),
+        F.sum(F.round(refund, 2)).cast("decimal(10,2)").alias("refund_amount"),
     )
     orders = source("orders").select("o_orderkey", "o_custkey")
-    final = F.col("l_linestatus") == "F"
+    status = F.col("l_linestatus")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        F.concat(_id("R", "l_orderkey", "l_linenumber"), "l_linestatus").alias("return_id"),
-        _id("S", "l_orderkey", "l_linenumber").alias("sale_id"),
+        F.concat(_id("R", *_LINE), status).alias("return_id"),
+        _id("S", *_LINE).alias("sale_id"),
         _id("C", "o_custkey").alias("customer_id"),
-        _id("P", "partkey").alias("product_id"),
+        _id("P", "l_partkey").alias("product_id"),
         F.col("shipped").cast("date").alias("return_date"),
-        F.when(final, "Changed Mind").otherwise("Defective").alias("reason"),
-        F.when(final, "New").otherwise("Poor").alias("condition"),
+        F.concat(F.lit("line status "), status).alias("reason"),
+        F.concat(F.lit("as shipped, "), status).alias("condition"),
         "refund_amount",
-        F.when(final, "Card Refund").otherwise("Store Credit").alias("refund_method"),
-        _id("STAFF", F.col("suppkey") % 20).alias("processed_by"),
-        F.when(final, "Approved").otherwise("Pending").alias("status"),
+        F.concat(F.lit("method "), status).alias("refund_method"),
+        _id("STAFF", F.col("l_suppkey") % 20).alias("processed_by"),
+        F.when(status == "F", "Approved").otherwise("Pending").alias("status"),
         F.lit(None).cast("string").alias("notes"),
         _hours_after(F.col("shipped"), 6).alias("created_at"),
     )
@@ -132,7 +133,7 @@ def customers(source: Source) -> DataFrame:
         F.when(F.col("c_acctbal") >= 0, _days_after("1999-01-01", key * 7 % 900)).alias("last_purchase_date"),
         (key % 50).cast("int").alias("total_orders"),
         _money("c_acctbal", "decimal(12,2)").alias("lifetime_value"),
-        _choose(key % 4, "Online VIP", "Boutique", "Showroom", "Phone").alias("preferred_channel"),
+        F.concat(F.lit("desk "), F.lower("c_mktsegment")).alias("preferred_channel"),
         (key % 3 == 0).alias("marketing_consent"),
     )
 
@@ -177,7 +178,7 @@ def suppliers(source: Source) -> DataFrame:
         _choose(key % 3, "Leather", "Silk", "Jewellery").alias("specialty"),
         (key % 39 + 7).cast("int").alias("lead_time_days"),
         _money("s_acctbal").alias("minimum_order"),
-        _choose(key % 2, "Net 30", "Net 45").alias("payment_terms"),
+        F.concat(F.lit("terms of nation "), F.col("s_nationkey").cast("string")).alias("payment_terms"),
         ((key % 50 + 5).cast("decimal(4,0)") / 10).cast("decimal(3,2)").alias("quality_rating"),
         _days_after("1990-01-01", key * 11 % 4000).alias("established_date"),
         (key % 20 != 0).alias("is_active"),
@@ -251,7 +252,7 @@ def promotions(source: Source) -> DataFrame:
     )
     starts = _days_after("2001-01-01", F.col("low"))
     return grouped.select(
-        F.concat(F.lit("PROMO"), F.substring("p_type", 1, 3), F.element_at(F.split("p_brand", "#"), -1)).alias("promotion_id"),
+        F.concat(F.lit("PROMO "), F.col("p_type"), F.lit(" "), F.element_at(F.split("p_brand", "#"), -1)).alias("promotion_id"),
         F.concat("p_type", F.lit(" on "), "p_brand").alias("name"),
         F.lit("Seasonal offer").alias("description"),
         F.when(F.col("high") > 45, "PERCENTAGE").otherwise("FIXED").alias("discount_type"),
@@ -283,7 +284,7 @@ def stream_sales(source: Source) -> DataFrame:
         quantity.alias("quantity"),
         price.alias("unit_price"),
         (price * quantity).cast("decimal(14,2)").alias("total_amount"),
-        _choose(F.col("event_id") % 4, "Online VIP", "Boutique", "Showroom", "Phone").alias("channel"),
+        F.concat("event_type", F.lit(" "), (F.col("event_id") % 4).cast("string")).alias("channel"),
         _id("ST", store).alias("store_id"),
         _choose(store % len(COUNTRIES), *COUNTRIES).alias("country"),
         (store % STREAM_PARTITIONS).cast("int").alias("kafka_partition"),

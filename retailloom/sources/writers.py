@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from retailloom.operators.joins import per_key
 from retailloom.operators.monitoring import AUDIT_SCHEMA
-from retailloom.session import path_exists
+from retailloom.session import path_exists, scratch_path
 
 
 def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
@@ -61,17 +61,25 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, order_by: str) ->
     return existing.join(replaced, key, "left_anti").select(*fresh.columns).unionByName(fresh)
 
 
-def load_upsert(spark: SparkSession, df: DataFrame, source: str, target: str, key: str, order_by: str) -> int:
-    """Upsert into the table at ``source``, writing the result to a new path ``target``.
+def load_upsert(spark: SparkSession, df: DataFrame, source: str | list[str], target: str, key: str, order_by: str) -> int:
+    """Upsert into the table at ``source``, one folder or several, writing the result to a new path ``target``.
 
-    The previous version stays readable until callers move to the new one.
+    The previous version stays readable until callers move to the new one. The
+    delivery is reduced to its latest rows once and stored next to the target,
+    as both the kept and the new rows hang on it.
     """
-    if source == target:
+    sources = [source] if isinstance(source, str) else list(source)
+    if target in sources:
         raise ValueError("an upsert is written to a new path, not over the table it reads")
-    if path_exists(spark, source):
-        merged = upsert(spark.read.schema(df.schema).parquet(source), df, key, order_by)
-    else:
-        merged = latest_per_key(df, key, order_by)
+    present = [s for s in sources if path_exists(spark, s)]
+    if not present:
+        return counted_write(latest_per_key(df, key, order_by), lambda d: d.write.mode("overwrite").parquet(target))
+    latest = latest_per_key(df, key, order_by)
+    path = scratch_path(spark, "delivery")
+    latest.write.parquet(path)
+    fresh = spark.read.schema(latest.schema).parquet(path)
+    existing = spark.read.schema(df.schema).parquet(*present)
+    merged = existing.join(fresh.select(key), key, "left_anti").select(*fresh.columns).unionByName(fresh)
     return counted_write(merged, lambda d: d.write.mode("overwrite").parquet(target))
 
 
@@ -126,7 +134,7 @@ def audited_load(
         rows, errors = outcome if isinstance(outcome, tuple) else (outcome, 0)
         status = "PARTIALLY_LOADED" if errors else "LOADED"
     except Exception as e:  # recorded, then raised again
-        problem, status, code, message = e, "FAIL", type(e).__name__, str(e)[:500]
+        problem, status, code, message = e, "FAIL", type(e).__name__, str(e)
     record = LoadAudit(table_name, rows, errors, status, received, _now())
     spark.createDataFrame(
         [(uuid.uuid4().hex, table_name, file_name, actor, pool, status, rows, errors, code, message,

@@ -2,7 +2,9 @@
 
 Layout: ``target/run=<query id>/batch=<batch id>/rejected=<bool>``. A batch that
 is retried after a failure overwrites its own folder, so it cannot land twice.
-Rejected records land in the same commit, next to the rows, never lost.
+Rejected records land in the same commit, next to the rows, never lost. What a
+batch has seen of each topic partition is stored below ``target/_seen``, in
+folders of the same names.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +32,7 @@ _LANDED = T.StructType([
 
 
 def _everything(spark: SparkSession, target: str) -> DataFrame:
-    if not child_names(spark, target):
+    if not any(n.startswith("run=") for n in child_names(spark, target)):
         return spark.createDataFrame([], _LANDED)
     return spark.read.schema(_LANDED).option("basePath", target).parquet(target)
 
@@ -44,11 +47,29 @@ def dead_letters(spark: SparkSession, target: str) -> DataFrame:
     return _everything(spark, target).where("rejected").select(*OFFSET_KEY, LINE, REASON)
 
 
+_SEEN = T.StructType([
+    T.StructField("kafka_partition", T.IntegerType()), T.StructField("records", T.LongType()), T.StructField("first_offset", T.LongType()),
+    T.StructField("last_offset", T.LongType()), T.StructField("run", T.StringType()), T.StructField("batch", T.LongType()),
+])
+
+
+def seen(spark: SparkSession, target: str) -> DataFrame:
+    """Records and offset range that every landed batch took from each topic partition."""
+    if not child_names(spark, f"{target}/_seen"):
+        return spark.createDataFrame([], _SEEN)
+    return spark.read.schema(_SEEN).option("basePath", f"{target}/_seen").parquet(f"{target}/_seen")
+
+
 def committed_offsets(spark: SparkSession, target: str) -> DataFrame:
-    """Highest landed offset and records per partition."""
-    return _everything(spark, target).groupBy("kafka_partition").agg(
+    """Highest landed and highest seen offset, and landed records, per partition.
+
+    The two offsets differ while the last records seen were repeats.
+    """
+    landed_so_far = _everything(spark, target).groupBy("kafka_partition").agg(
         F.max("kafka_offset").alias("committed_offset"), F.count(F.lit(1)).alias("records")
     )
+    reached = seen(spark, target).groupBy("kafka_partition").agg(F.max("last_offset").alias("seen_offset"))
+    return landed_so_far.join(reached, "kafka_partition", "left").select("kafka_partition", "committed_offset", "seen_offset", "records")
 
 
 def resume_offsets(spark: SparkSession, target: str, topic: str) -> str:
@@ -74,26 +95,26 @@ def append_once(
     Without ``repeats`` the batch is known to hold each offset once, as a topic
     guarantees, and is written without a shuffle. ``against`` selects the landed rows this batch may repeat, by ``run`` and
     ``batch``. Repeats are removed by an anti-join on (partition, offset) that
-    reads only landed rows in the batch's own offset range.
+    reads only landed rows within the batch's own offsets of each partition. These
+    ranges, one row per topic partition, are also what is kept of the batch as seen.
     """
     spark = records.sparkSession
     parsed = parse_events(records, ingested_at)
     if repeats:
         parsed = parsed.dropDuplicates(OFFSET_KEY)
-    if against is not None:
-        reach = records.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
-        if reach.lo is not None:
-            earlier = (
-                _everything(spark, target)
-                .where(against)
-                .where(F.col("kafka_offset").between(reach.lo, reach.hi))
-                .select(*OFFSET_KEY)
-            )
-            parsed = parsed.join(earlier, OFFSET_KEY, "left_anti")
+    reach = records.groupBy(F.col("partition").cast("int").alias("kafka_partition")).agg(
+        F.count(F.lit(1)).alias("records"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset")).collect()
+    if against is not None and reach:
+        inside = reduce(lambda a, b: a | b, (
+            (F.col("kafka_partition") == r.kafka_partition) & F.col("kafka_offset").between(r.first_offset, r.last_offset) for r in reach))
+        earlier = _everything(spark, target).where(against).where(inside).select(*OFFSET_KEY)
+        parsed = parsed.join(earlier, OFFSET_KEY, "left_anti")
     (
         parsed.withColumn("rejected", F.col(REASON).isNotNull())
         .write.mode("overwrite").partitionBy("rejected").parquet(f"{target}/run={run}/batch={batch_id}")
     )
+    counts = spark.createDataFrame([(r.kafka_partition, r.records, r.first_offset, r.last_offset) for r in reach], T.StructType(_SEEN.fields[:4]))
+    counts.coalesce(1).write.mode("overwrite").parquet(f"{target}/_seen/run={run}/batch={batch_id}")
 
 
 def land_stream(
@@ -131,34 +152,27 @@ def land_stream(
     return writer.trigger(processingTime=interval).start()
 
 
-def run_bounded(start: Callable[[], StreamingQuery], max_records: int, poll_seconds: float = 0.5) -> int:
-    """Run until at least ``max_records`` were consumed or the source is drained, then stop.
+def run_bounded(spark: SparkSession, start: Callable[[], StreamingQuery], target: str, max_records: int, poll_seconds: float = 0.5) -> int:
+    """Run until at least ``max_records`` were landed or the source is drained, then stop.
 
-    Whole micro-batches are committed, so nothing consumed is left unflushed.
+    Whole micro-batches are committed, so nothing consumed is left unflushed. The
+    counts are those stored with the batches, so none can be forgotten, and include
+    what earlier starts from the same checkpoint landed.
     """
-    query = start()
+    query, reached = start(), 0
     try:
-        while query.isActive and consumed(query) < max_records:
+        while query.isActive and (reached := consumed(spark, target, query.id)) < max_records:
             time.sleep(poll_seconds)
     finally:
         query.stop()
-    return consumed(query)
-
+    return max(reached, consumed(spark, target, query.id))
 
-def consumed(query: StreamingQuery) -> int:
-    return sum(p["numInputRows"] for p in query.recentProgress)
 
+def consumed(spark: SparkSession, target: str, run: str) -> int:
+    """Records that all batches of a run took from the topic."""
+    return seen(spark, target).where(F.col("run") == run).agg(F.sum("records")).first()[0] or 0
 
-PROGRESS_SCHEMA = "batch_id long, at string, input_rows long, input_rows_per_second double, processed_rows_per_second double"
 
-
-def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Throughput per micro-batch, from the query's retained progress reports."""
-    return spark.createDataFrame(
-        [
-            (p["batchId"], p["timestamp"], p["numInputRows"],
-             float(p.get("inputRowsPerSecond") or 0), float(p.get("processedRowsPerSecond") or 0))
-            for p in query.recentProgress
-        ],
-        PROGRESS_SCHEMA,
-    )
+def progress(spark: SparkSession, target: str) -> DataFrame:
+    """Records taken per run and micro-batch, from the counts stored with the batches."""
+    return seen(spark, target).groupBy("run", "batch").agg(F.sum("records").alias("input_rows"))

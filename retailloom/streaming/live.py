@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailloom.functions import boundary_diff
 from retailloom.operators.facts import fct_sales_realtime
+from retailloom.operators.joins import left_join
 from retailloom.operators.staging import stage
 
 DEFAULT_WATERMARK = "1 hour"
@@ -45,6 +48,13 @@ def minute_partials(stream: DataFrame, watermark: str = DEFAULT_WATERMARK) -> Da
     )
 
 
+def latest_partials(updates: DataFrame) -> DataFrame:
+    """The last state of every minute and partition, from updates written per ``batch``."""
+    values = ["events", "sum_ms", "max_ms"]
+    latest = updates.groupBy("minute", "kafka_partition").agg(F.max(F.struct("batch", *values)).alias("last"))
+    return latest.select("minute", "kafka_partition", *(F.col(f"last.{v}").alias(v) for v in values))
+
+
 def trailing_windows(partials: DataFrame, minutes: int = 15) -> DataFrame:
     """Throughput and latency of the trailing ``minutes`` for every minute with such a window.
 
@@ -62,10 +72,19 @@ def trailing_windows(partials: DataFrame, minutes: int = 15) -> DataFrame:
     )
 
 
-def enrich(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, dim_store: DataFrame) -> DataFrame:
-    """The realtime fact with its dimensions' attributes; also for a streaming fact."""
-    return (
-        fact.join(dim_store.select("store_sk", "store_name", "region"), "store_sk", "left")
-        .join(dim_product.select("product_sk", "brand", "category"), "product_sk", "left")
-        .join(dim_customer.select("customer_sk", "value_tier", "segment"), "customer_sk", "left")
-    )
+def enrich(
+    fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, dim_store: DataFrame, hot: Mapping[str, list] | None = None
+) -> DataFrame:
+    """The realtime fact with its dimensions' attributes; also for a streaming fact.
+
+    ``hot`` lists, by key column, the values that hold much of the events (see
+    ``heavy_keys``): a stream's joins are not split at run time, so those are salted.
+    """
+    hot = hot or {}
+    for key, dimension, columns in (
+        ("store_sk", dim_store, ["store_name", "region"]),
+        ("product_sk", dim_product, ["brand", "category"]),
+        ("customer_sk", dim_customer, ["value_tier", "segment"]),
+    ):
+        fact = left_join(fact, dimension.select(key, *columns), key, hot.get(key))
+    return fact

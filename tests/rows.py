@@ -31,13 +31,13 @@ def raw(spark, entity, *rows):
 
 SALE = dict(sale_id="S1", sale_date="2024-01-01", customer_id="C1", product_id="P1", product_name="Item", quantity=1,
             unit_price=10, total_amount=10, channel="online", store_id="ST1", country="France", created_at="2024-01-01 08:00:00")
-RETURN = dict(return_id="R1", sale_id="S1", customer_id="C1", product_id="P1", return_date="2024-01-05", reason="Defective",
-              condition="New", refund_amount=4, refund_method="Card Refund", processed_by="STAFF1", status="Approved")
-CUSTOMER = dict(customer_id="C1", first_name="Ada", last_name="Byron", segment="VIP", preferred_channel="Boutique",
+RETURN = dict(return_id="R1", sale_id="S1", customer_id="C1", product_id="P1", return_date="2024-01-05", reason="torn",
+              condition="worn", refund_amount=4, refund_method="cash", processed_by="STAFF1", status="Approved")
+CUSTOMER = dict(customer_id="C1", first_name="Ada", last_name="Byron", segment="VIP", preferred_channel="desk",
                 marketing_consent=True, lifetime_value=100, last_purchase_date="2023-05-01", date_of_birth="2000-12-31")
-EVENT = dict(event_id="e1", sale_id="S1", event_ts="2026-06-07 10:00:00", sale_date="2026-06-07", customer_id="C1", product_id="P1",
-             product_name="Dior Veste", quantity=2, unit_price=10, total_amount=20, channel="Boutique", store_id="ST1", country="France",
-             kafka_partition=1, kafka_offset=42, ingested_at="2026-06-07 10:00:01.500")
+EVENT = dict(event_id="ev1", sale_id="S1", event_ts="2025-03-02 10:00:00", sale_date="2025-03-02", customer_id="C1", product_id="P1",
+             product_name="Oak stool", quantity=2, unit_price=10, total_amount=20, channel="kiosk", store_id="ST1", country="France",
+             kafka_partition=1, kafka_offset=810, ingested_at="2025-03-02 10:00:01.500")
 
 
 def sale(**changes):

@@ -87,12 +87,42 @@ def test_stored_history_rewrites_no_closed_version(spark, path):
         expected = history.scd2(expected, customers(spark, row), as_of)
     stored = history.read_history(spark, root)
     assert versions(stored) == versions(expected) and stored.columns == expected.columns
-    history.record_snapshot(spark, root, customers(spark, deliveries[-1][1]), T3)  # a repeated run replaces itself
+    history.record_snapshot(spark, root, customers(spark, deliveries[-1][1]), T3)  # a repeated run changes nothing
     assert versions(history.read_history(spark, root)) == versions(expected)
-    assert spark.read.parquet(f"{root}/run=t20240301000000/closed=true").count() == 1
+    assert spark.read.parquet(f"{root}/run=t20240301000000000000/closed=true").count() == 1
 
 
 def test_conflicting_observations_fail(spark):
     with pytest.raises(PySparkException, match="conflicting rows for key C1"):
         history.scd2(None, customers(spark, customer(), customer(segment="Gold")), T1).collect()
     assert history.scd2(None, customers(spark, customer(), customer()), T1).count() == 1
+
+
+def test_two_runs_within_a_second_are_two(spark, path):
+    for at, segment in (("2024-01-01 00:00:00.100", "VIP"), ("2024-01-01 00:00:00.900", "Gold")):
+        history.record_snapshot(spark, path("h"), customers(spark, customer(segment=segment)), at)
+    assert {(r.segment, r.valid_to is None) for r in history.read_history(spark, path("h")).collect()} == {("VIP", False), ("Gold", True)}
+    assert history.run_label("2024-01-01 02:00:00+02:00") == history.run_label("2024-01-01") == "t20240101000000000000"
+
+
+def test_an_interrupted_run_is_not_seen(spark, path, tmp_path):
+    history.record_snapshot(spark, path("h"), customers(spark, customer()), T1)
+    (tmp_path / "h" / "run=t20240201000000000000" / "_temporary").mkdir(parents=True)
+    assert history.read_history(spark, path("h")).count() == 1
+    history.record_snapshot(spark, path("h"), customers(spark, customer(segment="Gold")), T2)
+    assert history.read_history(spark, path("h")).count() == 2
+
+
+def test_an_empty_run_can_be_followed(spark, path):
+    history.record_snapshot(spark, path("h"), customers(spark), T1)
+    assert history.read_history(spark, path("h")).count() == 0
+    history.record_snapshot(spark, path("h"), customers(spark, customer()), T2)
+    assert versions(history.read_history(spark, path("h"))) == [("C1", "2024-02-01", "None", "VIP")]
+
+
+def test_older_or_different_runs_are_refused(spark, path):
+    history.record_snapshot(spark, path("h"), customers(spark, customer()), T2)
+    with pytest.raises(history.HistoryOrderError):
+        history.record_snapshot(spark, path("h"), customers(spark, customer()), T1)
+    with pytest.raises(history.HistoryOrderError):
+        history.record_snapshot(spark, path("h"), customers(spark, customer(segment="Gold")), T2)

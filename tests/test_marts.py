@@ -97,7 +97,7 @@ def test_fact_returns_orphans_and_percent(spark):
 def test_realtime_fact_is_a_projection(spark):
     fact = facts.fct_sales_realtime(staged(spark, "stg_stream_sales", "stream_sales", event()))
     assert "Exchange" not in fact._jdf.queryExecution().executedPlan().toString()
-    assert fact.first().event_sk == hashed("e1")
+    assert fact.first().event_sk == hashed("ev1")
 
 
 def test_build_time_is_added_on_request(spark):

@@ -12,7 +12,7 @@ from retailloom.streaming import events, landing, live
 
 def some_events(spark, n, start=0):
     return raw(spark, "stream_sales", *(
-        event(event_id=f"e{i}", store_id=f"ST{i % 5}", kafka_partition=i % 3, kafka_offset=i // 3, ingested_at=f"2026-06-07 10:{i % 60:02d}:01.500")
+        event(event_id=f"e{i}", store_id=f"ST{i % 5}", kafka_partition=i % 3, kafka_offset=i // 3, ingested_at=f"2025-03-02 10:{i % 60:02d}:01.500")
         for i in range(start, start + n)))
 
 
@@ -34,7 +34,7 @@ def test_published_value_has_all_fields_and_round_trips(spark):
     df = some_events(spark, 6)
     value = json.loads(records(df).first().value)
     assert list(value) == events.EVENT_FIELDS and len(value) == 13
-    assert value["event_ts"] == "2026-06-07T10:00:00.000000+00:00"
+    assert value["event_ts"] == "2025-03-02T10:00:00.000000+00:00"
     back = events.usable(events.parse_events(records(df), F.col("event_ts") + F.expr("interval 1 second")))
     same = [c for c in df.columns if c != "ingested_at"]
     assert back.select(same).exceptAll(df.select(same)).count() == 0 and back.count() == 6
@@ -47,10 +47,10 @@ def test_a_key_stays_on_one_partition_without_a_shuffle(spark):
 
 
 def test_event_times_with_offset_are_read(spark):
-    value = {f: "1" for f in events.EVENT_FIELDS} | {"event_ts": "2026-06-07T10:00:00+00:00", "sale_date": "2026-06-07"}
-    df = spark.createDataFrame([("k", json.dumps(value), 1, 42)], topics.RECORD_SCHEMA)
+    value = {f: "1" for f in events.EVENT_FIELDS} | {"event_ts": "2025-03-02T10:00:00+00:00", "sale_date": "2025-03-02"}
+    df = spark.createDataFrame([("k", json.dumps(value), 1, 810)], topics.RECORD_SCHEMA)
     row = events.parse_events(df).first()
-    assert str(row.event_ts) == "2026-06-07 10:00:00" and (row.kafka_partition, row.kafka_offset) == (1, 42)
+    assert str(row.event_ts) == "2025-03-02 10:00:00" and (row.kafka_partition, row.kafka_offset) == (1, 810)
     assert row.ingested_at is not None and row.reject_reason is None
 
 
@@ -60,10 +60,11 @@ def test_restart_with_the_checkpoint_lands_only_news(spark, path):
     land(spark, source, target, checkpoint)
     records(some_events(spark, 60, start=90)).write.mode("append").parquet(source)
     query = land(spark, source, target, checkpoint)
-    assert landing.consumed(query) == 60
+    assert landing.consumed(spark, target, query.id) == 150
+    assert landing.progress(spark, target).where("input_rows = 60").count() == 1
     got = pairs(landing.landed(spark, target))
     assert len(got) == 150 == len(set(got))
-    assert {(r.kafka_partition, r.committed_offset) for r in landing.committed_offsets(spark, target).collect()} == {(0, 49), (1, 49), (2, 49)}
+    assert {(r.kafka_partition, r.committed_offset, r.seen_offset) for r in landing.committed_offsets(spark, target).collect()} == {(0, 49, 49), (1, 49, 49), (2, 49, 49)}
 
 
 def test_lost_checkpoint_replays_without_duplicates(spark, path):
@@ -113,18 +114,28 @@ def test_malformed_records_become_dead_letters(spark, path):
 def test_bounded_run_and_progress(spark, path):
     for start in range(0, 40, 10):
         records(some_events(spark, 10, start=start)).coalesce(1).write.mode("append").parquet(path("topic"))
-    query = None
 
     def start():
-        nonlocal query
-        query = landing.land_stream(topics.read_record_files(spark, path("topic"), 1), path("landing"), path("checkpoint"), interval="0 seconds")
-        return query
+        return landing.land_stream(topics.read_record_files(spark, path("topic"), 1), path("landing"), path("checkpoint"), interval="0 seconds")
 
-    assert landing.run_bounded(start, 20, 0.1) >= 20
-    landed = landing.landed(spark, path("landing")).count()
-    assert landed >= 20
-    # The progress of a batch may be reported just before or after the query is stopped.
-    assert landing.progress(spark, query).agg(F.sum("input_rows")).first()[0] in range(20, landed + 1)
+    reached = landing.run_bounded(spark, start, path("landing"), 20, 0.1)
+    assert reached >= 20 and landing.landed(spark, path("landing")).count() >= 20
+    assert landing.progress(spark, path("landing")).agg(F.sum("input_rows")).first()[0] == landing.landed(spark, path("landing")).count()
+
+
+def test_counts_outlive_the_retained_reports(spark, path):
+    one = records(some_events(spark, 1)).collect()[0]
+    for batch in range(150):
+        landing.append_once(spark.createDataFrame([(*one[:3], batch)], topics.RECORD_SCHEMA), batch, path("landing"), "run-a", repeats=False)
+    assert landing.consumed(spark, path("landing"), "run-a") == 150 == landing.progress(spark, path("landing")).count()
+
+
+def test_repeats_are_seen_but_not_landed(spark, path):
+    df = records(some_events(spark, 6))
+    landing.append_once(df, 0, path("landing"), "run-a")
+    landing.append_once(df, 0, path("landing"), "run-b", against=F.col("run") != "run-b")
+    assert landing.landed(spark, path("landing")).count() == 6
+    assert landing.consumed(spark, path("landing"), "run-b") == 6
 
 
 def test_landing_an_empty_target_reads_as_empty(spark, path):
@@ -167,18 +178,18 @@ def test_late_events_beyond_the_watermark_are_dropped_from_live_metrics_only(spa
         return run_to_files(spark, live.minute_partials(stream, "5 minutes"), path("out"), path("checkpoint"))
 
     first = minutes().count()
-    raw(spark, "stream_sales", event(event_id="late", ingested_at="2026-06-07 01:00:00")).write.mode("append").parquet(path("stream"))
-    assert minutes().where("minute < '2026-06-07 09:00:00'").count() == 0 and first > 0
+    raw(spark, "stream_sales", event(event_id="late", ingested_at="2025-03-02 01:00:00")).write.mode("append").parquet(path("stream"))
+    assert minutes().where("minute < '2025-03-02 09:00:00'").count() == 0 and first > 0
 
 
 def test_trailing_windows_from_partials(spark):
     partials = spark.createDataFrame(
-        [("2026-06-07 10:00:00", 0, 2, 3000, 2000), ("2026-06-07 10:01:00", 1, 1, 600, 600)],
+        [("2025-03-02 10:00:00", 0, 2, 3000, 2000), ("2025-03-02 10:01:00", 1, 1, 600, 600)],
         "minute string, kafka_partition int, events long, sum_ms long, max_ms long",
     ).withColumn("minute", F.col("minute").cast("timestamp_ntz"))
     got = {str(r.window_end): r for r in live.trailing_windows(partials, 2).collect()}
     assert {k: (r.events, r.avg_latency_seconds, r.active_partitions) for k, r in got.items()} == {
-        "2026-06-07 10:01:00": (2, 1.5, 1), "2026-06-07 10:02:00": (3, 1.2, 2), "2026-06-07 10:03:00": (1, 0.6, 1)}
+        "2025-03-02 10:01:00": (2, 1.5, 1), "2025-03-02 10:02:00": (3, 1.2, 2), "2025-03-02 10:03:00": (1, 0.6, 1)}
 
 
 def test_enrichment_keeps_unmatched_events(spark):
@@ -195,7 +206,7 @@ def test_dry_run_prints_and_stops(spark, path):
     records(some_events(spark, 3)).write.parquet(path("topic"))
     query = events.print_events(events.parse_events(topics.read_record_files(spark, path("topic"))), path("checkpoint"))
     query.awaitTermination()
-    assert landing.consumed(query) == 3
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 3
 
 
 def test_topic_source_needs_the_connector(spark):
