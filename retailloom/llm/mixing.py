@@ -22,7 +22,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
 
-_BUCKETS = 4096
 _CHUNK = 1 << 16
 _LOW = 1 << 20
 
@@ -60,10 +59,13 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int
 
 
 def streams(sized: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
-    """Adds ``sid`` and ``offset``, a document's place in its source's shuffled stream of words."""
-    key = F.xxhash64("doc_id", F.lit(seed))
+    """Adds ``sid`` and ``offset``, a document's place in its source's shuffled stream of words.
+
+    The order is by hash; its first three hex digits deal a source to 4096 buckets.
+    """
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id")))
     rows = sized.join(sources.select(F.col("source").alias("s"), "sid"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    rows = rows.withColumn("key", key).withColumn("bucket", F.shiftright("key", 52))
+    rows = rows.withColumn("key", key).withColumn("bucket", F.substring("key", 1, 3))
     within = Window.partitionBy("sid", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -113,7 +113,7 @@ def _train(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, width: int, st
     return QualityModel((embed @ (out[:, 1] - out[:, 0])).astype(np.float64), float(bias[1] - bias[0]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = 6000, width: int = 8, steps: int = 800, rate: float = 0.3) -> QualityModel:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = 6000, width: int = 8, steps: int = 800, rate: float = 1.0) -> QualityModel:
     """Learn ``label`` from at most ``sample`` labelled documents outside the held-out fold, chosen by a hash of their id.
 
     Documents and labels meet on ``doc_id``; repeated label rows count as often as

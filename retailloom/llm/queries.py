@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailloom.llm import chat, decontaminate, jaccard, language, licenses, mixing, quality, secrets, tokens, topk
+from retailloom.llm.oracle import oracle_sql  # noqa: F401
 from retailloom.llm.shared import held_out, ready
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,7 +81,3 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_license_scan, op2_token_output, op3_language_id, op4_decontaminate, op5_secret_scan,
     op6_jaccard_join, op7_quality, op8_chat_format, op9_source_mix, op10_topk)}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
