@@ -5,11 +5,11 @@ with equal sets form one class first, so exact copies never meet in pairs.
 
 A run gives each set a small tree: the root samples about ``breadth / similarity``
 of its tokens, each sampled token a next level, and so on, by a hash of the path,
-so two sets that share the sampled tokens share the path. Sets that share a path
-form a bucket. A bucket that is small at one level is compared by brute force
-there, a larger one is split by the next level, and what is still large at the
-last level is dealt out in blocks. Runs are repeated until a pair at the bound is
-met with the target probability.
+so two sets that share the sampled tokens share the path. Sets that share a whole
+path form a bucket: each level splits it by one more shared token, which parts
+sets that have a passage in common and little else. Buckets are compared by brute
+force, in blocks where they are large. Runs are repeated until a pair at the bound
+is met with the target probability.
 
 Buckets compare sketches, whose bound lies five deviations below the similarity,
 and pass on only a star of each linked cluster. The clusters' documents are then
@@ -69,34 +69,23 @@ def sketches(keys: np.ndarray, rows: int) -> np.ndarray:
 
 
 def paths(keys: np.ndarray, sizes: np.ndarray, similarity: float, breadth: float, depth: int, runs: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, path at each level) of every leaf of every tree; 0 stands for the levels below a node without children."""
+    """(row, path) of every leaf of every tree, by row."""
     width = np.where(sizes > 0, np.minimum(1.0, breadth / (similarity * np.maximum(sizes, 1))), 0)
     span = np.minimum((width * float(1 << 48)).astype(U64) + U64(1), U64(1 << 48))
     row = np.tile(np.flatnonzero(sizes > 0), runs)
     node = np.repeat(np.array([salt(100 + r) for r in range(runs)], U64), int((sizes > 0).sum()))
-    levels = np.zeros((len(row), 0), U64)
-    ended: list[tuple[np.ndarray, np.ndarray]] = []
-    for level in range(depth):
+    for _ in range(depth):
         # The tokens within ``span`` above a point named by the path, around the end if need be: one or two ranges.
         start, high = node >> U64(16), row.astype(U64) << _TOKEN_BITS
         stop = start + span[row]
         over = np.maximum(stop, U64(1 << 48)) - U64(1 << 48)
         stop = np.minimum(stop, U64(1 << 48))
-        low1, high1 = np.searchsorted(keys, high + start), np.searchsorted(keys, high + stop)
-        low2, high2 = np.searchsorted(keys, high), np.searchsorted(keys, high + np.minimum(over, start))
-        owner1, index1 = ranges(low1, high1)
-        owner2, index2 = ranges(low2, high2)
+        owner1, index1 = ranges(np.searchsorted(keys, high + start), np.searchsorted(keys, high + stop))
+        owner2, index2 = ranges(np.searchsorted(keys, high), np.searchsorted(keys, high + np.minimum(over, start)))
         owner, index = np.concatenate([owner1, owner2]), np.concatenate([index1, index2])
-        barren = np.ones(len(row), bool)
-        barren[owner] = False
-        if level and barren.any():
-            ended.append((row[barren], np.pad(levels[barren], ((0, 0), (0, depth - level)))))
-        child = mix(node[owner] ^ mix(keys[index] & _TOKEN)) | U64(1)
-        row, levels, node = row[owner], np.concatenate([levels[owner], child[:, None]], 1), child
-    ended.append((row, levels))
-    row, levels = np.concatenate([e[0] for e in ended]), np.concatenate([e[1] for e in ended])
+        node, row = mix(node[owner] ^ mix(keys[index] & _TOKEN)), row[owner]
     order = np.argsort(row, kind="stable")
-    return row[order], levels[order]
+    return row[order], node[order]
 
 
 def _describe(size: int, similarity: float, breadth: float, depth: int, runs: int):
@@ -107,12 +96,12 @@ def _describe(size: int, similarity: float, breadth: float, depth: int, runs: in
                     keys, sizes = token_sets(data, at, size)
                     token = keys & _TOKEN
                     key1, key2 = _sums(mix(token ^ salt(1)), sizes), _sums(mix(token ^ salt(2)), sizes)
-                    row, levels = paths(keys, sizes, similarity, breadth, depth, runs)
+                    row, path = paths(keys, sizes, similarity, breadth, depth, runs)
                 leaves = np.bincount(row, minlength=end - first)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, end - first), pa.array(key1.view(np.int64)), pa.array(key2.view(np.int64)), pa.array(sizes.astype(np.int64)), pa.array(np.diff(at)),
-                     binary_column(sketches(keys, end - first)), list_column(levels.reshape(-1).view(np.int64), leaves * depth, pa.int64())],
-                    ["doc_id", "key1", "key2", "n_tokens", "n_bytes", "sketch", "leaves"])
+                     binary_column(sketches(keys, end - first)), list_column(path.view(np.int64), leaves, pa.int64())],
+                    ["doc_id", "key1", "key2", "n_tokens", "n_bytes", "sketch", "paths"])
 
     return run
 
@@ -292,31 +281,14 @@ def near_duplicates(
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     described = stored(named.mapInArrow(
         _describe(size, similarity, breadth, depth, runs_needed(recall, breadth, depth)),
-        "doc_id long, key1 long, key2 long, n_tokens long, n_bytes long, sketch binary, leaves array<bigint>"), "described")
+        "doc_id long, key1 long, key2 long, n_tokens long, n_bytes long, sketch binary, paths array<bigint>"), "described")
     whole = described.where("n_tokens > 0 and doc_id is not null")
     classes = stored(whole.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n_bytes").alias("n_bytes")), "classes")
     first = whole.withColumnRenamed("doc_id", "rep").join(classes.select("key1", "key2", "rep"), ["key1", "key2", "rep"])
 
-    def nodes(level: int) -> DataFrame:
-        """(bucket, rep) of every node of a level, with its parent; a tree's nodes are told apart within the row."""
-        at = F.sequence(F.lit(0), F.floor(F.size("leaves") / depth).cast("int") - 1)
-        pair = F.transform(at, lambda i: F.struct(
-            F.get("leaves", i * depth + level).alias("bucket"), F.get("leaves", i * depth + max(level - 1, 0)).alias("parent")))
-        found = first.where(F.size("leaves") > 0).select("rep", F.explode(F.array_distinct(pair)).alias("node"))
-        return found.select("rep", "node.bucket", "node.parent").where("bucket <> 0")
-
-    members, large = None, None
-    for level in range(depth):
-        here = nodes(level)
-        if large is not None:
-            here = here.join(large, F.col("parent") == F.col("full"), "left_semi")
-        here = here.select("bucket", "rep")
-        sizes = here.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-        sizes = stored(sizes, "sizes")
-        part = here.join(sizes if level == depth - 1 else sizes.where(F.col("n") <= bucket), "bucket")
-        members = part if members is None else members.union(part)
-        large = sizes.where(F.col("n") > bucket).select(F.col("bucket").alias("full"))
-    members = stored(_in_blocks(members, F.ceil(F.col("n") / bucket).cast("long"), ["bucket"]), "members")
+    leaves = first.select("rep", F.explode(F.array_distinct("paths")).alias("bucket"))
+    sizes = leaves.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(_in_blocks(leaves.join(sizes, "bucket"), F.ceil(F.col("n") / bucket).cast("long"), ["bucket"]), "members")
     sketch = first.select("rep", "sketch").join(members.select("rep").distinct(), "rep", "left_semi")
     bound = similarity - 5 * math.sqrt(similarity * (1 - similarity) / BINS)
     links = (
