@@ -264,6 +264,18 @@ def _in_blocks(rows: DataFrame, blocks, keep: list[str]) -> DataFrame:
     return dealt.select(*keep, "rep", "side", F.least("side", "other").alias("one"), F.greatest("side", "other").alias("two"))
 
 
+def _possible(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose ``rep`` may be among ``ids``, by a bitmap of hashes that is sent to all tasks.
+
+    The bitmap has 2^24 bits, at most 2^18 rows of 64, however many ids there are:
+    with very many it lets more rows through, and the join that follows drops them.
+    """
+    word, bit = F.expr("shiftright(pmod(xxhash64(rep), 16777216), 6)"), F.expr("shiftleft(1L, cast(pmod(xxhash64(rep), 64) as int))")
+    bitmap = ids.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    marked = rows.withColumns({"word": word, "bit": bit}).join(F.broadcast(bitmap), "word")
+    return marked.where(F.col("bits").bitwiseAND(F.col("bit")) != 0).select(*rows.columns)
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 5, similarity: float = 0.8, recall: float = 0.9999, breadth: float = 1.25, depth: int = 2,
     bucket: int = 512, block_bytes: int = 4 << 20,
@@ -299,7 +311,7 @@ def near_duplicates(
     reps = classes.groupBy("rep").agg(F.sum("copies").alias("copies"), F.max("n_bytes").alias("n_bytes"))
     wanted = stored(clusters.select(F.col("node").alias("rep"), "component").join(reps, "rep"), "wanted")
     sizes = wanted.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("bytes"))
-    texts = named.withColumnRenamed("doc_id", "rep").join(wanted.join(sizes, "component"), "rep")
+    texts = _possible(named.withColumnRenamed("doc_id", "rep"), wanted).join(wanted.join(sizes, "component").hint("merge"), "rep")
     # A doc_id that stands on several rows is one member.
     texts = texts.groupBy("rep", "component", "copies", "n", "bytes").agg(F.min("text").alias("text"))
     blocks = F.greatest(F.ceil(F.col("n") / bucket), F.ceil(F.col("bytes") / block_bytes)).cast("long")
