@@ -33,39 +33,84 @@ LAYOUT = {
     "parquet.enable.dictionary#doc_id": "false",
     "parquet.enable.dictionary#local_start": "false",
 }
-_KEPT_CHUNKS = 400_000
-_KEPT_LENGTH = 64
+# A task keeps the ids of up to twice this many chunks of at most this length, and takes texts in runs of this many characters.
+_KEPT_CHUNKS = 120_000
+_KEPT_LENGTH = 32
+_RUN_CHARS = 1_000_000
+_JOINED_CHUNKS = 64
 _encoders: dict[str, "ChunkEncoder"] = {}
 
 
 class ChunkEncoder:
-    """Whole texts encoded blank by blank; ids of short chunks are kept, up to a bound.
+    """Whole texts encoded chunk by chunk, parted at blanks and line feeds; ids of short chunks are kept, up to a bound.
 
     The tokenizer drops white space before it looks for words, and no word or
     special token spans a blank or a line feed, so a text's ids are those of its
-    chunks one after the other. Every id comes from the library.
+    chunks one after the other. Every id comes from the library. New chunks of
+    letters, or of letters and a stop or comma, are handed over many at a time,
+    joined by blanks: they are one word, or two, and the vocabulary marks where a
+    word ends. Of the kept chunks, those not used for long are forgotten first.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        chunks = [text.replace("\n", " ").split(" ") for text in texts]
-        fresh = [c for c in set().union(*chunks) if c not in self.known]
-        if len(self.known) + len(fresh) > _KEPT_CHUNKS:
-            self.known = {"": b""}
-            fresh = list(set().union(*chunks) - {""})
-        for first in range(0, len(fresh), 20_000):
-            part = fresh[first : first + 20_000]
-            for chunk, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[chunk] = np.array(found.ids, "<u4").tobytes()
-        known = self.known
-        out = [b"".join([known[c] for c in row]) + end for row in chunks]
+    def _learn(self, fresh: list[str]) -> None:
+        plain, single = [], []
         for chunk in fresh:
-            if len(chunk) > _KEPT_LENGTH:
-                del known[chunk]
+            (plain if chunk.isalpha() or chunk[-1:] in (".", ",") and chunk[:-1].isalpha() else single).append(chunk)
+        groups = [plain[i : i + _JOINED_CHUNKS] for i in range(0, len(plain), _JOINED_CHUNKS)]
+        known = self.recent
+        for group, found in zip(groups, self._encoded([" ".join(g) for g in groups]), strict=True):
+            ids = np.array(found.ids, "<u4")
+            ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
+            last = [1 if chunk.isalpha() else 2 for chunk in group]
+            # No chunk has fewer words than that; more in all means a letter was normalised to several, so each is encoded alone.
+            if len(ends) != sum(last):
+                single += group
+                continue
+            raw, begin, word = ids.tobytes(), 0, -1
+            for chunk, n in zip(group, last, strict=True):
+                word += n
+                known[chunk] = raw[begin : ends[word]]
+                begin = ends[word]
+        for chunk, found in zip(single, self._encoded(single), strict=True):
+            known[chunk] = np.array(found.ids, "<u4").tobytes()
+
+    def _encoded(self, texts: list[str]):
+        for first in range(0, len(texts), 2000):
+            yield from self.tokenizer.encode_batch_fast(texts[first : first + 2000], add_special_tokens=False)
+
+    def encode(self, texts: list[str], end: bytes) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit values, closed by ``end``."""
+        out, first = [], 0
+        while first < len(texts):
+            last, size = first, 0
+            while last < len(texts) and (last == first or size + len(texts[last]) <= _RUN_CHARS):
+                size += len(texts[last])
+                last += 1
+            chunks = [text.replace("\n", " ").split(" ") for text in texts[first:last]]
+            if len(self.recent) > _KEPT_CHUNKS:
+                self.recent, self.older = {}, self.recent
+            missing = set().union(*chunks) - self.recent.keys()
+            again = missing & self.older.keys()
+            for chunk in again:
+                self.recent[chunk] = self.older[chunk]
+            fresh = list(missing - again)
+            self._learn(fresh)
+            known = self.recent
+            out += [b"".join([known[c] for c in row]) + end for row in chunks]
+            for chunk in fresh:
+                if len(chunk) > _KEPT_LENGTH:
+                    del known[chunk]
+            first = last
         return out
 
 
@@ -104,17 +149,21 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, pa
     ordered.mapInArrow(_encode(tokenizer, end_id), FILE_SCHEMA).write.options(**LAYOUT).parquet(path)
 
 
+def _placed(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """Adds to rows of the files, by ``part``, the ids of all parts before theirs; only the two small columns are read for it."""
+    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("size"))
+    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = parts.select("part", F.coalesce(F.sum("size").over(order), F.lit(0)).alias("base"))
+    return rows.join(base, "part").withColumn("start", F.col("base") + F.col("local_start"))
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """The documents of such files, with ``start``, the ids of all documents before each.
 
-    Only the two small columns of the parts are read to place them; a reader that
-    selects no ``ids`` never touches their pages.
+    A reader that selects no ``ids`` never touches their pages.
     """
     files = spark.read.schema(FILE_SCHEMA).parquet(path)
-    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("size"))
-    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = parts.select("part", F.coalesce(F.sum("size").over(order), F.lit(0)).alias("base"))
-    return files.join(base, "part").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), F.col("n_tokens").cast("long").alias("n_tokens"), "ids")
+    return _placed(files, files).select("doc_id", "start", F.col("n_tokens").cast("long").alias("n_tokens"), "ids")
 
 
 def _digest(batches):
@@ -124,18 +173,23 @@ def _digest(batches):
         flat = ids.values.to_numpy(zero_copy_only=False).astype("<u4")
         crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(np.diff(ends).astype(np.int64)), pa.array(crc, pa.int64())],
-            ["doc_id", "start", "n_tokens", "ids_crc32"])
+            [*batch.columns[:3], pa.array(np.diff(ends).astype(np.int64)), pa.array(crc, pa.int64())],
+            ["doc_id", "part", "local_start", "n_tokens", "ids_crc32"])
 
 
-def digest(tokens: DataFrame) -> DataFrame:
-    """Per document of ``read_tokens``: its place, length, and the crc32 of its ids as little-endian 32-bit values."""
-    return tokens.select("doc_id", "start", "ids").mapInArrow(_digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+def digest(spark: SparkSession, path: str) -> DataFrame:
+    """Per document of such files: its place, length, and the crc32 of its ids as little-endian 32-bit values.
+
+    The ids are reduced where they are read, before anything is shuffled.
+    """
+    files = spark.read.schema(FILE_SCHEMA).parquet(path)
+    rows = files.select("doc_id", "part", "local_start", "ids").mapInArrow(
+        _digest, "doc_id long, part int, local_start long, n_tokens long, ids_crc32 long")
+    return _placed(files, rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def token_output(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     """Write the documents' ids to the cluster's shared folder and digest what the files hold."""
-    spark = docs.sparkSession
-    path = scratch_path(spark, "tokens")
+    path = scratch_path(docs.sparkSession, "tokens")
     write_tokens(docs, path, tokenizer, end_id)
-    return digest(read_tokens(spark, path))
+    return digest(docs.sparkSession, path)
