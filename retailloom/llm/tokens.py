@@ -9,6 +9,7 @@ Page indexes let a reader of one id range, or of the metadata columns, skip all
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -34,9 +35,9 @@ LAYOUT = {
     "parquet.enable.dictionary#local_start": "false",
 }
 # A task keeps the ids of up to twice this many chunks of at most this length, and takes texts in runs of this many characters.
-_KEPT_CHUNKS = 120_000
+_KEPT_CHUNKS = 150_000
 _KEPT_LENGTH = 32
-_RUN_CHARS = 1_000_000
+_RUN_CHARS = 500_000
 _JOINED_CHUNKS = 64
 _encoders: dict[str, "ChunkEncoder"] = {}
 
@@ -53,6 +54,8 @@ class ChunkEncoder:
     """
 
     def __init__(self, path: str):
+        # Spark's tasks are the parallelism; the library's own threads would only contend for the same cores.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -62,31 +65,31 @@ class ChunkEncoder:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def _learn(self, fresh: list[str]) -> None:
-        plain, single = [], []
-        for chunk in fresh:
-            (plain if chunk.isalpha() or chunk[-1:] in (".", ",") and chunk[:-1].isalpha() else single).append(chunk)
-        groups = [plain[i : i + _JOINED_CHUNKS] for i in range(0, len(plain), _JOINED_CHUNKS)]
-        known = self.recent
+    def _learn(self, fresh: set[str]) -> None:
+        words = [c for c in fresh if c.isalpha()]
+        rest = fresh.difference(words)
+        closed = [c for c in rest if c[-1:] in (".", ",") and c[:-1].isalpha()]
+        single = [*rest.difference(closed), *self._joined(words, 1), *self._joined(closed, 2)]
+        for chunk, found in zip(single, self._encoded(single), strict=True):
+            self.recent[chunk] = np.array(found.ids, "<u4").tobytes()
+
+    def _joined(self, chunks: list[str], words: int) -> list[str]:
+        """Learns chunks of at least so many words each, many at a time; returns those that must be encoded alone."""
+        left: list[str] = []
+        groups = [chunks[i : i + _JOINED_CHUNKS] for i in range(0, len(chunks), _JOINED_CHUNKS)]
         for group, found in zip(groups, self._encoded([" ".join(g) for g in groups]), strict=True):
             ids = np.array(found.ids, "<u4")
             ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
-            last = [1 if chunk.isalpha() else 2 for chunk in group]
-            # No chunk has fewer words than that; more in all means a letter was normalised to several, so each is encoded alone.
-            if len(ends) != sum(last):
-                single += group
-                continue
-            raw, begin, word = ids.tobytes(), 0, -1
-            for chunk, n in zip(group, last, strict=True):
-                word += n
-                known[chunk] = raw[begin : ends[word]]
-                begin = ends[word]
-        for chunk, found in zip(single, self._encoded(single), strict=True):
-            known[chunk] = np.array(found.ids, "<u4").tobytes()
+            if len(ends) == words * len(group):
+                raw, ends = ids.tobytes(), ends[words - 1 :: words]
+                self.recent.update(zip(group, [raw[i:j] for i, j in zip([0, *ends], ends, strict=False)], strict=True))
+            else:  # more words in all: a letter was normalised to several characters
+                left += group
+        return left
 
     def _encoded(self, texts: list[str]):
-        for first in range(0, len(texts), 2000):
-            yield from self.tokenizer.encode_batch_fast(texts[first : first + 2000], add_special_tokens=False)
+        for first in range(0, len(texts), 100):
+            yield from self.tokenizer.encode_batch_fast(texts[first : first + 100], add_special_tokens=False)
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
         """The ids of each text as little-endian 32-bit values, closed by ``end``."""
@@ -103,10 +106,10 @@ class ChunkEncoder:
             again = missing & self.older.keys()
             for chunk in again:
                 self.recent[chunk] = self.older[chunk]
-            fresh = list(missing - again)
+            fresh = missing - again
             self._learn(fresh)
             known = self.recent
-            out += [b"".join([known[c] for c in row]) + end for row in chunks]
+            out += [b"".join(map(known.__getitem__, row)) + end for row in chunks]
             for chunk in fresh:
                 if len(chunk) > _KEPT_LENGTH:
                     del known[chunk]
