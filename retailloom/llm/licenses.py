@@ -3,7 +3,8 @@
 All on the JVM. A file's passages are its lines and the file as a whole. Only
 passages that can reach the bound are compared: of each template's terms, the
 lightest are set aside as long as they alone cannot carry the bound, and a passage
-must hold one of the others. Equal passages are compared once.
+must hold one of the others. A passage is compared within its row, as an expression
+over the array of its terms, so no text is shuffled.
 """
 
 from __future__ import annotations
@@ -80,19 +81,36 @@ class Weights:
         return sorted(out)
 
 
-def cosines(passages: DataFrame, weights: Weights) -> DataFrame:
-    """(passage, license, score) of the nearest template of each distinct passage; ties go to the earlier template."""
-    spark = passages.sparkSession
-    idf = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for t, w in weights.terms.items() for x in (t, w)]), F.col("term")), F.lit(weights.unknown))
-    counted = passages.select("passage", F.explode(_terms(F.col("passage"))).alias("term")).groupBy("passage", "term").agg(F.count("*").alias("n"))
-    weighed = counted.select("passage", "term", (F.col("n") * idf).alias("weight"))
-    lengths = weighed.groupBy("passage").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
-    rows = [(k, license_id, t, w) for k, (license_id, own) in enumerate(weights.templates) for t, w in own.items()]
-    table = F.broadcast(spark.createDataFrame(rows, "template int, license string, term string, share double"))  # the templates' terms
-    dots = weighed.join(table, "term").groupBy("passage", "template", "license").agg(F.sum(F.col("weight") * F.col("share")).alias("dot"))
-    scored = dots.join(lengths, "passage").select("passage", "template", "license", F.round(F.col("dot") / F.col("length"), 6).alias("score"))
-    best = scored.groupBy("passage").agg(F.max(F.struct("score", (-F.col("template")).alias("order"), "license")).alias("best"))
-    return best.select("passage", "best.license", "best.score")
+def nearest(passage: Column, weights: Weights) -> Column:
+    """(score, order, license) of a passage's nearest template; ties go to the earlier template."""
+    words = F.array_sort(_terms(passage))
+    idf = F.create_map(*[F.lit(x) for t, w in weights.terms.items() for x in (t, w)])
+    begin = F.struct(F.lit("").alias("term"), F.lit(0.0).alias("n"), F.lit(0.0).alias("squares"))
+
+    def closed(at: Column) -> Column:
+        weight = at["n"] * F.coalesce(F.try_element_at(idf, at["term"]), F.lit(weights.unknown))
+        return at["squares"] + weight * weight
+
+    def count(at: Column, term: Column) -> Column:
+        more = F.struct(term.alias("term"), (at["n"] + 1).alias("n"), at["squares"].alias("squares"))
+        return F.when(term == at["term"], more).otherwise(F.struct(term.alias("term"), F.lit(1.0).alias("n"), closed(at).alias("squares")))
+
+    length = F.sqrt(F.aggregate(words, begin, count, closed))
+    known = F.transform(F.filter(words, lambda t: F.try_element_at(idf, t).isNotNull()), lambda t: F.struct(t.alias("term"), F.try_element_at(idf, t).alias("idf")))
+
+    # A one-element array gives the shared parts names, so that each is computed once.
+    shared = F.array(F.struct(known.alias("known"), length.alias("length")))
+
+    def dot(parts: Column, own: dict[str, float]) -> Column:
+        shares = F.create_map(*[F.lit(x) for t, w in own.items() for x in (t, w)])
+        return F.aggregate(parts["known"], F.lit(0.0), lambda total, t: total + t["idf"] * F.coalesce(F.try_element_at(shares, t["term"]), F.lit(0.0)))
+
+    def best(parts: Column) -> Column:
+        return F.array_max(F.array(*[
+            F.struct(F.round(dot(parts, own) / parts["length"], 6).alias("score"), F.lit(-number).alias("order"), F.lit(license_id).alias("license"))
+            for number, (license_id, own) in enumerate(weights.templates)]))
+
+    return F.get(F.transform(shared, best), F.lit(0))
 
 
 def scan(files: DataFrame, bound: float = 0.7, file_bound: float = 0.6, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
@@ -110,38 +128,29 @@ def scan(files: DataFrame, bound: float = 0.7, file_bound: float = 0.6, template
     known = files.select(F.col("doc_id").cast("long").alias("doc_id"), "path", F.coalesce("text", F.lit("")).alias("text"))
     vocabulary = sorted({t for _, text in templates for t in _template_terms(text)})
     weights = Weights(*document_counts(known, vocabulary), templates)
-    needed = weights.needed(min(bound, file_bound))
-    pattern = "(?i)" + "|".join(needed)
-    holds = lambda text: F.arrays_overlap(_terms(text), F.array(*[F.lit(t) for t in needed]))
-    near = stored(known.where(F.col("text").rlike(pattern)), "licensed")
-    lines = near.select("doc_id", "path", F.explode(F.split("text", "\n")).alias("passage"), F.lit(False).alias("is_whole"))
-    whole = near.select("doc_id", "path", F.col("text").alias("passage"), F.lit(True).alias("is_whole"))
-    passages = lines.union(whole).where(F.col("passage").rlike(pattern)).where(holds(F.col("passage")))
-    # Equal passages share a key, so that long texts are shuffled once.
-    passages = passages.withColumn("key", F.sha2("passage", 256))
-    scores = cosines(passages.select("passage").distinct(), weights).select(F.sha2("passage", 256).alias("key"), "license", "score")
-    judged = passages.select("doc_id", "path", "is_whole", "key").join(scores, "key")
-    own = judged.groupBy("doc_id", "path").agg(
-        F.max(F.when(F.col("score") >= bound, F.struct("score", "license"))).alias("own"),
-        F.max(F.when(F.col("is_whole"), F.struct("score", "license"))).alias("all"))
-    own = stored(own.select(
-        "doc_id", "path", F.coalesce("own.license", F.when(F.col("all.score") >= file_bound, F.col("all.license"))).alias("own_license"),
-        F.coalesce("own.score", F.when(F.col("all.score") >= file_bound, F.col("all.score"))).alias("own_score"),
-        F.coalesce(F.col("all.score") >= file_bound, F.lit(False)).alias("whole")), "own")
-    named = F.coalesce(F.col("path").rlike(_FILE_NAME), F.lit(False))
-    speakers = own.where((F.col("whole") | named) & F.col("own_license").isNotNull() & F.col("path").isNotNull()).select(
-        _directory(F.col("path")).alias("above"), F.struct((-F.col("own_score")).alias("s"), "path", "doc_id", F.col("own_license").alias("license")).alias("speaker"))
+    needed = F.array(*[F.lit(t) for t in weights.needed(min(bound, file_bound))])
+
+    def holds(text: Column) -> Column:
+        return F.arrays_overlap(F.split(F.lower(text), _SPLIT), needed)
+
+    lines = F.transform(F.filter(F.split("text", "\n"), holds), lambda line: nearest(line, weights))
+    judged = F.when(holds(F.col("text")), F.struct(lines.alias("lines"), nearest(F.col("text"), weights).alias("whole")))
+    rows = known.select("doc_id", "path", judged.alias("judged"))
+    best = F.array_max(F.filter(F.array_append("judged.lines", F.col("judged.whole")), lambda s: s["score"] >= bound))
+    rows = rows.select("doc_id", "path", best.alias("best"), F.when(F.col("judged.whole.score") >= file_bound, F.col("judged.whole")).alias("whole"))
+    own = stored(rows.select(
+        "doc_id", "path", F.coalesce("best.license", "whole.license").alias("own_license"), F.coalesce("best.score", "whole.score").alias("own_score"),
+        (F.col("whole").isNotNull() | F.coalesce(F.col("path").rlike(_FILE_NAME), F.lit(False))).alias("is_license_file"),
+        _directory(F.col("path")).alias("directory")), "licenses")
+    speakers = own.where("is_license_file and own_license is not null and path is not null").select(
+        F.col("directory").alias("above"), F.struct((-F.col("own_score")).alias("s"), "path", "doc_id", F.col("own_license").alias("license")).alias("speaker"))
     speakers = speakers.groupBy("above").agg(F.min("speaker").alias("speaker")).select("above", F.col("speaker.license").alias("given"), F.col("speaker.path").alias("giver"))
-    directories = known.where("path is not null").select(_directory(F.col("path")).alias("directory")).distinct()
+    directories = own.where("path is not null").select("directory").distinct()
     above = directories.select("directory", F.explode(_ancestors(F.col("directory"))).alias("above"))
-    nearest = above.join(speakers, "above").groupBy("directory").agg(F.max(F.struct(F.length("above").alias("depth"), "given", "giver")).alias("near"))
-    nearest = nearest.select("directory", F.col("near.given").alias("inherited_license"), F.col("near.giver").alias("inherited_from"))
-    every = known.select("doc_id", "path", _directory(F.col("path")).alias("directory"))
-    joined = every.join(nearest, "directory", "left").join(
-        own.groupBy(F.col("doc_id").alias("d"), F.col("path").alias("p")).agg(F.first("own_license").alias("own_license"), F.first("own_score").alias("own_score"), F.first("whole").alias("whole")),
-        F.col("doc_id").eqNullSafe(F.col("d")) & F.col("path").eqNullSafe(F.col("p")), "left")
-    return joined.select(
-        "doc_id", "path", "own_license", "own_score", (named | F.coalesce("whole", F.lit(False))).alias("is_license_file"),
+    near = above.join(speakers, "above").groupBy("directory").agg(F.max(F.struct(F.length("above").alias("depth"), "given", "giver")).alias("near"))
+    near = near.select("directory", F.col("near.given").alias("inherited_license"), F.col("near.giver").alias("inherited_from"))
+    return own.join(near, "directory", "left").select(
+        "doc_id", "path", "own_license", "own_score", "is_license_file",
         "inherited_license", "inherited_from", F.coalesce("own_license", "inherited_license").alias("license"))
 
 
