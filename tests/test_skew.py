@@ -91,7 +91,7 @@ def test_point_in_time_splits_a_hot_customer(spark, eager_splitting, path):
     customers = spark.range(500).select(*(F.concat(F.lit("C"), "id").alias(c) if c == "customer_id" else F.lit(None).cast("string").alias(c)
                                           for c in history.CUSTOMER_COLUMNS))
     history.record_snapshot(spark, path("history"), customers, "2023-01-01 00:00:00")
-    joined = history.point_in_time(sales_of(spark, customer_id="C7"), history.read_history(spark, path("history")), "sale_date")
+    joined = history.point_in_time(sales_of(spark, customer_id="C7"), history.read_history(spark, path("history"), history.history_schema(types=customers.schema)), "sale_date")
     assert "skewed" in executed_plan(joined)
     assert joined.count() == N
 
