@@ -3,11 +3,14 @@
 A text is a vector of hashed byte trigrams of its letters, weighted by square
 root of frequency and inverse document frequency, and scaled to length one. Each
 language has a few centroids from spherical k-means. The nearest centroid by
-cosine names the language; a text too far from every centroid is rejected.
+cosine names the language; a text too far from every centroid is rejected. How far
+is too far follows from learned documents of that language and pieces of them, of
+about as many trigrams, held against centroids that were learnt without them.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +21,9 @@ from pyspark.sql import functions as F
 from retailloom.llm.shared import held_out, ready
 from retailloom.llm.text import slices
 
-DIMS = 4096
+DIMS = 1 << 14
+BLOCK = 128  # rows of trigram counts at a time
+LENGTHS = 16  # powers of two of a text's number of different trigrams
 UNDETERMINED = "und"
 
 
@@ -36,15 +41,15 @@ _LETTERS = _letters()
 
 
 def _slot(a, b, c):
-    return (a * np.uint32(0x9E3779B1) + b * np.uint32(0x85EBCA6B) + c * np.uint32(0xC2B2AE35)) >> np.uint32(20)
+    return (a * np.uint32(0x9E3779B1) + b * np.uint32(0x85EBCA6B) + c * np.uint32(0xC2B2AE35)) >> np.uint32(18)
 
 
 def trigram_counts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Counts of hashed trigrams, a row per text; texts are padded by blanks, so none is too short."""
     rows = len(at) - 1
     counts = np.zeros((rows, DIMS), np.float32)
-    for low in range(0, rows, 128):
-        high = min(rows, low + 128)
+    for low in range(0, rows, BLOCK):
+        high = min(rows, low + BLOCK)
         sizes = np.diff(at[low : high + 1])
         begins = np.cumsum(sizes + 2) - (sizes + 2)
         padded = np.full(int((sizes + 2).sum()) + 2, 0x20, np.uint8)
@@ -59,9 +64,22 @@ def trigram_counts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return counts
 
 
+def blocks(column: pa.Array):
+    """(first row, end row, trigram counts) of a text column, few rows at a time, so that counts stay small."""
+    for first, end, data, at in slices(column):
+        for low in range(0, end - first, BLOCK):
+            high = min(end - first, low + BLOCK)
+            yield first + low, first + high, trigram_counts(data[at[low] : at[high]], at[low : high + 1] - at[low])
+
+
+def lengths(counts: np.ndarray) -> np.ndarray:
+    """The power of two at or below each row's number of different trigrams: a word repeated for long is as short as the word."""
+    return np.frexp(np.maximum((counts > 0).sum(1), 1).astype(np.float64))[1] - 1
+
+
 @dataclass
 class LanguageModel:
-    """Weights, centroids, the language of each centroid, and the cosine below which it rejects."""
+    """Weights, centroids, the language of each centroid, and the cosine below which a text of some length is rejected, a row per language."""
 
     idf: np.ndarray
     centroids: np.ndarray
@@ -78,25 +96,70 @@ class LanguageModel:
         cosine = self.vectors(counts) @ self.centroids.T
         best = cosine.argmax(1)
         score = np.clip(cosine[np.arange(len(best)), best].astype(np.float64), 0, 1)
-        return self.owner[best], score, score < self.reject_below[best]
+        number = self.owner[best]
+        return number, score, (score <= 0) | (score < self.reject_below[number, lengths(counts)])
+
+
+def _pieces(text: bytes) -> list[bytes]:
+    """A text, and of each length of 1.25 times a power of two below its own one piece of it."""
+    out, size = [text], 5
+    while size < len(text):
+        begin = zlib.crc32(text, size) % (len(text) - size + 1)
+        while begin < len(text) and 0x80 <= text[begin] < 0xC0:  # not inside a letter
+            begin += 1
+        out.append(text[begin : begin + size])
+        size *= 2
+    return out
 
 
 def _sample_counts(batches):
+    """Trigram counts of each text, then of its pieces, as the slots that are not 0 and their counts."""
     for batch in batches:
-        for first, end, data, at in slices(batch.column(0)):
-            packed = trigram_counts(data, at).astype("<f4")
+        for text, lang in zip(batch.column(0), batch.column(1), strict=True):
+            counts, slots = [], []
+            for _, _, packed in blocks(pa.array(_pieces(text.as_buffer().to_pybytes()), pa.binary())):
+                counts += [row[row > 0].astype("<f4").tobytes() for row in packed]
+                slots += [np.flatnonzero(row > 0).astype("<u2").tobytes() for row in packed]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([row[row > 0].tobytes() for row in packed], pa.binary()),
-                 pa.array([np.flatnonzero(row > 0).astype("<u2").tobytes() for row in packed], pa.binary()),
-                 batch.column(1).slice(first, end - first)], ["counts", "slots", "lang"])
+                [pa.array([counts], pa.list_(pa.binary())), pa.array([slots], pa.list_(pa.binary())), pa.array([lang.as_py()], pa.string())],
+                ["counts", "slots", "lang"])
+
+
+def _dense(sparse: list[tuple[bytes, bytes]]) -> np.ndarray:
+    counts = np.zeros((len(sparse), DIMS), np.float32)
+    for row, (c, s) in zip(counts, sparse, strict=True):
+        row[np.frombuffer(s, "<u2")] = np.frombuffer(c, "<f4")
+    return counts
+
+
+def _centres(own: np.ndarray, centroids: int, rounds: int) -> np.ndarray:
+    """Spherical k-means from members drawn with a fixed seed."""
+    centres = own[np.random.default_rng(7).permutation(len(own))[: min(centroids, len(own))]]
+    for _ in range(rounds):
+        nearest = (own @ centres.T).argmax(1)
+        sums = np.stack([own[nearest == k].sum(0) if (nearest == k).any() else centres[k] for k in range(len(centres))])
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+    return centres
+
+
+def _bounds(size: np.ndarray, cosine: np.ndarray, lost: float, slack: float, least: int = 20) -> np.ndarray:
+    """The bound at each length; a length of too few texts has that of the next shorter one, 0 if there is none."""
+    out = np.zeros(LENGTHS)
+    for n in range(LENGTHS):
+        here = cosine[size == n]
+        out[n] = slack * float(np.quantile(here, lost, method="lower")) if len(here) >= least else out[n - 1] if n else 0.0
+    return out
 
 
-def fit(docs: DataFrame, per_language: int = 400, centroids: int = 4, rounds: int = 12, slack: float = 0.05) -> LanguageModel | None:
+def fit(docs: DataFrame, per_language: int = 400, centroids: int = 4, rounds: int = 12, lost: float = 0.005, slack: float = 0.5) -> LanguageModel | None:
     """Learn from a sample of the labelled documents outside the held-out fold.
 
     About ``per_language`` documents of each language are chosen by a hash of their
     id, never more than twice that; only their trigram counts reach the driver.
-    ``slack`` times the lowest cosine of a centroid's own sample is its rejection bound.
+    A language's rejection bound at a length is ``slack`` times the cosine that all
+    but ``lost`` of its sample's texts and pieces of that length reach, each half of
+    the sample held against centroids of the other half. A length of which the sample
+    has fewer than 20 is judged as the next shorter one.
     None if nothing is labelled.
     """
     spark = ready(docs.sparkSession)
@@ -107,34 +170,38 @@ def fit(docs: DataFrame, per_language: int = 400, centroids: int = 4, rounds: in
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_language / n))]), F.col("lang"))
     chosen = usable.where(F.col("lang").isin(list(sizes))).where(place < share).select("text", "lang")
-    table = chosen.mapInArrow(_sample_counts, "counts binary, slots binary, lang string").limit(2 * per_language * len(sizes)).toArrow()
-    counts = np.zeros((table.num_rows, DIMS), np.float32)
-    for i, (c, s) in enumerate(zip(table.column("counts").to_pylist(), table.column("slots").to_pylist(), strict=True)):
-        counts[i, np.frombuffer(s, "<u2")] = np.frombuffer(c, "<f4")
-    labels = np.array(table.column("lang").to_pylist(), object)
-    order = np.lexsort((counts.sum(1), counts @ np.arange(DIMS, dtype=np.float32), labels.astype(str)))
-    counts, labels = counts[order], labels[order]
-    if not len(labels):
+    fields = "counts array<binary>, slots array<binary>, lang string"
+    table = chosen.mapInArrow(_sample_counts, fields).limit(2 * per_language * len(sizes)).toArrow()
+    samples: dict[str, list] = {}
+    for c, s, lang in zip(*(table.column(n).to_pylist() for n in ("counts", "slots", "lang")), strict=True):
+        samples.setdefault(lang, []).append(list(zip(c, s, strict=True)))
+    if not samples:
         return None
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))).astype(np.float32) + np.float32(0.1)
-    model = LanguageModel(idf, np.zeros((0, DIMS), np.float32), np.zeros(0, np.int64), sorted(set(labels)), np.zeros(0))
-    vectors, rng = model.vectors(counts), np.random.default_rng(7)
+    held = np.zeros(DIMS, np.int64)
+    for own in samples.values():
+        own.sort()
+        for pieces in own:
+            held[np.frombuffer(pieces[0][1], "<u2")] += 1
+    idf = np.log((1 + sum(map(len, samples.values()))) / (1 + held)).astype(np.float32) + np.float32(0.1)
+    model = LanguageModel(idf, np.zeros((0, DIMS), np.float32), np.zeros(0, np.int64), sorted(samples), np.zeros(0))
     found, owner, bounds = [], [], []
     for number, language in enumerate(model.languages):
-        own = vectors[labels == language]
-        centres = own[rng.permutation(len(own))[: min(centroids, len(own))]]
-        for _ in range(rounds):
-            nearest = (own @ centres.T).argmax(1)
-            sums = np.stack([own[nearest == k].sum(0) if (nearest == k).any() else centres[k] for k in range(len(centres))])
-            centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-        cosine = own @ centres.T
-        nearest = cosine.argmax(1)
-        for k in range(len(centres)):
-            mine = cosine[nearest == k, k]
-            found.append(centres[k])
-            owner.append(number)
-            bounds.append(slack * float(mine.min()) if len(mine) else 0.0)
-    model.centroids, model.owner, model.reject_below = np.stack(found).astype(np.float32), np.array(owner), np.array(bounds)
+        own = samples[language]
+        vectors = model.vectors(_dense([pieces[0] for pieces in own]))
+        found.append(_centres(vectors, centroids, rounds))
+        owner += [number] * len(found[-1])
+        # Copies are in one half, as it follows from what they hold.
+        half = np.array([zlib.crc32(b"".join(pieces[0])) % 2 for pieces in own])
+        size, cosine = [], []
+        for k in (0, 1):
+            if 0 < (half == k).sum() < len(own):
+                others = _centres(vectors[half != k], centroids, rounds)
+                for pieces in (p for p, h in zip(own, half, strict=True) if h == k):
+                    counts = _dense(pieces)
+                    size.append(lengths(counts))
+                    cosine.append((model.vectors(counts) @ others.T).max(1))
+        bounds.append(_bounds(np.concatenate(size), np.concatenate(cosine), lost, slack) if size else np.zeros(LENGTHS))
+    model.centroids, model.owner, model.reject_below = np.concatenate(found).astype(np.float32), np.array(owner), np.stack(bounds)
     return model
 
 
@@ -154,8 +221,8 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
         known = shared.value
         for batch in batches:
             number, score, rejected = (np.zeros(batch.num_rows, t) for t in (np.int64, np.float64, bool))
-            for first, end, data, at in slices(batch.column(text)) if known else ():
-                number[first:end], score[first:end], rejected[first:end] = known.nearest(trigram_counts(data, at))
+            for first, end, counts in blocks(batch.column(text)) if known else ():
+                number[first:end], score[first:end], rejected[first:end] = known.nearest(counts)
             letter = batch.column(at_letter).to_numpy(zero_copy_only=False) & (known is not None)
             names = np.array([*(known.languages if known else []), UNDETERMINED], object)
             yield pa.RecordBatch.from_arrays(

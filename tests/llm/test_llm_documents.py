@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from retailloom.llm import decontaminate, jaccard, language, licenses, mixing, quality, secrets, tokens
 from retailloom.llm.queries import tokenizer_path
+from retailloom.llm.shared import held_out
 
 
 def prose(rng, n, letters="abcdefg"):
@@ -89,6 +90,27 @@ def test_texts_without_letters_or_near_no_language_are_rejected(spark, languages
     assert language.identify(docs(), model).count() == 0
 
 
+FOREIGN = {
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "el": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+    "th": "มนุษย์ทั้งหลายเกิดมามีอิสระและเสมอภาคกันในเกียรติศักดิ์และสิทธิ ต่างมีเหตุผลและมโนธรรม",
+    "ja": "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
+          "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. Jokainen on oikeutettu kaikkiin tässä julistuksessa esitettyihin oikeuksiin.",
+}
+
+
+def test_foreign_texts_and_noise_are_rejected_and_known_languages_kept(spark, docs, rng):
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(given)
+    kept = language.identify(given.where(held_out()), model).agg(F.count("*").alias("n"), F.sum(F.col("rejected").cast("int")).alias("lost")).first()
+    assert kept.n > 150 and kept.lost <= 0.01 * kept.n
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    noise = ["".join(rng.choice(letters) for _ in range(3000)), "".join(rng.choice(letters[26:52] + "    ") for _ in range(3000))]
+    odd = [*FOREIGN.values(), *[(t + " ") * 20 for t in FOREIGN.values()], *noise]
+    assert [t[:20] for t, r in zip(odd, language.identify(docs(*odd), model).orderBy("doc_id").collect(), strict=True) if not r.rejected] == []
+
+
 def test_predictions_do_not_look_at_other_columns(languages):
     model = language.fit(languages)
     swapped = languages.withColumns({"lang": F.lit("zz"), "source": F.lit(None).cast("string"), "doc_id": F.lit(0).cast("long")})
