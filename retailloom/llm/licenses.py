@@ -3,8 +3,10 @@
 All on the JVM. A file's passages are its lines and the file as a whole. Only
 passages that can reach the bound are compared: of each template's terms, the
 lightest are set aside as long as they alone cannot carry the bound, and a passage
-must hold one of the others. A passage is compared within its row, as an expression
-over the array of its terms, so no text is shuffled.
+must hold one of the others. A passage's products with the templates are made within
+its row, as an expression over the array of its terms. Its length needs the document
+frequencies of all its words, so the words of compared passages, but no texts, are
+joined to a table of words counted over all files.
 """
 
 from __future__ import annotations
@@ -48,21 +50,20 @@ def _template_terms(text: str) -> Counter:
     return Counter(lowered.split())
 
 
-def document_counts(files: DataFrame, terms: list[str]) -> tuple[int, dict[str, int]]:
-    """The number of files, and of files holding each of the templates' terms: as many rows as those terms, over all texts."""
-    held = files.select(F.explode(F.array_append(
-        F.array_intersect(F.split(F.lower(F.coalesce("text", F.lit(""))), _SPLIT), F.array(*[F.lit(t) for t in terms])), F.lit(""))).alias("term"))
-    rows = held.groupBy("term").agg(F.count("*").alias("n")).collect()
-    found = {r.term: r.n for r in rows}
-    return found.pop("", 0), found
+def document_counts(files: DataFrame) -> DataFrame:
+    """(term, df) of every word of all texts: the number of files that hold it."""
+    return files.select(F.explode(F.array_distinct(_terms(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+
+
+def _idf(files: int, df: Column) -> Column:
+    return F.lit(1.0) + F.log(F.lit(1.0 + files) / (F.lit(1.0) + df))
 
 
 class Weights:
-    """Inverse document frequencies, and each template's terms scaled to length one."""
+    """Inverse document frequencies of the templates' terms, and each template's terms scaled to length one."""
 
     def __init__(self, files: int, counts: dict[str, int], templates: tuple[tuple[str, str], ...]):
         self.terms = {t: 1 + math.log((1 + files) / (1 + counts.get(t, 0))) for _, text in templates for t in _template_terms(text)}
-        self.unknown = 1 + math.log(1 + files)
         self.templates: list[tuple[str, dict[str, float]]] = []
         for license_id, text in templates:
             raw = {t: n * self.terms[t] for t, n in _template_terms(text).items()}
@@ -81,36 +82,32 @@ class Weights:
         return sorted(out)
 
 
-def nearest(passage: Column, weights: Weights) -> Column:
-    """(score, order, license) of a passage's nearest template; ties go to the earlier template."""
-    words = F.array_sort(_terms(passage))
+def products(terms: Column, weights: Weights) -> Column:
+    """The products of a passage, not yet scaled to length one, with each template."""
     idf = F.create_map(*[F.lit(x) for t, w in weights.terms.items() for x in (t, w)])
-    begin = F.struct(F.lit("").alias("term"), F.lit(0.0).alias("n"), F.lit(0.0).alias("squares"))
-
-    def closed(at: Column) -> Column:
-        weight = at["n"] * F.coalesce(F.try_element_at(idf, at["term"]), F.lit(weights.unknown))
-        return at["squares"] + weight * weight
-
-    def count(at: Column, term: Column) -> Column:
-        more = F.struct(term.alias("term"), (at["n"] + 1).alias("n"), at["squares"].alias("squares"))
-        return F.when(term == at["term"], more).otherwise(F.struct(term.alias("term"), F.lit(1.0).alias("n"), closed(at).alias("squares")))
-
-    length = F.sqrt(F.aggregate(words, begin, count, closed))
-    known = F.transform(F.filter(words, lambda t: F.try_element_at(idf, t).isNotNull()), lambda t: F.struct(t.alias("term"), F.try_element_at(idf, t).alias("idf")))
-
-    # A one-element array gives the shared parts names, so that each is computed once.
-    shared = F.array(F.struct(known.alias("known"), length.alias("length")))
+    known = F.transform(F.filter(terms, lambda t: F.try_element_at(idf, t).isNotNull()), lambda t: F.struct(t.alias("term"), F.try_element_at(idf, t).alias("idf")))
 
     def dot(parts: Column, own: dict[str, float]) -> Column:
         shares = F.create_map(*[F.lit(x) for t, w in own.items() for x in (t, w)])
-        return F.aggregate(parts["known"], F.lit(0.0), lambda total, t: total + t["idf"] * F.coalesce(F.try_element_at(shares, t["term"]), F.lit(0.0)))
+        return F.aggregate(parts, F.lit(0.0), lambda total, t: total + t["idf"] * F.coalesce(F.try_element_at(shares, t["term"]), F.lit(0.0)))
+
+    # A one-element array gives the known terms a name, so that they are computed once.
+    return F.get(F.transform(F.array(known), lambda parts: F.array(*[dot(parts, own) for _, own in weights.templates])), F.lit(0))
 
-    def best(parts: Column) -> Column:
-        return F.array_max(F.array(*[
-            F.struct(F.round(dot(parts, own) / parts["length"], 6).alias("score"), F.lit(-number).alias("order"), F.lit(license_id).alias("license"))
-            for number, (license_id, own) in enumerate(weights.templates)]))
 
-    return F.get(F.transform(shared, best), F.lit(0))
+def lengths(passages: DataFrame, counted: DataFrame, files: int) -> DataFrame:
+    """(row, place, length) of passages given as ``row``, ``place``, ``terms``, from the counts of all words.
+
+    Words of more than a hundredth of the files are sent to all tasks: at most a
+    hundred times the words of a mean file. No other word has many rows.
+    """
+    held = passages.select("row", "place", F.explode("terms").alias("term")).groupBy("row", "place", "term").agg(F.count("*").alias("n"))
+    held = stored(held, "licenses-words")
+    hot = (F.col("df") > 1000) & (F.col("df") * 100 > files)
+    common = F.broadcast(counted.where(hot))
+    weighed = held.join(common, "term").unionByName(held.join(common.select("term"), "term", "left_anti").join(counted.where(~hot), "term").select("term", "row", "place", "n", "df"))
+    weight = F.col("n") * _idf(files, F.col("df"))
+    return weighed.groupBy("row", "place").agg(F.sqrt(F.sum(weight * weight)).alias("length"))
 
 
 def scan(files: DataFrame, bound: float = 0.7, file_bound: float = 0.6, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
@@ -127,17 +124,31 @@ def scan(files: DataFrame, bound: float = 0.7, file_bound: float = 0.6, template
     ready(files.sparkSession)
     known = files.select(F.col("doc_id").cast("long").alias("doc_id"), "path", F.coalesce("text", F.lit("")).alias("text"))
     vocabulary = sorted({t for _, text in templates for t in _template_terms(text)})
-    weights = Weights(*document_counts(known, vocabulary), templates)
+    counted = stored(document_counts(known), "licenses-counts")
+    n = known.count()
+    weights = Weights(n, {r["term"]: r["df"] for r in counted.where(F.col("term").isin(vocabulary)).collect()}, templates)
     needed = F.array(*[F.lit(t) for t in weights.needed(min(bound, file_bound))])
 
     def holds(text: Column) -> Column:
         return F.arrays_overlap(F.split(F.lower(text), _SPLIT), needed)
 
-    lines = F.transform(F.filter(F.split("text", "\n"), holds), lambda line: nearest(line, weights))
-    judged = F.when(holds(F.col("text")), F.struct(lines.alias("lines"), nearest(F.col("text"), weights).alias("whole")))
-    rows = known.select("doc_id", "path", judged.alias("judged"))
-    best = F.array_max(F.filter(F.array_append("judged.lines", F.col("judged.whole")), lambda s: s["score"] >= bound))
-    rows = rows.select("doc_id", "path", best.alias("best"), F.when(F.col("judged.whole.score") >= file_bound, F.col("judged.whole")).alias("whole"))
+    def judged(terms: Column) -> Column:
+        return F.struct(terms.alias("terms"), products(terms, weights).alias("dots"))
+
+    # The whole text is the last passage.
+    texts = F.array_append(F.filter(F.split("text", "\n"), holds), F.col("text"))
+    passages = F.when(holds(F.col("text")), F.transform(texts, lambda text: judged(_terms(text))))
+    rows = stored(known.select(F.monotonically_increasing_id().alias("row"), "doc_id", "path", passages.alias("passages")), "licenses-passages")
+    each = rows.where("passages is not null").select("row", (F.size("passages") - 1).alias("last"), F.posexplode("passages").alias("place", "passage"))
+    each = each.select("row", "place", (F.col("place") == F.col("last")).alias("is_whole"), "passage.terms", "passage.dots")
+    ids = F.array(*[F.lit(license_id) for license_id, _ in weights.templates])
+    scores = F.array_max(F.transform("dots", lambda dot, number: F.struct(
+        F.round(dot / F.col("length"), 6).alias("score"), (-number).alias("order"), F.get(ids, number).alias("license"))))
+    scored = each.drop("terms").join(lengths(each, counted, n), ["row", "place"]).select("row", "is_whole", scores.alias("found"))
+    scored = scored.groupBy("row").agg(
+        F.max(F.when(F.col("found.score") >= bound, F.col("found"))).alias("best"),
+        F.max(F.when(F.col("is_whole") & (F.col("found.score") >= file_bound), F.col("found"))).alias("whole"))
+    rows = rows.select("row", "doc_id", "path").join(scored, "row", "left")
     own = stored(rows.select(
         "doc_id", "path", F.coalesce("best.license", "whole.license").alias("own_license"), F.coalesce("best.score", "whole.score").alias("own_score"),
         (F.col("whole").isNotNull() | F.coalesce(F.col("path").rlike(_FILE_NAME), F.lit(False))).alias("is_license_file"),

@@ -1,8 +1,11 @@
 """Operators over documents against plain Python, with NULLs, empty and long texts, ties, repeats and clashing columns."""
 
 import hashlib
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import brute
 import numpy as np
@@ -270,6 +273,27 @@ def test_licences_are_found_and_inherited(spark):
     assert got[1].is_license_file and not got[4].is_license_file
 
 
+def test_common_words_beside_a_licence_weigh_little(spark, rng):
+    """Scores equal TF-IDF with the counted frequencies of all words, whatever the number of files."""
+    common = "alpha beta gamma delta"
+    texts = [f"{common} {prose(rng, 5)}" for _ in range(300)] + [f"Released under the MIT License {common}", None, f"x\nReleased {common} under the MIT, License alpha"]
+    files = spark.createDataFrame([(i, f"d{i}/f", t) for i, t in enumerate(texts)], "doc_id long, path string, text string")
+    got = {r.doc_id: r for r in licenses.scan(files).collect()}
+    held = [set(re.findall("[a-z0-9]+", (t or "").lower())) for t in texts]
+
+    def idf(word):
+        return 1 + math.log((1 + len(texts)) / (1 + sum(word in h for h in held)))
+
+    def vector(text):
+        raw = {w: n * idf(w) for w, n in Counter(re.findall("[a-z0-9]+", text.lower())).items()}
+        return {w: x / math.sqrt(sum(y * y for y in raw.values())) for w, x in raw.items()}
+
+    for i in (300, 302):
+        best = max(sum(vector(p).get(w, 0) * x for w, x in vector("Released under the MIT License.").items()) for p in [texts[i], *texts[i].split("\n")])
+        assert best > 0.9 and got[i].own_license == "MIT" and abs(got[i].own_score - best) < 2e-6
+    assert len(got) == 303 and got[0].own_license is None and got[301].own_license is None
+
+
 def test_no_files_have_no_licences(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, path string, text string")).count() == 0
 
