@@ -137,7 +137,7 @@ def scan(files: DataFrame, bound: float = 0.7, file_bound: float = 0.6, template
 
     # The whole text is the last passage.
     texts = F.array_append(F.filter(F.split("text", "\n"), holds), F.col("text"))
-    passages = F.when(holds(F.col("text")), F.transform(texts, lambda text: judged(_terms(text))))
+    passages = F.when(holds(F.col("text")), F.transform(F.transform(texts, _terms), judged))
     rows = stored(known.select(F.monotonically_increasing_id().alias("row"), "doc_id", "path", passages.alias("passages")), "licenses-passages")
     each = rows.where("passages is not null").select("row", (F.size("passages") - 1).alias("last"), F.posexplode("passages").alias("place", "passage"))
     each = each.select("row", "place", (F.col("place") == F.col("last")).alias("is_whole"), "passage.terms", "passage.dots")
