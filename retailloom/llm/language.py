@@ -151,7 +151,8 @@ def _bounds(size: np.ndarray, cosine: np.ndarray, lost: float, slack: float, lea
     return out
 
 
-def fit(docs: DataFrame, per_language: int = 400, centroids: int = 4, rounds: int = 12, lost: float = 0.005, slack: float = 0.5) -> LanguageModel | None:
+def fit(docs: DataFrame, per_language: int = 400, centroids: int = 4, rounds: int = 12, lost: float = 0.005, slack: float = 0.5,
+        max_languages: int = 500) -> LanguageModel | None:
     """Learn from a sample of the labelled documents outside the held-out fold.
 
     About ``per_language`` documents of each language are chosen by a hash of their
@@ -160,11 +161,13 @@ def fit(docs: DataFrame, per_language: int = 400, centroids: int = 4, rounds: in
     but ``lost`` of its sample's texts and pieces of that length reach, each half of
     the sample held against centroids of the other half. A length of which the sample
     has fewer than 20 is judged as the next shorter one.
-    None if nothing is labelled.
+    More than ``max_languages`` labels are an error. None if nothing is labelled.
     """
     spark = ready(docs.sparkSession)
     usable = docs.where("lang is not null and text is not null").where(~held_out())
-    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(500).collect()}
+    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages + 1).collect()}
+    if len(sizes) > max_languages:
+        raise ValueError(f"more than {max_languages} languages are labelled; none is left out, so allow for more by max_languages")
     if not sizes:
         return None
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)

@@ -114,6 +114,12 @@ def test_foreign_texts_and_noise_are_rejected_and_known_languages_kept(spark, do
     assert [t[:20] for t, r in zip(odd, language.identify(docs(*odd), model).orderBy("doc_id").collect(), strict=True) if not r.rejected] == []
 
 
+def test_more_languages_than_allowed_are_an_error(docs):
+    many = docs(*[(f"word{i}", f"l{i:03}", "s") for i in range(800)])
+    with pytest.raises(ValueError, match="more than 500 languages"):
+        language.fit(many)
+
+
 def test_predictions_do_not_look_at_other_columns(languages):
     model = language.fit(languages)
     swapped = languages.withColumns({"lang": F.lit("zz"), "source": F.lit(None).cast("string"), "doc_id": F.lit(0).cast("long")})
