@@ -102,6 +102,53 @@ select query_id, cast(rank as int) as rank, vec_id, score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored) where rank <= 10"""
 
 
+COLLOCATIONS = rf"""
+with pieces as (
+  select r, lang, p, unnest(generate_series(1, len(piece))) as s, piece
+  from (select r, lang, generate_subscripts(found, 1) as p, unnest(found) as piece from (
+    select row_number() over () as r, coalesce(lang, 'und') as lang,
+      [regexp_extract_all(x, '[^\x20\x09]+') for x in regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')] as found
+    from documents))),
+grams as (
+  select lang, size, piece[s : s + size - 1] as w, count(*) as f
+  from pieces, (select unnest([1, 2, 3]) as size) where s + size - 1 <= len(piece) group by all),
+totals as (select lang, cast(sum(f) as bigint) as n from grams where size = 1 group by lang),
+candidates as (select lang, size, w, f as a from grams where size > 1 and f >= 10),
+cuts as (
+  select c.*, k, w[1 : k] as lw, w[k + 1 : size] as rw from candidates c, (select unnest([1, 2]) as k) where k < size),
+scored as (
+  select c.lang, c.size, c.w, a, x.f as l, y.f as r, k,
+    (1000000::hugeint * a * a) // (x.f::hugeint * y.f) as score
+  from cuts c join grams x on x.lang = c.lang and x.w = lw join grams y on y.lang = c.lang and y.w = rw),
+lowest as (select * from (select *, row_number() over (partition by lang, w order by score, k) as nth from scored) where nth = 1),
+inside as (
+  select lang, part, max(a) as longer from (
+    select lang, a, unnest([w[1 : 2], w[2 : 3]]) as part from candidates where size = 3) group by all),
+kept as (
+  select lowest.* from lowest left join inside i on i.lang = lowest.lang and i.part = lowest.w
+  where longer is null or 100 * longer < 50 * lowest.a),
+ranked as (
+  select lang, array_to_string(w, ' ') as phrase, a, l, r, cast(score as bigint) as score,
+    row_number() over (partition by lang order by score desc, a desc, array_to_string(w, ' ')) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000"""
+
+RANKED = rf"""
+with docs as (
+  select row_number() over () as r, doc_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t from documents),
+items as (
+  select distinct item_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t from benchmark),
+counted as (select r, doc_id, t, count(*) as tf from docs group by all),
+lengths as (select r, cast(sum(tf) as bigint) as n from counted group by r),
+total as (select count(*) as docs, cast(sum(n) as bigint) as tokens from lengths),
+weights as (select t, cast(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) as bigint) as w from (select t, count(*) as df from counted group by t), total),
+sizes as (select r, 100 - 90 + ((90 * n * docs) // tokens) as m from lengths, total),
+scored as (
+  select item_id, doc_id, r, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+  from items join counted using (t) join weights using (t) join sizes using (r) group by all having score > 0)
+select item_id, cast(rank as int) as rank, doc_id, score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored) where rank <= 10"""
+
+
 def _licenses() -> str:
     templates = ", ".join(f"({k}, '{license_id}', '{text}')" for k, (license_id, text) in enumerate(TEMPLATES))
     terms = "regexp_extract_all(lower({}), '[a-z0-9]+')"
@@ -153,5 +200,5 @@ from own left join nearest using (directory)"""
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": _licenses(), "op4_decontaminate": DECONTAMINATE, "op6_jaccard_join": NEAR_DUPLICATES, "op8_chat_format": CHATS,
-        "op9_source_mix": SOURCE_MIX, "op10_topk": TOP_K,
+        "op9_source_mix": SOURCE_MIX, "op10_topk": TOP_K, "op11_collocations": COLLOCATIONS, "op12_lexical_search": RANKED,
     }
