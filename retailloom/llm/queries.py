@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailloom.llm import chat, collocations, decontaminate, jaccard, language, lexical, licenses, mixing, quality, secrets, tokens, topk
+from retailloom.llm import chat, collocations, decontaminate, jaccard, language, lexical, licenses, mixing, neighbours, quality, secrets, tokens, topk
 from retailloom.llm.oracle import oracle_sql  # noqa: F401
 from retailloom.llm.shared import held_out, ready
 
@@ -86,7 +86,12 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors.where("vec_id % 100 = 0"), vectors)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_license_scan, op2_token_output, op3_language_id, op4_decontaminate, op5_secret_scan,
     op6_jaccard_join, op7_quality, op8_chat_format, op9_source_mix, op10_topk,
-    op11_collocations, op12_lexical_search)}
+    op11_collocations, op12_lexical_search, op13_neighbours)}

@@ -28,7 +28,7 @@ def test_query_matches_sql(spark, con, name):
 
 
 def test_every_operator_has_a_query():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 13))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
 
 
 # --- chats ---------------------------------------------------------------------------------
