@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,42 +99,66 @@ class HistoryOrderError(ValueError):
     """A snapshot that would have to rewrite what later ones were built on."""
 
 
-def record_snapshot(spark: SparkSession, root: str, current: DataFrame, as_of, columns: list[str] = CUSTOMER_COLUMNS, **options) -> None:
-    """Observe ``current`` at ``as_of`` and store the outcome below ``root``.
+#: Runs after which the open versions are folded into one table again.
+FOLD_EVERY = 16
 
-    Layout: ``root/run=<time>/closed=<bool>``. A run writes its open versions
-    and the versions it closed in one commit; one that was interrupted is not
-    seen and is written again. Versions closed by earlier runs are neither read
-    nor rewritten. A time before a stored run is refused, and so is the time of the
+
+def record_snapshot(
+    spark: SparkSession, root: str, current: DataFrame, as_of, columns: list[str] = CUSTOMER_COLUMNS, fold_every: int = FOLD_EVERY, **options,
+) -> None:
+    """Observe ``current`` at ``as_of`` and store what changed below ``root``.
+
+    Layout: ``root/run=<time>/closed=<bool>`` holds the versions that a run opened and those it
+    closed, in one commit, and nothing else; ``root/fold=<time>`` holds all versions open after a run, made every
+    ``fold_every`` runs. A run or fold that was interrupted is not seen; the run is written again. What
+    earlier runs stored is never rewritten. A time before a stored run is refused, and so is the time of the
     latest run with another outcome; with the same outcome nothing is done.
     """
-    run, done = run_label(as_of), _runs(spark, root)
+    run, done = run_label(as_of), _committed(spark, root, "run")
     if done and done[-1] > run:
         raise HistoryOrderError(f"{as_of} lies before the stored run {done[-1]}")
     schema = history_schema(columns, current.schema)
     earlier = [r for r in done if r < run]
-    previous = _stored_run(spark, root, earlier[-1], schema).where("not closed").drop("closed") if earlier else None
-    versions = scd2(previous, current, as_of, columns=columns, **options).withColumn("closed", F.col("valid_to").isNotNull())
+    previous = _open_versions(spark, root, earlier, schema) if earlier else None
+    closed = F.col("valid_to").isNotNull()
+    changes = scd2(previous, current, as_of, columns=columns, **options).withColumn("closed", closed)
+    changes = changes.where(closed | (F.col("updated_at") == as_timestamp(as_of)))
     if run in done:
-        stored = _stored_run(spark, root, run, schema)
-        if versions.exceptAll(stored).unionByName(stored.exceptAll(versions)).limit(1).count():
+        stored = _stored_runs(spark, root, [run], schema).select(*changes.columns)
+        if changes.exceptAll(stored).unionByName(stored.exceptAll(changes)).limit(1).count():
             raise HistoryOrderError(f"the run {run} is stored with another outcome")
         return
-    versions.write.mode("overwrite").partitionBy("closed").parquet(f"{root}/run={run}")
+    changes.write.mode("overwrite").partitionBy("closed").parquet(f"{root}/run={run}")
+    folds = [f for f in _committed(spark, root, "fold") if f <= run]
+    if len([r for r in [*earlier, run] if not folds or r > folds[-1]]) >= fold_every:
+        _open_versions(spark, root, [*earlier, run], schema).write.mode("overwrite").parquet(f"{root}/fold={run}")
+
+
+def _stored_runs(spark: SparkSession, root: str, runs: list[str], schema: T.StructType) -> DataFrame:
+    return spark.read.schema(_with_run(schema)).option("basePath", root).parquet(*(f"{root}/run={r}" for r in runs)).drop("run")
 
 
-def _stored_run(spark: SparkSession, root: str, run: str, schema: T.StructType) -> DataFrame:
-    folder = f"{root}/run={run}"
-    return spark.read.schema(T.StructType([*schema, T.StructField("closed", T.BooleanType())])).option("basePath", folder).parquet(folder)
+def _open_versions(spark: SparkSession, root: str, runs: list[str], schema: T.StructType) -> DataFrame:
+    """The versions open after the last of ``runs``: the newest fold among them and what was opened since, without what was closed since."""
+    folds = [f for f in _committed(spark, root, "fold") if f in runs]
+    since = [r for r in runs if not folds or r > folds[-1]]
+    opened = spark.read.schema(schema).parquet(f"{root}/fold={folds[-1]}") if folds else None
+    if since:
+        changes = _stored_runs(spark, root, since, schema)
+        news = changes.where("not closed").drop("closed")
+        opened = opened.unionByName(news) if opened is not None else news
+        opened = opened.join(changes.where("closed").select("scd_id"), "scd_id", "left_anti").select(*schema.names)
+    return opened
 
 
 def read_history(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """All versions: those every committed run closed, and those the latest one left open."""
-    runs = _runs(spark, root)
+    """All versions: those that runs closed, and those open after the latest one."""
+    runs, schema = _committed(spark, root, "run"), schema or history_schema()
     if not runs:
         raise ValueError(f"no snapshot below {root}")
-    everything = spark.read.schema(_with_run(schema or history_schema())).option("basePath", root).parquet(*(f"{root}/run={r}" for r in runs))
-    return everything.where(F.col("closed") | (F.col("run") == runs[-1])).drop("run", "closed")
+    schema = T.StructType([f for f in schema if f.name not in ("run", "closed")])
+    closed = _stored_runs(spark, root, runs, schema).where("closed").drop("closed")
+    return closed.select(*schema.names).unionByName(_open_versions(spark, root, runs, schema))
 
 
 def run_label(as_of) -> str:
@@ -150,10 +174,10 @@ def run_label(as_of) -> str:
     return moment.strftime("t%Y%m%d%H%M%S%f")
 
 
-def _runs(spark: SparkSession, root: str) -> list[str]:
-    """Committed runs, oldest first."""
-    names = sorted(n.removeprefix("run=") for n in child_names(spark, root) if n.startswith("run="))
-    return [n for n in names if path_exists(spark, f"{root}/run={n}/_SUCCESS")]
+def _committed(spark: SparkSession, root: str, kind: str) -> list[str]:
+    """Committed runs or folds, oldest first."""
+    names = sorted(n.removeprefix(f"{kind}=") for n in child_names(spark, root) if n.startswith(f"{kind}="))
+    return [n for n in names if path_exists(spark, f"{root}/{kind}={n}/_SUCCESS")]
 
 
 def _with_run(schema: T.StructType) -> T.StructType:
@@ -161,6 +185,21 @@ def _with_run(schema: T.StructType) -> T.StructType:
     return T.StructType([*kept, T.StructField("run", T.StringType()), T.StructField("closed", T.BooleanType())])
 
 
+def month_slot(moment: Column) -> Column:
+    """The calendar month of a moment as a whole number."""
+    return 12 * F.year(moment) + F.month(moment) - 1
+
+
+def by_month(history: DataFrame, months: DataFrame) -> DataFrame:
+    """Each version once, as ``_slot``, for every month that it touches within ``months``, one row of ``low`` and ``high``."""
+    # One row, so it can always be sent to all tasks; the key is 0 everywhere, but not a constant, so this stays an equi-join.
+    ranged = history.withColumn("_one", F.pmod(F.xxhash64("valid_from"), F.lit(1))).join(
+        F.broadcast(months.withColumn("_one", F.pmod(F.xxhash64("low"), F.lit(1)))), "_one")
+    low = F.greatest("low", month_slot(F.col("valid_from")))
+    high = F.least("high", F.coalesce(month_slot(F.col("valid_to")), F.col("high")))
+    return ranged.withColumn("_slot", F.explode(F.when(low <= high, F.sequence(low, high)))).drop("_one", "low", "high")
+
+
 def point_in_time(
     fact: DataFrame,
     history: DataFrame,
@@ -172,13 +211,18 @@ def point_in_time(
 ) -> DataFrame:
     """Each fact row with the version valid at its ``moment``; none found leaves NULLs.
 
-    The key stays an equality, so this is a sort-merge or hash join with the
-    interval as a residual condition. A key has at most one version per
-    snapshot run, which bounds the candidates of every fact row.
+    An equi-join on key and month, with the interval as a residual condition: the
+    versions, which are few beside the facts, are repeated for the months they
+    touch, as far as there are facts, and a fact meets those of its own month only,
+    however many its key has. Facts are shuffled once; the column of their moments is
+    read once more for its range, so a fact that is costly to compute should be stored. A NULL moment finds nothing.
     """
-    versions = history.select(
-        key, "valid_from", "valid_to", *(F.col(a).alias(f"{prefix}{a}") for a in attributes)
+    slot = month_slot(F.col(moment).cast("timestamp_ntz"))
+    versions = by_month(history, fact.agg(F.min(slot).alias("low"), F.max(slot).alias("high"))).select(
+        key, "valid_from", "valid_to", "_slot", *(F.col(a).alias(f"{prefix}{a}") for a in attributes)
     )
+    fact = fact.withColumn("_month", slot)
     at = fact[moment].cast("timestamp_ntz")
     until = F.coalesce(versions["valid_to"], F.lit("9999-12-31").cast("timestamp_ntz"))
-    return left_join(fact, versions, key, hot, (at >= versions["valid_from"]) & (at < until))
+    valid = (fact["_month"] == versions["_slot"]) & (at >= versions["valid_from"]) & (at < until)
+    return left_join(fact, versions, key, hot, valid).drop("_month", "_slot")

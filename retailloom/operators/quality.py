@@ -1,8 +1,8 @@
 """Data-quality checks: declared specs in, one result row per check out.
 
 All per-column checks of a table share a single scan. Uniqueness checks of all
-tables share one shuffle, relationship checks one join after both sides are
-reduced to keys. The gates raise; everything else is a lazy DataFrame.
+tables share one shuffle of fingerprints, relationship checks one join after both sides are
+reduced to keys. The gates raise; uniqueness looks for repeated fingerprints at once; everything else is a lazy DataFrame.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from retailloom.functions import as_timestamp
 from retailloom.operators.joins import union_all
+from retailloom.session import scratch_path
 
 RESULT_SCHEMA = "check_id int, check_name string, table_name string, column_name string, severity string"
 
@@ -98,27 +99,72 @@ def _row_metrics(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
     return counted.selectExpr(f"stack({len(checks)}, {cells}) as (check_id, failing_rows)")
 
 
-def _keyed(df: DataFrame, checks: list[tuple[int, str]]) -> DataFrame:
-    """One (check, value) row per checked column of every row, NULLs left out, in one scan."""
+def _keyed(df: DataFrame, checks: list[tuple[int, str]], names: str = "value") -> DataFrame:
+    """One (check, ...) row per checked column of every row, NULLs left out, in one scan."""
     cells = ", ".join(f"{i}, {value}" for i, value in checks)
-    return df.selectExpr(f"stack({len(checks)}, {cells}) as (check_id, value)").where("value is not null")
+    return df.selectExpr(f"stack({len(checks)}, {cells}) as (check_id, {names})").where(f"{names.split(',')[0]} is not null")
 
 
-def _key_value(check: Check) -> str:
-    texts = [f"cast(`{c}` as string)" for c in check.columns]
-    return texts[0] if len(texts) == 1 else f"array({', '.join(texts)})"  # a combination counts NULL as a value
+def _exact(check: Check) -> str:
+    """A key by its values; of a combination NULL counts as a value."""
+    return f"array({', '.join(f'cast(`{c}` as string)' for c in check.columns)})"
 
 
-def _duplicate_metrics(keyed: DataFrame) -> DataFrame:
-    """Values occurring more than once per check; all tables share this one shuffle."""
-    counted = keyed.groupBy("check_id", "value").count()
+def _some_key(check: Check, value: str) -> str:
+    """``value`` where the row has a key to check: a combination always is one."""
+    return value if len(check.columns) > 1 else f"if(`{check.columns[0]}` is null, null, {value})"
+
+
+def fingerprint(columns: Sequence[str]) -> str:
+    """Eight bytes that equal keys share; different keys may share them too."""
+    return f"xxhash64({', '.join(f'`{c}`' for c in columns)})"
+
+
+def _repeated(table: Callable[[str], DataFrame], checks: dict[str, list[tuple[int, Check]]], mark: Callable[[Sequence[str]], str]) -> DataFrame:
+    """(check_id, mark) of all fingerprints that occur more than once; all tables share this one shuffle of whole numbers."""
+    marks = [_keyed(table(name), [(i, _some_key(c, mark(c.columns))) for i, c in members], "mark") for name, members in checks.items()]
+    return union_all(marks).groupBy("check_id", "mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("check_id", "mark")
+
+
+def _duplicate_metrics(
+    spark: SparkSession, table: Callable[[str], DataFrame], checks: dict[str, list[tuple[int, Check]]], mark: Callable[[Sequence[str]], str] = fingerprint,
+) -> DataFrame | None:
+    """Values occurring more than once per check, in two phases.
+
+    Every key is first counted by its fingerprint. Only rows whose fingerprint
+    repeats are looked at again, by value, so a collision is no duplicate; of sound tables there
+    are none, and no key is shuffled as text. The repeated fingerprints are stored, as the
+    second phase depends on whether there are any.
+    """
+    suspects = _repeated(table, checks, mark)
+    path = scratch_path(spark, "repeated-keys")
+    suspects.write.parquet(path)
+    suspects = spark.read.schema(suspects.schema).parquet(path)
+    found = {r.check_id for r in suspects.select("check_id").distinct().collect()}  # at most one row per check
+    again = []
+    for name, members in checks.items():
+        cells = [(i, f"{_some_key(c, mark(c.columns))}, {_exact(c)}") for i, c in members if i in found]
+        if cells:
+            again.append(_keyed(table(name), cells, "mark, value"))
+    if not again:
+        return None
+    counted = union_all(again).join(suspects, ["check_id", "mark"], "left_semi").groupBy("check_id", "value").count()
     return counted.groupBy("check_id").agg(F.count_if(F.col("count") > 1).alias("failing_rows"))
 
 
+def _wide_mark(column: str) -> str:
+    """Sixteen bytes of a key's text, as two whole numbers."""
+    text = f"cast(`{column}` as string)"
+    return f"if(`{column}` is null, null, xxhash64({text})), xxhash64({text}, 'second')"
+
+
 def _orphan_metrics(children: DataFrame, parents: DataFrame) -> DataFrame:
-    """Child rows without a parent per check; both sides are reduced to keys before the join."""
-    counted = children.groupBy("check_id", "value").agg(F.count(F.lit(1)).alias("n"))
-    orphans = counted.join(parents.distinct(), ["check_id", "value"], "left_anti")
+    """Child rows without a parent per check; both sides are reduced to keys before the join.
+
+    Keys are compared by 128 bits of hash, as wide as the surrogate keys themselves.
+    """
+    counted = children.groupBy("check_id", "one", "two").agg(F.count(F.lit(1)).alias("n"))
+    orphans = counted.join(parents.distinct(), ["check_id", "one", "two"], "left_anti")
     return orphans.groupBy("check_id").agg(F.sum("n").alias("failing_rows"))
 
 
@@ -127,31 +173,31 @@ def run_checks(spark: SparkSession, table: Callable[[str], DataFrame], checks: S
 
     ``table`` resolves a table name to its DataFrame. For unique checks the
     failing rows are duplicated values, for relationships child rows without a
-    parent.
+    parent. Whether any key repeats is found out at once, the rest is lazy.
     """
-    rows, keys, combinations = defaultdict(list), defaultdict(list), defaultdict(list)
-    children, parents = defaultdict(list), defaultdict(list)
+    rows, keys, children, parents = defaultdict(list), defaultdict(list), defaultdict(list), defaultdict(list)
     for i, check in enumerate(checks):
         if check.kind in ROW_KINDS:
             rows[check.table].append((i, check))
         elif check.kind in KEY_KINDS:
-            (keys if len(check.columns) == 1 else combinations)[check.table].append((i, _key_value(check)))
+            keys[check.table].append((i, check))
         else:
             parent, parent_column = check.parent
-            children[check.table].append((i, _key_value(check)))
-            parents[parent].append((i, f"cast(`{parent_column}` as string)"))
+            children[check.table].append((i, _wide_mark(check.columns[0])))
+            parents[parent].append((i, _wide_mark(parent_column)))
 
     def keyed(groups) -> DataFrame:
-        return union_all([_keyed(table(name), members) for name, members in groups.items()])
+        return union_all([_keyed(table(name), members, "one, two") for name, members in groups.items()])
 
     metrics = [_row_metrics(table(name), members) for name, members in rows.items()]
-    metrics += [_duplicate_metrics(keyed(groups)) for groups in (keys, combinations) if groups]
+    if keys and (repeated := _duplicate_metrics(spark, table, keys)) is not None:
+        metrics.append(repeated)
     if children:
         metrics.append(_orphan_metrics(keyed(children), keyed(parents)))
     specs = spark.createDataFrame(
         [(i, c.kind, c.table, ",".join(c.columns), c.severity) for i, c in enumerate(checks)], RESULT_SCHEMA
     )
-    found = union_all(metrics)
+    found = union_all(metrics) if metrics else spark.createDataFrame([], "check_id int, failing_rows bigint")
     failing = F.coalesce("failing_rows", F.lit(0)).cast("bigint")
     return specs.join(found, "check_id", "left").select(
         "check_id", "check_name", "table_name", "column_name", "severity",

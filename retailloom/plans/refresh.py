@@ -96,9 +96,7 @@ def committed_parts(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
 def current_table(spark: SparkSession, folder: str, schema) -> DataFrame:
     """The committed parts of a table's newest version; empty if there is none."""
     parts = committed_parts(spark, folder)
-    if not parts:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*(f"{folder}/version={v}/part={p}" for v, p in parts if v == parts[-1][0]))
+    return writers.read_parts(spark, [f"{folder}/version={v}/part={p}" for v, p in parts if v == parts[-1][0]], schema)
 
 
 def open_warehouse(spark: SparkSession, root: str, as_of, stream_target: str | None = None, calendar=CALENDAR) -> Warehouse:
@@ -117,10 +115,15 @@ def latest_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
     for label in sorted(child_names(spark, f"{root}/marts"), reverse=True):
         folder = f"{root}/marts/{label}"
         if all(path_exists(spark, f"{folder}/{mart}/_SUCCESS") for mart in Warehouse.MARTS):
-            return spark.read.parquet(f"{folder}/{name}")
+            return spark.read.parquet(f"{folder}/{name}").drop(writers.MONTH)
     raise ValueError(f"no complete refresh below {root}")
 
 
+def latest_dimensions(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The dimensions of the newest complete refresh, for a stream to enrich each batch with."""
+    return {name: latest_mart(spark, root, name) for name in ("dim_customer", "dim_product", "dim_store")}
+
+
 class LoadedWarehouse(Warehouse):
     """A warehouse whose raw tables are already stored, so they are read in place."""
 

@@ -187,7 +187,19 @@ def load_upsert(wh: Warehouse) -> DataFrame:
     writers.load_replace(base.where("registration_date < '1997-01-01'"), paths[0])
     for before, after in zip(paths, paths[1:], strict=False):
         writers.load_upsert(wh.spark, delivery, before, after, "customer_id", "registration_date")
-    return wh.spark.read.schema(base.schema).parquet(paths[-1]).select("customer_id", "registration_date", "lifetime_value")
+    return writers.read_parts(wh.spark, paths[-1:], base.schema).select("customer_id", "registration_date", "lifetime_value")
+
+
+def clustered_month_refresh(wh: Warehouse) -> DataFrame:
+    """Sales facts stored as they were known before the last month's deliveries, then only that month built anew."""
+    sales, returns, target = wh.staged("stg_sales"), wh.staged("stg_returns"), scratch_path(wh.spark, "clustered")
+    last = sales.agg(F.date_trunc("month", F.max("sale_date")).cast("date").alias("last"))
+    late = sales.join(F.broadcast(last), F.col("sale_date") >= F.col("last")).where(F.dayofmonth("sale_date") % 2 == 1).select(*sales.columns)
+    known = sales.join(late.select("sale_id"), "sale_id", "left_anti")
+    early = facts.fact_sales(known, returns)
+    writers.write_clustered(early, target, "sale_date")
+    writers.rewrite_months(facts.fact_sales(writers.whole_months(sales, "sale_date", late, "sale_date"), returns), target, "sale_date")
+    return writers.read_clustered(wh.spark, target, early.schema, "sale_date")
 
 
 def load_mixed_strategies(wh: Warehouse) -> DataFrame:
@@ -347,17 +359,20 @@ def stream_realtime_fact(wh: Warehouse) -> DataFrame:
 
 
 def stream_throughput_windows(wh: Warehouse) -> DataFrame:
-    rows, path, out = wh.raw("stream_sales"), scratch_path(wh.spark, "stream"), scratch_path(wh.spark, "partials")
+    """Read from the stream's own output; a heartbeat after the last event closes its windows."""
+    rows, path, out = wh.raw("stream_sales"), scratch_path(wh.spark, "stream"), scratch_path(wh.spark, "windows")
     rows.write.parquet(path)
-    partials = live.minute_partials(wh.spark.readStream.schema(rows.schema).parquet(path))
-    # Update mode holds no minute back and keeps only those within the watermark as state.
+    last = rows.agg(F.max("ingested_at").alias("last")).where("last is not null")
+    later = {"event_id": F.lit(live.HEARTBEAT), "ingested_at": F.col("last") + F.expr("interval 2 hours")}
+    beat = last.select(*(later.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema))
+    beat.coalesce(1).write.mode("append").parquet(path)
+    windows = live.throughput_windows(wh.spark.readStream.schema(rows.schema).parquet(path))
     query = (
-        partials.writeStream.outputMode("update").foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch={i}"))
+        windows.writeStream.outputMode("append").format("parquet").option("path", out)
         .option("checkpointLocation", scratch_path(wh.spark, "checkpoint")).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    updates = wh.spark.read.schema(T.StructType([*partials.schema, T.StructField("batch", T.LongType())])).parquet(out)
-    return live.trailing_windows(live.latest_partials(updates))
+    return wh.spark.read.schema(windows.schema).parquet(out)
 
 
 def stream_dead_letters(wh: Warehouse) -> DataFrame:
@@ -384,14 +399,11 @@ def stream_enriched(wh: Warehouse) -> DataFrame:
     rows.write.parquet(path)
     hot = {"store_sk": heavy_keys(wh.mart("fct_sales_realtime"), "store_sk")}
     fact = live.realtime_fact(wh.spark.readStream.schema(rows.schema).parquet(path))
-    enriched = live.enrich(fact, wh.mart("dim_customer"), wh.mart("dim_product"), wh.mart("dim_store"), hot).select(
-        "event_id", "store_name", "region", "brand", "category", "value_tier", "segment", "gross_amount")
-    query = (
-        enriched.writeStream.format("parquet").option("path", out)
-        .option("checkpointLocation", scratch_path(wh.spark, "checkpoint")).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return wh.spark.read.schema(enriched.schema).parquet(out)
+    columns = ["event_id", "store_name", "region", "brand", "category", "value_tier", "segment", "gross_amount"]
+    live.enrich_batches(
+        fact, lambda: {name: wh.mart(name) for name in ("dim_customer", "dim_product", "dim_store")}, out, scratch_path(wh.spark, "checkpoint"), hot, columns,
+    ).awaitTermination()
+    return wh.spark.read.parquet(out).select(*columns)
 
 
 def publish_events(wh: Warehouse) -> DataFrame:
@@ -433,6 +445,7 @@ def _build_catalogue() -> dict[str, Callable[[Warehouse], DataFrame]]:
     c["fact_returns"] = lambda wh: facts.fact_returns(*stg(wh, "stg_returns", "stg_sales"))
     c["fct_sales_realtime"] = lambda wh: facts.fct_sales_realtime(wh.staged("stg_stream_sales"))
     c["clustered_fact_sales"] = lambda wh: wh.mart("fact_sales")
+    c["clustered_month_refresh"] = clustered_month_refresh
 
     c["scd2_customers"] = customer_history
     c["point_in_time_sales"] = lambda wh: history.point_in_time(

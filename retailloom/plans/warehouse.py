@@ -12,7 +12,7 @@ from retailloom.operators import dimensions, facts, staging
 from retailloom.schemas import RAW_TABLES
 from retailloom.session import prepare, scratch_path
 from retailloom.sources import orders_model
-from retailloom.sources.writers import write_clustered
+from retailloom.sources.writers import read_clustered, write_clustered
 
 # (day column, sort column) of the date-clustered facts.
 CLUSTERING = {
@@ -65,8 +65,8 @@ class Warehouse:
             df = build()
             if name in CLUSTERING:
                 write_clustered(df, path, *CLUSTERING[name])
-            else:
-                df.write.mode("overwrite").parquet(path)
+                return read_clustered(self.spark, path, df.schema, CLUSTERING[name][0])
+            df.write.mode("overwrite").parquet(path)
             return self.spark.read.schema(df.schema).parquet(path)
 
         return self._once(f"table {name}", write)

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import json
+import posixpath
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from urllib.parse import unquote, urlparse
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retailloom.operators.joins import per_key
 from retailloom.operators.monitoring import AUDIT_SCHEMA
 from retailloom.session import path_exists, scratch_path
+from retailloom.sources import manifest
 
 
 def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
@@ -61,37 +65,116 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, order_by: str) ->
     return existing.join(replaced, key, "left_anti").select(*fresh.columns).unionByName(fresh)
 
 
-def load_upsert(spark: SparkSession, df: DataFrame, source: str | list[str], target: str, key: str, order_by: str) -> int:
-    """Upsert into the table at ``source``, one folder or several, writing the result to a new path ``target``.
+#: In a written part: the files of earlier ones that belong to the table as they are.
+KEPT_FILES = "_kept_files.json"
+
+
+def part_files(spark: SparkSession, part: str) -> list[str]:
+    """The data files of a part: its own, and those it kept of earlier ones. No file of an earlier part is listed again."""
+    own = [f"{part}/{name}" for name in sorted(manifest.listed(spark, part))]
+    kept = f"{part}/{KEPT_FILES}"
+    if not path_exists(spark, kept):
+        return own
+    scheme, at, rest = part.rpartition("://")
+    return own + [f"{scheme}{at}{posixpath.normpath(f'{rest}/{name}')}" for name in json.loads(manifest.text_of(spark, kept))]
+
+
+def read_parts(spark: SparkSession, parts: list[str], schema: T.StructType) -> DataFrame:
+    files = [f for part in parts for f in part_files(spark, part)]
+    return spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
 
-    The previous version stays readable until callers move to the new one. The
-    delivery is reduced to its latest rows once and stored next to the target,
-    as both the kept and the new rows hang on it.
+
+def _local_name(path: str) -> str:
+    """A file's path without scheme and host, as both the file system and Spark tell it."""
+    return unquote(urlparse(path).path) if ":" in path.split("/")[0] else path
+
+
+def load_upsert(spark: SparkSession, df: DataFrame, source: str | list[str], target: str, key: str, order_by: str) -> int:
+    """Upsert into the table at ``source``, one folder or several, writing the result to a new path ``target``; returns the rows written.
+
+    Copy on write, by files: only files that hold a delivered key are rewritten,
+    without those keys; the delivery's rows come with them, and all other files stay part of the
+    table under their names, as ``target`` notes. Which files those are is
+    found by a semi-join over the key column alone, within the delivery's range of keys. The
+    previous version stays readable. The delivery is reduced to its latest rows once and
+    stored next to the target, as several steps hang on it.
     """
     sources = [source] if isinstance(source, str) else list(source)
     if target in sources:
         raise ValueError("an upsert is written to a new path, not over the table it reads")
-    present = [s for s in sources if path_exists(spark, s)]
-    if not present:
-        return counted_write(latest_per_key(df, key, order_by), lambda d: d.write.mode("overwrite").parquet(target))
+    files = [f for s in sources for f in part_files(spark, s)]
     latest = latest_per_key(df, key, order_by)
+    if not files:
+        return counted_write(latest.sortWithinPartitions(key), lambda d: d.write.mode("overwrite").parquet(target))
     path = scratch_path(spark, "delivery")
     latest.write.parquet(path)
     fresh = spark.read.schema(latest.schema).parquet(path)
-    existing = spark.read.schema(df.schema).parquet(*present)
-    merged = existing.join(fresh.select(key), key, "left_anti").select(*fresh.columns).unionByName(fresh)
-    return counted_write(merged, lambda d: d.write.mode("overwrite").parquet(target))
+    reach = fresh.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
+    hit: set[str] = set()
+    if reach.low is not None:
+        held = spark.read.schema(df.schema).parquet(*files).where(F.col(key).between(reach.low, reach.high))
+        named = held.select(key, F.col("_metadata.file_path").alias("file")).join(fresh.select(key), key, "left_semi")
+        hit = {_local_name(r.file) for r in named.select("file").distinct().collect()}  # at most the table's files
+    rewritten = [f for f in files if _local_name(f) in hit]
+    merged = fresh
+    if rewritten:
+        before = spark.read.schema(df.schema).parquet(*rewritten)
+        merged = before.join(fresh.select(key), key, "left_anti").select(*fresh.columns).unionByName(fresh)
+    kept = [f for f in files if _local_name(f) not in hit]
+    # The list stands before the rows are committed, so a part never lacks it.
+    manifest.remove(spark, target)
+    manifest.put(spark, f"{target}/{KEPT_FILES}", json.dumps([posixpath.relpath(_local_name(f), _local_name(target)) for f in kept]))
+    return counted_write(merged.sortWithinPartitions(key), lambda d: d.write.mode("append").parquet(target))
+
+
+#: The folder column of clustered tables: the month of their day, as yyyymm.
+MONTH = "clustered_month"
+
+
+def _month(day: Column) -> Column:
+    return 100 * F.year(day) + F.month(day)
+
+
+def _by_month(df: DataFrame, day: str, sort_by: str | None) -> DataFrame:
+    laid_out = df.withColumn(MONTH, _month(F.col(day))).hint("rebalance", MONTH)
+    return laid_out.sortWithinPartitions(MONTH, sort_by or day)
 
 
 def write_clustered(df: DataFrame, target: str, day: str, sort_by: str | None = None) -> int:
-    """Full refresh laid out by ``day`` and sorted within files, so readers skip by its range.
+    """Full refresh, one folder per month of ``day``, sorted within files, so readers skip by folder and by range.
 
     One hash shuffle and no sampling pass, which would evaluate the input
-    twice. Adaptive execution cuts a day holding much of the data into several
-    files and merges small days.
+    twice. Adaptive execution cuts a month holding much of the data into several
+    files and merges small months into one task. Rows without a day have a folder of their own.
+    """
+    return counted_write(_by_month(df, day, sort_by), lambda d: d.write.mode("overwrite").partitionBy(MONTH).parquet(target))
+
+
+def rewrite_months(df: DataFrame, target: str, day: str, sort_by: str | None = None) -> int:
+    """Replace exactly the months that ``df`` holds, with its rows; the folders of all others are not touched.
+
+    ``df`` must hold these months whole (see :func:`whole_months`) and must not read ``target``. Repeating it changes nothing.
     """
-    laid_out = df.hint("rebalance", day).sortWithinPartitions(sort_by or day)
-    return counted_write(laid_out, lambda d: d.write.mode("overwrite").parquet(target))
+    laid_out = _by_month(df, day, sort_by)
+    return counted_write(laid_out, lambda d: d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(target))
+
+
+def whole_months(rows: DataFrame, day: str, fresh: DataFrame, fresh_day: str) -> DataFrame:
+    """The rows of every month in which ``fresh`` has a day: what has to be built anew after it arrived."""
+    months = [r[0] for r in fresh.select(_month(F.col(fresh_day).cast("date"))).distinct().collect()]  # one row per month
+    known = [m for m in months if m is not None]
+    wanted = _month(F.col(day).cast("date")).isin(known) if known else F.lit(False)
+    return rows.where(wanted | F.col(day).isNull() if None in months else wanted)
+
+
+def read_clustered(spark: SparkSession, target: str, schema: T.StructType, day: str, since=None, until=None) -> DataFrame:
+    """The rows from ``since`` to ``until`` (days, both included); only the folders of their months are listed and read."""
+    rows = spark.read.schema(T.StructType([*schema, T.StructField(MONTH, T.IntegerType())])).parquet(target)
+    for bound, keep in ((since, "__ge__"), (until, "__le__")):
+        if bound is not None:
+            at = F.lit(str(bound)[:10]).cast("date")
+            rows = rows.where(getattr(F.col(MONTH), keep)(_month(at))).where(getattr(F.col(day), keep)(at))
+    return rows.select(*schema.names)
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:

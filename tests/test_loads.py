@@ -1,8 +1,10 @@
 import json
+import os
 from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import types as T
 from rows import SALE, plan_of, raw, sale
 
 from retailloom.operators import monitoring
@@ -153,6 +155,49 @@ def test_upsert_replaces_by_key_and_is_repeatable(spark, path):
         writers.load_upsert(spark, new, path("v1"), path("v1"), "k", "at")
 
 
+def by_key(spark, parts):
+    return {r.k: (r.at, r.v) for r in writers.read_parts(spark, parts, T.StructType.fromDDL("k string, at int, v int")).collect()}
+
+
+def test_upsert_rewrites_only_files_that_hold_a_delivered_key(spark, path):
+    rows = spark.range(2000).selectExpr("concat('K', id) as k", "1 as at", "cast(id as int) as v")
+    rows.repartition(100, "k").write.parquet(path("v1"))
+    files = set(writers.part_files(spark, path("v1")))
+    assert len(files) == 100
+    delivery = spark.createDataFrame([(f"K{i * 17}", at, -i) for i in range(9) for at in (2, 3)] + [("NEW", 2, 7)], "k string, at int, v int")
+    assert writers.load_upsert(spark, delivery, path("v1"), path("v2"), "k", "at") <= 10 + 9 * 60
+    after = set(writers.part_files(spark, path("v2")))
+    assert len(files & after) >= 91 and not any(f.startswith(path("v1")) for f in after - files)
+    expected = {f"K{i}": (1, i) for i in range(2000)} | {f"K{i * 17}": (3, -i) for i in range(9)} | {"NEW": (2, 7)}
+    assert by_key(spark, [path("v2")]) == expected
+    assert by_key(spark, [path("v1")])["K17"] == (1, 17)  # the version before stays as it was
+    # Files kept twice in a row, and a repeated load.
+    more = spark.createDataFrame([("K1", 5, 5), (None, 5, 6)], "k string, at int, v int")
+    for _ in range(2):
+        writers.load_upsert(spark, more, path("v2"), path("v3"), "k", "at")
+    assert by_key(spark, [path("v3")]) == expected | {"K1": (5, 5), None: (5, 6)}
+    assert len(files & set(writers.part_files(spark, path("v3")))) >= 90
+
+
+def test_an_upsert_that_fails_is_not_a_part(spark, path, monkeypatch):
+    rows = spark.createDataFrame([("a", 1, 1), ("b", 1, 2)], "k string, at int, v int")
+    rows.write.parquet(path("v1"))
+    monkeypatch.setattr(writers, "counted_write", lambda *a: (_ for _ in ()).throw(OSError("crashed")))
+    with pytest.raises(OSError):
+        writers.load_upsert(spark, rows, path("v1"), path("v2"), "k", "at")
+    assert not os.path.exists(path("v2") + "/_SUCCESS")
+    monkeypatch.undo()
+    writers.load_upsert(spark, rows.where("k = 'a'").selectExpr("k", "2 as at", "9 as v"), path("v1"), path("v2"), "k", "at")
+    assert by_key(spark, [path("v2")]) == {"a": (2, 9), "b": (1, 2)}
+
+
+def test_an_upsert_of_nothing_keeps_every_file(spark, path):
+    rows = spark.createDataFrame([("a", 1, 1), ("b", 1, 2)], "k string, at int, v int")
+    rows.write.parquet(path("v1"))
+    writers.load_upsert(spark, rows.limit(0), path("v1"), path("v2"), "k", "at")
+    assert by_key(spark, [path("v2")]) == {"a": (1, 1), "b": (1, 2)} and set(writers.part_files(spark, path("v1"))) <= set(writers.part_files(spark, path("v2")))
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:

@@ -139,3 +139,62 @@ def test_minimum_counts_and_shapes(spark):
     assert got[("shaped", "k")] == (1, "fail")
     rows = quality.run_checks(spark, lambda _: df, [quality.at_least("t", 5), quality.at_least("t", 3)]).orderBy("check_id").collect()
     assert [(r.failing_rows, r.status) for r in rows] == [(2, "fail"), (0, "pass")]
+
+
+def damaged(spark):
+    """Repeated and colliding keys: text, numbers and combinations, with NULLs."""
+    t = spark.createDataFrame(
+        [("a", 1, None), ("a", 2, None), ("b", 3, "x"), ("c", 3, "x"), (None, 4, "y"), (None, 4, "y"), ("d", 5, None)], "k string, n int, v string")
+    other = spark.createDataFrame([("a", 1.5), ("z", 1.5), ("q", None)], "k string, w double")
+    specs = [*quality.unique("t", "k", "n"), quality.unique_combination("t", "n", "v"), quality.unique_combination("t", "k", "v"), *quality.unique("o", "k", "w")]
+    return {"t": t, "o": other}, specs
+
+
+EXPECTED_REPEATS = {0: 1, 1: 2, 2: 2, 3: 2, 5: 1}
+
+
+@pytest.mark.parametrize("mark", [quality.fingerprint, lambda columns: "7L", lambda columns: f"pmod(xxhash64(`{columns[0]}`), 2L)"])
+def test_colliding_fingerprints_are_settled_by_value(spark, mark):
+    tables, specs = damaged(spark)
+    checks_of = {}
+    for i, c in enumerate(specs):
+        checks_of.setdefault(c.table, []).append((i, c))
+    found = quality._duplicate_metrics(spark, tables.__getitem__, checks_of, mark)
+    assert {r.check_id: r.failing_rows for r in found.collect() if r.failing_rows} == EXPECTED_REPEATS
+
+
+def test_sound_keys_are_not_looked_at_again(spark):
+    tables = {"t": spark.range(100).selectExpr("id as k", "cast(id as string) as s")}
+    checks_of = {"t": list(enumerate([*quality.unique("t", "k", "s"), quality.unique_combination("t", "k", "s")]))}
+    assert quality._duplicate_metrics(spark, tables.__getitem__, checks_of) is None
+
+
+def shuffled_bytes(spark, work):
+    """Bytes that the stages of ``work`` wrote to shuffles."""
+    store = spark._jsc.sc().statusStore()
+
+    def total():
+        stages = store.stageList(None, False, False, spark._sc._gateway.new_array(spark._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    before = total()
+    work()
+    return total() - before
+
+
+def test_fingerprints_at_least_halve_what_is_shuffled(spark):
+    rows = spark.range(60_000).selectExpr(
+        "md5(cast(id as string)) as sale_sk", "concat('SALE-', lpad(cast(pmod(xxhash64(id), 1000000007) as string), 12, '0'), '-', id) as sale_id",
+        "md5(cast(id % 977 as string)) as customer_sk").cache()
+    rows.count()
+    tables = {"t": rows}
+    specs = [*quality.unique("t", "sale_sk", "sale_id"), quality.unique_combination("t", "sale_sk", "customer_sk")]
+
+    def as_text():
+        single = rows.selectExpr("stack(2, 0, sale_sk, 1, sale_id) as (check_id, value)").groupBy("check_id", "value").count().where("count > 1")
+        both = rows.selectExpr("2 as check_id", "array(sale_sk, customer_sk) as value").groupBy("check_id", "value").count().where("count > 1")
+        assert single.count() == both.count() == 0
+
+    old = shuffled_bytes(spark, as_text)
+    new = shuffled_bytes(spark, lambda: quality.run_checks(spark, tables.__getitem__, specs).collect())
+    assert 0 < 2 * new <= old, (new, old)

@@ -202,6 +202,76 @@ def test_enrichment_keeps_unmatched_events(spark):
     assert enriched.count() == 3 and enriched.where("store_name = 'Maison'").count() == 1
 
 
+def windows_of(spark, path, rounds):
+    """What the stream itself tells after each round of new events, 5 minutes of lateness allowed."""
+    out, told = path("windows"), []
+    for rows in rounds:
+        rows.coalesce(1).write.mode("append").parquet(path("stream"))
+        stream = spark.readStream.schema(rows.schema).parquet(path("stream"))
+        told.append({str(r.window_end)[11:16]: (r.events, r.active_partitions) for r in run_to_files(spark, live.throughput_windows(stream, 2, "5 minutes"), out, path("checkpoint")).collect()})
+    return told
+
+
+def test_windows_close_with_the_watermark_and_late_events_stay_out(spark, path):
+    def at(*times, **fields):
+        return raw(spark, "stream_sales", *(event(event_id=fields.get("id", f"e{t}{i}"), kafka_partition=i % 2, ingested_at=f"2025-03-02 {t}") for i, t in enumerate(times)))
+
+    first, second, third = windows_of(spark, path, [
+        at("10:00:10", "10:00:20", "10:01:30", "10:09:00"),
+        at("10:00:30", "10:06:10", "10:30:00"),  # the first one is too late, the second within the watermark
+        at("12:00:00", id=live.HEARTBEAT),
+    ])
+    assert first == {"10:01": (2, 2), "10:02": (3, 2), "10:03": (1, 1)}
+    # 10:04 to 10:06 are idle; the minute of 10:06 came late enough to be told after the first round.
+    assert second == first | {"10:07": (1, 1), "10:08": (1, 1), "10:10": (1, 1), "10:11": (1, 1)}
+    assert third == second | {"10:31": (1, 1), "10:32": (1, 1)}
+
+
+def test_state_of_the_windows_is_bounded_by_the_watermark(spark, path):
+    many = spark.range(4000).selectExpr("concat('e', id) as event_id", "cast(id % 3 as int) as kafka_partition", "id")
+    start = raw(spark, "stream_sales", event())
+    moved = start.drop("event_id", "kafka_partition", "ingested_at").crossJoin(many).withColumn(
+        "ingested_at", F.expr("timestamp_ntz'2025-03-02 00:00:00' + make_dt_interval(0, 0, 0, id * 15)")).select(*start.columns)
+    for n in range(4):
+        moved.where(f"event_id in (select concat('e', id) from range({n * 1000}, {n * 1000 + 1000}))").coalesce(1).write.mode("append").parquet(path("stream"))
+        stream = spark.readStream.schema(start.schema).parquet(path("stream"))
+        query = live.throughput_windows(stream, 15, "5 minutes").writeStream.format("parquet").option("path", path("out")).option(
+            "checkpointLocation", path("checkpoint")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        held = sum(o["numRowsTotal"] for o in query.recentProgress[-1]["stateOperators"])
+        assert held < 3 * (5 + 2) + 15 + 5 + 2 + 10
+
+
+def test_each_batch_is_enriched_with_the_newest_dimensions(spark, path):
+    rows = some_events(spark, 20)
+    fact = fct_sales_realtime(stage(rows, "stg_stream_sales"))
+    none = "string"
+    customers = spark.createDataFrame([], f"customer_sk {none}, value_tier {none}, segment {none}")
+    products = spark.createDataFrame([], f"product_sk {none}, brand {none}, category {none}")
+
+    def stores(name):
+        fact.select("store_sk", F.lit(name).alias("store_name"), F.lit("Europe").alias("region")).distinct().write.mode("overwrite").parquet(path(f"stores-{name}"))
+        return path(f"stores-{name}")
+
+    newest = [stores("old")]
+    for start in (0, 10):
+        rows.where(f"cast(substr(event_id, 2) as int) between {start} and {start + 9}").coalesce(1).write.mode("append").parquet(path("stream"))
+    asked = []
+
+    def dimensions():
+        asked.append(newest[-1])
+        found = spark.read.parquet(newest[-1])
+        if len(newest) == 1:
+            newest.append(stores("new"))  # replaced while the stream runs
+        return {"dim_customer": customers, "dim_product": products, "dim_store": found}
+
+    stream = live.realtime_fact(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path("stream")))
+    live.enrich_batches(stream, dimensions, path("out"), path("checkpoint")).awaitTermination()
+    assert len(asked) == 2
+    got = {(r.batch, r.store_name): r["count"] for r in spark.read.parquet(path("out")).groupBy("batch", "store_name").count().collect()}
+    assert got == {(0, "old"): 10, (1, "new"): 10}
+
+
 def test_dry_run_prints_and_stops(spark, path):
     records(some_events(spark, 3)).write.parquet(path("topic"))
     query = events.print_events(events.parse_events(topics.read_record_files(spark, path("topic"))), path("checkpoint"))
