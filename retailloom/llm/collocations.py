@@ -308,5 +308,9 @@ def collocations(docs: DataFrame, least: int = 10, share: int = 50, best: int =
     cut = cut.select("lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), "a",
                      *[F.when(early, F.col(f"{c}1")).otherwise(F.col(f"{c}2")).alias(n) for c, n in (("l", "l"), ("r", "r"), ("s", "score"))])
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    top = kept.unionByName(cut).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
+    found = kept.unionByName(cut)
+    # The best of every part of a language first, so that no task gathers all its phrases.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(64))
+    few = found.withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))))
+    top = few.where(F.col("rank") <= best).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
     return top.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))

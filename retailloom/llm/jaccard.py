@@ -7,9 +7,14 @@ A run gives each set a small tree: the root samples about ``breadth / similarity
 of its tokens, each sampled token a next level, and so on, by a hash of the path,
 so two sets that share the sampled tokens share the path. Sets that share a whole
 path form a bucket: each level splits it by one more shared token, which parts
-sets that have a passage in common and little else. Buckets are compared by brute
-force, in blocks where they are large. Runs are repeated until a pair at the bound
-is met with the target probability.
+sets that have a passage in common and little else. Small buckets are compared by brute
+force. Runs are repeated until a pair at the bound is met with the target probability.
+
+A bucket that is still large holds near copies, which further levels would not part. Its
+members are first compared with one pivot; those very like it need no comparison
+among each other or with the rest, as whoever is similar to them is like the pivot too, and
+what is left is taken on in further rounds with other pivots. So a group of n near copies
+costs a few rows per member here, not one per pair.
 
 Buckets compare sketches, whose bound lies five deviations below the similarity,
 and pass on only a star of each linked cluster. The clusters' documents are then
@@ -24,13 +29,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retailloom.llm.shared import components, ready, stored
 from retailloom.llm.text import PLAIN_WORDS, U64, Words, binary_column, list_column, mix, ranges, salt, shingles, slices
 
 BINS = 128
+_BITS = 24
+# Estimated similarities to a pivot: at _CORE a member needs no comparison of its own, at _AROUND it may hang together with the pivot.
+_CORE, _AROUND = 0.9, 0.45
 _TOKEN_BITS = U64(48)
 _TOKEN = U64((1 << 48) - 1)
 
@@ -88,24 +98,68 @@ def paths(keys: np.ndarray, sizes: np.ndarray, similarity: float, breadth: float
     return row[order], node[order]
 
 
+def set_keys(keys: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers that together name each row's set."""
+    token = keys & _TOKEN
+    return tuple(_sums(mix(token ^ salt(n)), sizes).view(np.int64) for n in (1, 2))
+
+
 def _describe(size: int, similarity: float, breadth: float, depth: int, runs: int):
     def run(batches):
+        made = TaskContext.get().partitionId() << 40
         for batch in batches:
             for first, end, data, at in slices(batch.column(1)):
                 with np.errstate(over="ignore"):
                     keys, sizes = token_sets(data, at, size)
-                    token = keys & _TOKEN
-                    key1, key2 = _sums(mix(token ^ salt(1)), sizes), _sums(mix(token ^ salt(2)), sizes)
+                    key1, key2 = set_keys(keys, sizes)
                     row, path = paths(keys, sizes, similarity, breadth, depth, runs)
                 leaves = np.bincount(row, minlength=end - first)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, end - first), pa.array(key1.view(np.int64)), pa.array(key2.view(np.int64)), pa.array(sizes.astype(np.int64)), pa.array(np.diff(at)),
+                    [batch.column(0).slice(first, end - first), pa.array(made + np.arange(end - first)), pa.array(key1), pa.array(key2), pa.array(sizes.astype(np.int64)), pa.array(np.diff(at)),
                      binary_column(sketches(keys, end - first)), list_column(path.view(np.int64), leaves, pa.int64())],
-                    ["doc_id", "key1", "key2", "n_tokens", "n_bytes", "sketch", "paths"])
+                    ["doc_id", "row", "key1", "key2", "n_tokens", "n_bytes", "sketch", "paths"])
+                made += end - first
+
+    return run
+
+
+def key_bits(rows: DataFrame) -> np.ndarray:
+    """A bitmap of ``key1``, 2 MB however many there are: with very many it lets more rows through, and a join that follows drops them."""
+    place = rows.select(F.expr(f"key1 & {(1 << _BITS) - 1}").alias("place"))
+    pieces = place.groupBy(F.shiftright("place", 5).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 31 as int))")).alias("mask")).toArrow()
+    out = np.zeros(1 << _BITS >> 5, np.uint32)
+    out[pieces["at"].to_numpy()] = pieces["mask"].to_numpy().astype(np.uint32)
+    return out
+
+
+def _keyed(sent, size: int, text_at: int, only_marked: bool):
+    """Adds the keys of each row's set, and whether the bitmap has them; on demand passes on such rows only."""
+
+    def run(batches):
+        mask = sent.value
+        for batch in batches:
+            for first, end, data, at in slices(batch.column(text_at)):
+                with np.errstate(over="ignore"):
+                    keys, sizes = token_sets(data, at, size)
+                    key1, key2 = set_keys(keys, sizes)
+                place = key1 & ((1 << _BITS) - 1)
+                marked = (mask[place >> 5] >> (place & 31).astype(np.uint32) & 1).astype(bool) & (sizes > 0)
+                rows = pa.RecordBatch.from_arrays(
+                    [*batch.slice(first, end - first).columns, pa.array(key1), pa.array(key2), pa.array(marked)], [*batch.schema.names, "key1", "key2", "marked"])
+                yield rows.filter(pa.array(marked)) if only_marked else rows
 
     return run
 
 
+def with_keys(docs: DataFrame, bits: np.ndarray, size: int = 5, only_marked: bool = False) -> DataFrame:
+    """``docs`` with ``key1``, ``key2`` and ``marked``: whether the set's key is in the bitmap. Texts stay in their tasks."""
+    spark = ready(docs.sparkSession)
+    types = {f.name: f.dataType for f in docs.schema}
+    added = T.StructType.fromDDL("key1 long, key2 long, marked boolean")
+    schema = T.StructType([*(T.StructField(c, types[c]) for c in docs.columns), *added])
+    return docs.mapInArrow(_keyed(spark.sparkContext.broadcast(bits), size, docs.columns.index("text"), only_marked), schema)
+
+
 def _grouped(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
     """Whole groups of rows of a sorted partition, a batch's worth of them at a time."""
     held: list[pa.RecordBatch] = []
@@ -264,65 +318,108 @@ def _in_blocks(rows: DataFrame, blocks, keep: list[str]) -> DataFrame:
     return dealt.select(*keep, "rep", "side", F.least("side", "other").alias("one"), F.greatest("side", "other").alias("two"))
 
 
-def _possible(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose ``rep`` may be among ``ids``, by a bitmap of hashes that is sent to all tasks.
+def _estimated(batches):
+    """The estimated similarity of the two sketches of each row."""
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("sketch", "other"))
+        filled = np.maximum(((a | b) != 0).sum(1), 1)
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("pivot"), pa.array(((a == b) & (a != 0)).sum(1) / filled)], ["rep", "pivot", "alike"])
 
-    The bitmap has 2^24 bits, at most 2^18 rows of 64, however many ids there are:
-    with very many it lets more rows through, and the join that follows drops them.
-    """
-    word, bit = F.expr("shiftright(pmod(xxhash64(rep), 16777216), 6)"), F.expr("shiftleft(1L, cast(pmod(xxhash64(rep), 64) as int))")
-    bitmap = ids.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    marked = rows.withColumns({"word": word, "bit": bit}).join(F.broadcast(bitmap), "word")
-    return marked.where(F.col("bits").bitwiseAND(F.col("bit")) != 0).select(*rows.columns)
 
+def _by_pivots(large: DataFrame, sketch: DataFrame, bucket: int, rounds: int) -> tuple[DataFrame | None, DataFrame]:
+    """(links, (bucket, rep, n) still to be compared) of buckets of more than ``bucket`` members.
 
-def near_duplicates(
+    A round compares every member with its bucket's pivot, the member first by hash, so
+    that buckets of one group of copies agree on it and a pair is compared once. Members at ``_CORE`` or more leave the bucket:
+    whoever is similar to them is, by the triangle of distances, at least ``_AROUND`` like the pivot and so linked to it.
+    """
+    links = done = None
+    for _ in range(rounds):
+        if large.isEmpty():
+            break
+        first = F.min(F.struct(F.xxhash64("rep").alias("hash"), "rep"))
+        pivots = stored(large.groupBy("bucket").agg(first.alias("first")).select("bucket", F.col("first.rep").alias("pivot")), "pivots")
+        paired = stored(large.join(pivots, "bucket").where("rep <> pivot").select("bucket", "rep", "pivot"), "paired")
+        pairs = paired.select("rep", "pivot").distinct()
+        pairs = pairs.join(sketch, "rep").join(sketch.select(F.col("rep").alias("pivot"), F.col("sketch").alias("other")), "pivot")
+        alike = stored(pairs.select("rep", "pivot", "sketch", "other").mapInArrow(_estimated, "rep long, pivot long, alike double"), "alike")
+        near = alike.where(F.col("alike") >= _AROUND).select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
+        links = near if links is None else links.unionByName(near)
+        left = paired.join(alike.where(F.col("alike") >= _CORE).select("rep", "pivot"), ["rep", "pivot"], "left_anti").select("bucket", "rep")
+        sizes = left.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        left = stored(left.join(sizes, "bucket").select("bucket", "rep", "n"), "left")
+        small = left.where(F.col("n") <= bucket)
+        done = small if done is None else done.unionByName(small)
+        large = left.where(F.col("n") > bucket)
+    return links, large if links is None else done.unionByName(large)
+
+
+def grouped(
     docs: DataFrame, size: int = 5, similarity: float = 0.8, recall: float = 0.9999, breadth: float = 1.25, depth: int = 2,
-    bucket: int = 512, block_bytes: int = 4 << 20,
-) -> DataFrame:
-    """(doc_id, class_id, n_links) of every row: its near-duplicate class and how many other rows are similar to it.
+    bucket: int = 512, rounds: int = 6, block_rows: int = 1024, block_bytes: int = 8 << 20, nameless: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, sets), stored: (doc_id, row, key1, key2, n_tokens, ...) of every row, and (key1, key2, copies, first_id, class, links) of every different set.
 
-    ``class_id`` is the smallest doc_id reached over links; a row without links is
-    alone. Words are as in the benchmark contract; a text of fewer than ``size``
-    words, but not none, is one run. Texts without words, NULL among them, are like
-    nothing. Rows that share a doc_id are one document to the classes. A NULL
-    doc_id keeps a NULL class and no links. Other columns are ignored; an empty
-    table gives an empty result.
+    ``class`` names the group of sets that hang together by links. Rows without a
+    doc_id take part only if ``nameless``.
     """
     ready(docs.sparkSession)
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     described = stored(named.mapInArrow(
         _describe(size, similarity, breadth, depth, runs_needed(recall, breadth, depth)),
-        "doc_id long, key1 long, key2 long, n_tokens long, n_bytes long, sketch binary, paths array<bigint>"), "described")
-    whole = described.where("n_tokens > 0 and doc_id is not null")
-    classes = stored(whole.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n_bytes").alias("n_bytes")), "classes")
-    first = whole.withColumnRenamed("doc_id", "rep").join(classes.select("key1", "key2", "rep"), ["key1", "key2", "rep"])
+        "doc_id long, row long, key1 long, key2 long, n_tokens long, n_bytes long, sketch binary, paths array<bigint>"), "described")
+    whole = described.where("n_tokens > 0") if nameless else described.where("n_tokens > 0 and doc_id is not null")
+    # A set is known by a number of its own, not by a doc_id that other sets may share; one of its rows speaks for it.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    sets = whole.groupBy("key1", "key2").agg(first, F.count("*").alias("copies"), F.max("n_bytes").alias("n_bytes"))
+    sets = stored(sets.select(
+        "key1", "key2", F.monotonically_increasing_id().alias("rep"), F.col("first.doc_id").alias("first_id"), F.col("first.row").alias("row"), "copies", "n_bytes"), "sets")
+    first = whole.join(sets.select("key1", "key2", "row", "rep"), ["key1", "key2", "row"])
 
     leaves = first.select("rep", F.explode(F.array_distinct("paths")).alias("bucket"))
     sizes = leaves.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(_in_blocks(leaves.join(sizes, "bucket"), F.ceil(F.col("n") / bucket).cast("long"), ["bucket"]), "members")
-    sketch = first.select("rep", "sketch").join(members.select("rep").distinct(), "rep", "left_semi")
+    members = stored(leaves.join(sizes, "bucket"), "members")
+    sketch = stored(first.select("rep", "sketch").join(members.select("rep").distinct(), "rep", "left_semi"), "sketches")
+    pivoted, left = _by_pivots(members.where(F.col("n") > bucket), sketch, bucket, rounds)
+    rest = members.where(F.col("n") <= bucket).select("bucket", "rep", "n").unionByName(left.select("bucket", "rep", "n"))
+    rest = _in_blocks(rest, F.ceil(F.col("n") / bucket).cast("long"), ["bucket"])
     bound = similarity - 5 * math.sqrt(similarity * (1 - similarity) / BINS)
     links = (
-        members.join(sketch, "rep").repartition("bucket", "one", "two").sortWithinPartitions("bucket", "one", "two", "rep")
+        rest.join(sketch, "rep").repartition("bucket", "one", "two").sortWithinPartitions("bucket", "one", "two", "rep")
         .select("bucket", "one", "two", "side", "rep", "sketch").mapInArrow(_compare_sketches(bound), "a long, b long"))
-    clusters = stored(components(links, "candidates"), "clusters")
+    clusters = stored(components(links if pivoted is None else links.unionByName(pivoted), "candidates"), "clusters")
 
-    reps = classes.groupBy("rep").agg(F.sum("copies").alias("copies"), F.max("n_bytes").alias("n_bytes"))
-    wanted = stored(clusters.select(F.col("node").alias("rep"), "component").join(reps, "rep"), "wanted")
+    wanted = stored(clusters.select(F.col("node").alias("rep"), "component").join(sets, "rep"), "wanted")
     sizes = wanted.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("bytes"))
-    texts = _possible(named.withColumnRenamed("doc_id", "rep"), wanted).join(wanted.join(sizes, "component").hint("merge"), "rep")
-    # A doc_id that stands on several rows is one member.
-    texts = texts.groupBy("rep", "component", "copies", "n", "bytes").agg(F.min("text").alias("text"))
-    blocks = F.greatest(F.ceil(F.col("n") / bucket), F.ceil(F.col("bytes") / block_bytes)).cast("long")
+    texts = with_keys(named, key_bits(wanted), size, only_marked=True).drop("marked")
+    texts = texts.join(wanted.join(sizes, "component").hint("merge"), ["key1", "key2"]).where(F.col("doc_id").eqNullSafe(F.col("first_id")))
+    # Rows that agree in doc_id and set speak once.
+    texts = texts.groupBy("key1", "key2", "rep", "component", "copies", "n", "bytes").agg(F.min("text").alias("text"))
+    blocks = F.greatest(F.ceil(F.col("n") / block_rows), F.ceil(F.col("bytes") / block_bytes)).cast("long")
     exact = (
         _in_blocks(texts, blocks, ["component", "copies", "text"])
         .repartition("component", "one", "two").sortWithinPartitions("component", "one", "two", "rep")
         .select("component", "one", "two", "side", "rep", "copies", "text").mapInArrow(_compare_sets(size, similarity), "a long, b long, links long"))
     exact = stored(exact, "links")
-    classed = components(exact.select("a", "b"), "classes").select(F.col("node").alias("rep"), F.col("component").alias("class_id"))
+    classed = components(exact.select("a", "b"), "classes").select(F.col("node").alias("rep"), F.col("component").alias("class"))
     counted = exact.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    known = classes.join(classed, "rep", "left").join(counted, "rep", "left").select(
-        "key1", "key2", F.coalesce("class_id", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return described.select("doc_id", F.when(F.col("doc_id").isNotNull() & (F.col("n_tokens") > 0), F.col("key1")).alias("key1"), "key2").join(
+    known = sets.join(classed, "rep", "left").join(counted, "rep", "left").select(
+        "key1", "key2", "copies", "first_id", F.coalesce("class", "rep").alias("class"), F.coalesce("links", F.lit(0)).alias("links"))
+    return described, stored(known, "known-sets")
+
+
+def near_duplicates(docs: DataFrame, **how) -> DataFrame:
+    """(doc_id, class_id, n_links) of every row: its near-duplicate class and how many other rows are similar to it.
+
+    ``class_id`` is the smallest doc_id reached over links; a row without links is
+    alone. Words are as in the benchmark contract; a text of fewer than ``size``
+    words, but not none, is one run. Texts without words, NULL among them, are like
+    nothing. Rows that share a doc_id are judged each by its own text. A NULL
+    doc_id keeps a NULL class and no links. Other columns are ignored; an empty
+    table gives an empty result.
+    """
+    rows, sets = grouped(docs, **how)
+    names = sets.groupBy("class").agg(F.min("first_id").alias("class_id"))
+    known = sets.join(names, "class").select("key1", "key2", "class_id", (F.col("copies") - 1 + F.col("links")).alias("n_links"))
+    return rows.select("doc_id", F.when(F.col("doc_id").isNotNull() & (F.col("n_tokens") > 0), F.col("key1")).alias("key1"), "key2").join(
         known, ["key1", "key2"], "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from decimal import Decimal, getcontext
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retailloom.llm.shared import ready, stored
@@ -58,12 +58,17 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int
     return ranked.select("source", "sid", "source_size", F.least("cap", F.coalesce(F.col("free") * F.col("weight"), F.col("cap"))).alias("target"))
 
 
+def stream_key(doc_id: Column, seed: int = 1) -> Column:
+    """What orders the documents of a source's stream, before doc_id and size."""
+    return F.md5(F.concat_ws(":", F.lit(seed), doc_id))
+
+
 def streams(sized: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
     """Adds ``sid`` and ``offset``, a document's place in its source's shuffled stream of words.
 
     The order is by hash; its first three hex digits deal a source to 4096 buckets.
     """
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id")))
+    key = stream_key(F.col("doc_id"), seed)
     rows = sized.join(sources.select(F.col("source").alias("s"), "sid"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     rows = rows.withColumn("key", key).withColumn("bucket", F.substring("key", 1, 3))
     within = Window.partitionBy("sid", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)

@@ -217,6 +217,54 @@ def test_large_groups_are_compared_in_blocks(spark, docs, rng, bucket):
     assert got == expected
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark, docs, rng):
+    one, two, three = (prose(rng, 60) for _ in range(3))
+    df = docs((one, None, None, 1), (two, None, None, 1), (changed(rng, one, 1), None, None, 2), (changed(rng, two, 1), None, None, 0), (three, None, None, 2), (one, None, None, None))
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    expected = brute.near_duplicates(rows)
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.class_id, r.n_links) for r in jaccard.near_duplicates(df).collect())
+    assert got == sorted((rows[i][0] if rows[i][0] is not None else -1, c, n) for i, (c, n) in expected.items())
+    assert {(1, 1, 1), (1, 0, 1), (2, 1, 1), (0, 0, 1)} <= set(got)
+
+
+def copies(rng, n, words=120):
+    """Different near copies of one text, any two of them alike, and a few that are like some of them only."""
+    base = prose(rng, words)
+    near = [" ".join([*base.split(" ")[:-2], f"x{i}", f"y{i}"]) for i in range(n)]
+    halfway = [changed(rng, near[i], 3) for i in range(0, n, max(1, n // 12))]
+    return near + halfway
+
+
+def test_near_copies_beyond_a_bucket_keep_every_link(spark, docs, rng):
+    df = docs(*copies(rng, 120), *[prose(rng, 40) for _ in range(15)])
+    expected = brute.near_duplicates([(r.doc_id, r.text) for r in df.collect()])
+    for bucket, rounds, block_rows in ((16, 6, 1024), (16, 1, 32), (16, 0, 50)):
+        got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_duplicates(df, bucket=bucket, rounds=rounds, block_rows=block_rows).collect()}
+        assert got == expected
+
+
+def test_rows_of_a_near_copy_group_grow_with_its_members(spark, docs, rng, monkeypatch):
+    """Candidate rows and exact rows at n, 2n and 4n different near copies."""
+    written, real = {}, jaccard.stored
+    seen = []
+
+    def stored(df, label, *a, **b):
+        out = real(df, label, *a, **b)
+        if label in ("alike", "links", "members", "paired"):
+            seen.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", stored)
+    for n in (150, 300, 600):
+        seen.clear()
+        jaccard.near_duplicates(docs(*copies(rng, n, 60)), bucket=64).count()
+        written[n] = {label: sum(c for k, c in seen if k == label) for label in ("alike", "links", "paired")}
+    for label in ("alike", "links"):
+        assert written[600][label] <= 4.4 * written[150][label] and written[300][label] <= 2.2 * written[150][label], (label, written)
+    # Members stand in as many buckets as they have leaves, however many they are.
+    assert all(written[n]["paired"] <= 40 * n for n in written), written
+
+
 def test_no_documents_have_no_duplicates(docs):
     assert jaccard.near_duplicates(docs()).count() == 0
 

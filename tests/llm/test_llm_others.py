@@ -1,6 +1,7 @@
 """Chats, vectors, the pipeline, and the queries that have SQL."""
 
 import hashlib
+import random
 
 import compare
 import numpy as np
@@ -140,6 +141,64 @@ def test_stages_keep_the_columns_and_take_effect(spark):
     assert last.count() == counts[-1] and last.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
 
 
+def test_only_copies_go_also_where_ids_are_shared_or_missing(spark, docs):
+    """Of each group of like texts one row stays, and no text that is like nothing goes."""
+    rng = random.Random(8)
+    one, two, three, four = (" ".join(f"{rng.choice('abcdef')}{rng.randrange(10**6)}" for _ in range(60)) for _ in range(4))
+    near = lambda t, n: " ".join([*t.split(" ")[:-1], f"end{n}"])
+    df = docs((one, "en", "s", 1), (two, "en", "s", 1), (near(one, 1), None, "s", 2), (near(one, 2), "en", None, 0), (three, "en", "s", None), (near(three, 1), "en", "s", 9),
+              (four, "en", "s", None), (near(four, 1), "en", "t", None), ("", "en", "s", 5), (None, None, None, None), (None, None, None, 7), (two, "en", "s", 1))
+    df = df.withColumns({"a.b": F.lit("dot"), "key1": F.lit("clash"), "marked": F.lit(1), "m": F.create_map(F.lit("k"), F.col("doc_id"))})
+    after = corpus_pipeline.keep_one_of_each_group(spark, df, SF_DIR)
+    assert after.columns == df.columns and after.schema["m"].dataType == df.schema["m"].dataType
+    rows = after.collect()
+    assert all(r["a.b"] == "dot" and r["key1"] == "clash" for r in rows)
+    got = sorted(((-1 if r.doc_id is None else r.doc_id), r.text or "") for r in rows)
+    fours = [t for i, t in got if i == -1 and t in (four, near(four, 1))]
+    assert len(fours) == 1
+    assert got == sorted([(1, two), (0, near(one, 2)), (9, near(three, 1)), (-1, fours[0]), (5, ""), (-1, ""), (7, "")])
+
+
+def test_copies_per_document_follow_the_schedule(spark, docs):
+    """A source's stream is taken whole some times and then its beginning; targets are met but for part of one document."""
+    rng = random.Random(9)
+    rows = [(" ".join(["w"] * rng.randrange(0, 40)), "en", rng.choice(["a", "a", "a", "b", "c", None]), i) for i in range(150)]
+    df = docs(*rows, ("w " * 400, "en", "a", 900), (None, "en", "b", None), ("no id here", "en", "b", None), rows[0])
+    df = df.withColumn("laps", F.lit("clash")).withColumn("a.b", F.lit(1))
+    from retailloom.llm import mixing
+
+    mixed, _ = mixing.mix(df)
+    taken = {}
+    for r in mixed.collect():
+        taken.setdefault((r.doc_id, r.source, r["size"]), []).append((r.taken, r.target, r.source_size))
+    after = corpus_pipeline.mix_sources(spark, df, SF_DIR)
+    assert after.columns == df.columns
+    copies = {}
+    for r in after.collect():
+        key = (r.doc_id, r.source, len((r.text or "").split()))
+        copies[key] = copies.get(key, 0) + 1
+    words = {}
+    for (doc_id, source, size), found in taken.items():
+        n = copies.get((doc_id, source, size), 0) / len(found)
+        for t, target, source_size in found:
+            words.setdefault(source, [0.0, target, source_size])[0] += n * size
+            if size:
+                assert t // size <= n <= -(-t // size) and n == int(t / size + 0.5) and n <= 3
+            else:
+                assert n == 0
+    largest = max(size for _, _, size in taken)
+    assert all(abs(w - min(t, 3 * s)) <= largest / 2 + 1 for w, t, s in words.values())
+
+
+def test_stages_take_odd_rows(spark, docs):
+    df = docs((None, None, None, None), ("", None, None, 3), ("x " * 300_000, "en", "s", 4), ("Wort für Wort " * 30, "de", "s", 4), ("same words again", "en", "s", 5), ("same words again", "en", "s", 5))
+    df = df.withColumns({"n_words": F.lit(1), "a.b": F.lit("dot"), "runs": F.lit("r")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, df, SF_DIR)
+        assert after.columns == df.columns and after.count() >= 0, name
+    assert corpus_pipeline.STAGES[-1][1](spark, df, SF_DIR).count() == 6
+
+
 def test_stages_take_empty_tables(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
