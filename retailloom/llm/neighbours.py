@@ -27,7 +27,7 @@ from retailloom.llm.topk import usable
 PLACE_BITS = 20
 _GRAPH = "node long, block long, vec array<float>, nbrs array<long>, dists array<float>, fresh array<boolean>"
 _FOUND = "block long, node long, nbrs array<long>, dists array<float>"
-_STATE = "query long, vec array<float>, beam array<long>, dists array<float>, done array<boolean>, seen array<long>, ahead array<long>"
+_STATE = "query long, vec array<float>, beam array<long>, dists array<float>, done array<boolean>, seen array<long>, blocks array<long>, nodes array<array<long>>"
 _HEARD = "query long, nbrs array<long>, dists array<float>, done array<boolean>, ahead array<long>"
 
 
@@ -279,6 +279,21 @@ def build(vectors: DataFrame, keep: int = 11, k: int = 24, reverse: int = 24, ro
 # --- search -------------------------------------------------------------------------------
 
 
+def _dealt(nodes: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
+    """Of each row's nodes: the blocks they stand in, and those of each block."""
+    ordered = [np.sort(n) for n in nodes]
+    flat = np.concatenate([np.zeros(0, np.int64), *ordered])
+    row = np.repeat(np.arange(len(nodes)), [len(n) for n in nodes])
+    block = flat >> PLACE_BITS
+    new = np.ones(len(flat), bool)
+    new[1:] = (block[1:] != block[:-1]) | (row[1:] != row[:-1])
+    begin = np.flatnonzero(new)
+    per_row = np.bincount(row[begin], minlength=len(nodes))
+    inner = _list_array(flat, np.diff(np.append(begin, len(flat))), pa.int64())
+    ends = pa.array(np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32))
+    return _list_array(block[begin], per_row, pa.int64()), pa.ListArray.from_arrays(ends, inner)
+
+
 def _started(sent, width: int, first: int):
     """Every query's best of the sampled nodes; the walk begins at the ``first`` of them, the others only bound it."""
 
@@ -300,10 +315,10 @@ def _started(sent, width: int, first: int):
                 for r, ids, ds in zip(rows.tolist(), names[near].tolist(), np.take_along_axis(d, near, 1).tolist(), strict=True):
                     beam[r], dists[r] = ids, ds
             done = [[place >= first for place in range(len(b))] for b in beam]
-            longs, empty = pa.list_(pa.int64()), [[] for _ in beam]
+            longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("query"), batch.column("vec"), pa.array(beam, longs), pa.array(dists, pa.list_(pa.float32())), pa.array(done, pa.list_(pa.bool_())),
-                 pa.array(beam, longs), pa.array(empty, longs)], ["query", "vec", "beam", "dists", "done", "seen", "ahead"])
+                 pa.array(beam, longs), *_dealt([np.array(b[:first], np.int64) for b in beam])], ["query", "vec", "beam", "dists", "done", "seen", "blocks", "nodes"])
 
     return run
 
@@ -387,14 +402,15 @@ def _gathered(beam: int):
         seen = np.union1d(column("seen"), ids).astype(np.int64)
         best = once[np.lexsort((ids[once], dist[once]))][:beam]
         ahead = np.setdiff1d(_lists(heard, "ahead")[0], seen).astype(np.int64)
+        going = np.concatenate([ids[best][~done[best]], ahead])
         one = lambda v, kind: _list_array(v, np.array([len(v)]), kind)
         return pa.table([state.column("query"), state.column("vec"), one(ids[best], pa.int64()), one(dist[best], pa.float32()), one(done[best], pa.bool_()),
-                         one(seen, pa.int64()), one(ahead, pa.int64())], ["query", "vec", "beam", "dists", "done", "seen", "ahead"])
+                         one(seen, pa.int64()), *_dealt([going])], ["query", "vec", "beam", "dists", "done", "seen", "blocks", "nodes"])
 
     return run
 
 
-def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, k: int = 10, beam: int = 256, starts: int = 1024, steps: int = 24, reverse: int = 24) -> DataFrame:
+def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, k: int = 10, beam: int = 160, starts: int = 1024, steps: int = 48, reverse: int = 24) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` nearest found in the graph of ``build``, nearest first, ties to the smaller vec_id.
 
     Scores are distances of the given vectors in double precision. A step ends
@@ -413,14 +429,14 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, k: int = 10,
         by_size.setdefault(len(vec), []).append((node, vec))
     sent = spark.sparkContext.broadcast({s: (np.array([n for n, _ in own], np.int64), np.array([v for _, v in own], np.float32)) for s, own in by_size.items()})
     state = stored(asked.select("query", F.col("embedding").cast("array<float>").alias("vec")).mapInArrow(_started(sent, beam, 32), _STATE), "walks")
-    for _ in range(steps):
+    for step in range(steps):
         bound = F.when(F.size("beam") < beam, F.lit(float("inf"))).otherwise(F.element_at("dists", -1)).cast("float").alias("bound")
-        undone = F.transform(F.filter(F.arrays_zip("beam", "done"), lambda e: ~e["done"]), lambda e: e["beam"])
-        going = state.select("query", "vec", bound, F.explode(F.array_union(undone, "ahead")).alias("node"))
-        going = stored(going.withColumn("block", _block("node")).groupBy("block", "query").agg(F.first("vec").alias("vec"), F.first("bound").alias("bound"), F.collect_list("node").alias("nodes")), "going")
+        going = state.select("query", "vec", bound, F.explode(F.arrays_zip("blocks", "nodes")).alias("to"))
+        going = going.select(F.col("to.blocks").alias("block"), "query", "vec", "bound", F.col("to.nodes").alias("nodes"))
         if going.isEmpty():
             break
-        told = going.groupBy("block").cogroup(walk.groupBy("block")).applyInArrow(_walked(beam, 4, 16), _HEARD)
+        going = going.toDF(*going.columns)
+        told = going.groupBy("block").cogroup(walk.groupBy("block")).applyInArrow(_walked(beam, 2, 8), _HEARD)
         state = stored(state.groupBy("query").cogroup(told.groupBy("query")).applyInArrow(_gathered(beam), _STATE), "walks")
     # Twice the asked number, as the walk's distances are single precision.
     best = state.select("query", F.explode(F.slice("beam", 1, 2 * k + 2)).alias("node")).join(nodes, "node").select("query", F.col("embedding").alias("near"), "members")
