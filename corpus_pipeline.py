@@ -11,12 +11,12 @@ from retailloom.llm.shared import ready, stored
 
 
 def _set_aside(docs: DataFrame, *used: str) -> DataFrame:
-    """Renames all columns but those used, so that none clashes with what an operator adds."""
-    return docs.select(*[F.col(f"`{c}`").alias(c if c in used else f"kept:{c}") for c in docs.columns])
+    """Renames all columns but those used, so that none clashes with what an operator adds, whatever its name holds."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in used else f"kept:{i}") for i, c in enumerate(docs.columns)])
 
 
 def _restored(found: DataFrame, docs: DataFrame, *used: str) -> DataFrame:
-    return found.select(*[F.col(f"`{c if c in used else f'kept:{c}'}`").alias(c) for c in docs.columns])
+    return found.select(*[F.col(f"`{c if c in used else f'kept:{i}'}`").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +72,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The mix takes each source's stream whole so many times and then a beginning
     of it, so a document has as many copies as there are laps and, up to one document, one more. That document, of
-    which a part is taken, is written if the part is half of it or more. Documents without words go.
+    which a part is taken, is written if the part is half of it or more. Documents without words go. Rows that
+    agree in doc_id, source and number of words are taken equally often.
     Texts are not shuffled: what is known of a source is one row.
     """
     mixed, _ = mixing.mix(docs)
