@@ -159,8 +159,8 @@ def written(quotient: np.ndarray, remainder: np.ndarray, count: np.ndarray, bits
 
 def read(slots: int, gaps: bytes, gap_more: list[int], remainders: bytes, counts: bytes, count_more: list[int], bits: int) -> tuple:
     """The counters of a filter: (quotient, remainder, count)."""
-    wide = np.zeros((slots, 8), np.uint8)
-    wide[:, : max(1, -(-bits // 8))] = np.frombuffer(remainders, np.uint8).reshape(slots, -1)
+    wide, width = np.zeros((slots, 8), np.uint8), max(1, -(-bits // 8))
+    wide[:, :width] = np.frombuffer(remainders, np.uint8).reshape(slots, width)
     return np.cumsum(_long(gaps, gap_more)).astype(U64), wide.reshape(-1).view("<u8").astype(U64), _long(counts, count_more)
 
 

@@ -5,7 +5,7 @@ that meet around one of their nearest pivots begin with the closest of
 each other as neighbours. Every round then joins, around each node, the
 neighbours it has and those that have it: whoever of two is among the other's best
 becomes its neighbour. Vectors come to a block once, however many of its nodes
-name them. Queries start at sampled nodes and walk the graph: each step sends a query to the
+name them. Queries start at nodes of their own cells and at sampled ones, and walk the graph: each step sends a query to the
 blocks of the nodes it has heard of, goes on there greedily, and
 brings back what it has measured and which nodes of other blocks come next.
 """
@@ -13,6 +13,7 @@ brings back what it has measured and which nodes of other blocks come next.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +66,12 @@ def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1) - 2 * (a @ b.T), 0)
 
 
+def _gaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of rows to rows."""
+    gap = a - b
+    return np.einsum("ij,ij->i", gap, gap)
+
+
 def _nearest(owner: np.ndarray, other: np.ndarray, dist: np.ndarray, k: int, stale: np.ndarray | None = None) -> np.ndarray:
     """Indices of each owner's ``k`` nearest others, each once, in order; of equal pairs the stale one stays."""
     stale = np.zeros(len(owner), bool) if stale is None else stale
@@ -124,13 +131,13 @@ def _met(k: int):
     def run(chunk: pa.Table) -> pa.Table:
         node, vec = _ints(chunk, "node"), _matrix(chunk)
         owner, other, dist = [], [], []
-        width = min(k + 1, len(node))
+        # A few more than asked, as products blur small distances; those of the chosen are then taken from differences.
+        width = min(2 * k, len(node))
         for first in range(0, len(node), 512):
-            d = _squares(vec[first : first + 512], vec)
-            near = np.argpartition(d, width - 1, axis=1)[:, :width]
+            near = np.argpartition(_squares(vec[first : first + 512], vec), width - 1, axis=1)[:, :width]
             owner.append(np.repeat(node[first : first + 512], width))
             other.append(node[near].ravel())
-            dist.append(np.take_along_axis(d, near, 1).ravel())
+            dist.append(_gaps(np.repeat(vec[first : first + 512], width, axis=0), vec[near.ravel()]))
         owner, other, dist = (np.concatenate(x) for x in (owner, other, dist))
         apart = owner != other
         return _found(owner[apart], other[apart], dist[apart], k)
@@ -196,9 +203,11 @@ def _around(k: int, slots: int = 2_000_000):
             length = np.einsum("nij,nij->ni", points, points)
             d = np.maximum(length[:, :, None] + length[:, None, :] - 2 * (points @ points.transpose(0, 2, 1)), 0)
             pair = upper & there[:, :, None] & there[:, None, :] & (new[:, :, None] | new[:, None, :])
-            pair &= (d < bound[who][:, :, None]) | (d < bound[who][:, None, :])
+            blur = 1e-5 * (length[:, :, None] + length[:, None, :])
+            pair &= (d - blur < bound[who][:, :, None]) | (d - blur < bound[who][:, None, :])
             n, i, j = np.nonzero(pair)
-            one, two, dist = who[n, i], who[n, j], d[n, i, j]
+            one, two = who[n, i], who[n, j]
+            dist = _gaps(vec[one], vec[two])
             for x, y in ((one, two), (two, one)):
                 near = dist < bound[x]
                 held.append((x[near], y[near], dist[near]))
@@ -230,11 +239,22 @@ def classes(vectors: DataFrame, keep: int) -> DataFrame:
     return few.groupBy("embedding").agg(F.array_sort(F.collect_set("vec_id")).alias("members"))
 
 
-def build(vectors: DataFrame, keep: int = 11, k: int = 24, reverse: int = 24, rounds: int = 4, block_rows: int = 2048, meetings: int = 3, pivots: int = 512) -> tuple[DataFrame, DataFrame]:
-    """(nodes, graph) over all usable vectors, both stored.
+@dataclass(frozen=True)
+class Index:
+    """``nodes``: node, embedding, members. ``graph``: node, block, vec and the neighbours with squared distances.
+    ``homes``: the cells and how many blocks each has. ``pivots``: by vector length, the cells and their points."""
+
+    nodes: DataFrame
+    graph: DataFrame
+    homes: DataFrame
+    pivots: dict[int, tuple[np.ndarray, np.ndarray]]
+    meetings: int
+
 
-    ``nodes``: node, embedding, members. ``graph``: node, block, vec and the lists of its ``k`` neighbours
-    with squared distances. At most ``pivots`` vectors are sampled by hash as pivots; a crowded cell is cut into
+def build(vectors: DataFrame, keep: int = 11, k: int = 24, reverse: int = 24, rounds: int = 4, block_rows: int = 2048, meetings: int = 3, pivots: int = 512) -> Index:
+    """The graph of ``k`` neighbours over all usable vectors, stored.
+
+    At most ``pivots`` vectors are sampled by hash as pivots; a crowded cell is cut into
     chunks of about ``block_rows`` by hash, so no group grows with the table.
     """
     spark = ready(vectors.sparkSession)
@@ -244,7 +264,8 @@ def build(vectors: DataFrame, keep: int = 11, k: int = 24, reverse: int = 24, ro
     by_size: dict[int, list[tuple[int, list[float]]]] = {}
     for name, v in enumerate(sample["embedding"].to_pylist()):
         by_size.setdefault(len(v), []).append((name, v))
-    sent = spark.sparkContext.broadcast({s: (np.array([n for n, _ in own], np.int64), np.array([v for _, v in own], np.float32)) for s, own in by_size.items()})
+    points = {s: (np.array([n for n, _ in own], np.int64), np.array([v for _, v in own], np.float32)) for s, own in by_size.items()}
+    sent = spark.sparkContext.broadcast(points)
     kind = reps.schema["embedding"].dataType.simpleString()
     given = stored(reps.mapInArrow(_cells(sent, meetings), f"embedding {kind}, members array<long>, cells array<long>"), "vector-cells")
     crowds = given.select(F.posexplode("cells").alias("turn", "cell")).groupBy("turn", "cell").agg(F.ceil(F.count("*") / block_rows).alias("chunks"))
@@ -273,7 +294,7 @@ def build(vectors: DataFrame, keep: int = 11, k: int = 24, reverse: int = 24, ro
         needed = needed.toDF(*needed.columns)
         found = edges.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(_around(k), _FOUND)
         graph = merged(graph, found)
-    return nodes.select("node", "embedding", "members"), graph
+    return Index(nodes.select("node", "embedding", "members"), graph, homes, points, meetings)
 
 
 # --- search -------------------------------------------------------------------------------
@@ -337,8 +358,11 @@ def _walked(beam: int, rounds: int, at_once: int):
         given_ends = np.cumsum(given_sizes)
         queries, points, bounds = asked.column("query").to_numpy(), _matrix(asked), asked.column("bound").to_numpy()
         for i in range(len(queries)):
-            place = np.searchsorted(sorted_node, given[given_ends[i] - given_sizes[i] : given_ends[i]])
-            now = np.unique(order[place])
+            if given_sizes[i]:
+                place = np.searchsorted(sorted_node, given[given_ends[i] - given_sizes[i] : given_ends[i]])
+                now = np.unique(order[place])
+            else:  # the block of one of the query's own cells: it begins at the nearest nodes there
+                now = np.argsort(_gaps(vec, points[i]), kind="stable")[:at_once]
             # Distances of start nodes were summed in another order.
             bound = float(bounds[i]) * (1 + 1e-5)
             seen = np.zeros(len(node), bool)
@@ -348,8 +372,7 @@ def _walked(beam: int, rounds: int, at_once: int):
             for _ in range(rounds):
                 if len(now):
                     seen[now] = True
-                    gap = vec[now] - points[i]
-                    dist[now] = np.einsum("ij,ij->i", gap, gap)
+                    dist[now] = _gaps(vec[now], points[i])
                 open_ = np.flatnonzero(seen & ~done & (dist <= bound))
                 if not len(open_):
                     break
@@ -366,8 +389,7 @@ def _walked(beam: int, rounds: int, at_once: int):
             else:
                 if len(now):
                     seen[now] = True
-                    gap = vec[now] - points[i]
-                    dist[now] = np.einsum("ij,ij->i", gap, gap)
+                    dist[now] = _gaps(vec[now], points[i])
             # All that was met is told, so that it is not walked to again.
             met = np.flatnonzero(seen)
             out["query"].append(queries[i])
@@ -410,16 +432,27 @@ def _gathered(beam: int):
     return run
 
 
-def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, k: int = 10, beam: int = 160, starts: int = 1024, steps: int = 48, reverse: int = 24) -> DataFrame:
+def _home_blocks(asked: DataFrame, index: Index) -> DataFrame:
+    """(query, block): one block of each of a query's cells."""
+    sent = asked.sparkSession.sparkContext.broadcast(index.pivots)
+    kind = asked.schema["embedding"].dataType.simpleString()
+    cells = asked.select("query", "embedding").mapInArrow(_cells(sent, index.meetings), f"query long, embedding {kind}, cells array<long>")
+    cells = cells.select("query", F.explode("cells").alias("cell")).join(index.homes, "cell")
+    return cells.select("query", (F.shiftleft("cell", PLACE_BITS) + F.pmod(F.xxhash64("query"), F.col("chunks"))).alias("block"))
+
+
+def search(queries: DataFrame, index: Index, k: int = 10, beam: int = 160, starts: int = 1024, steps: int = 48, reverse: int = 24) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` nearest found in the graph of ``build``, nearest first, ties to the smaller vec_id.
 
-    Scores are distances of the given vectors in double precision. A step ends
+    A query begins at the nearest of ``starts`` sampled nodes and of one block of each of its own cells, as
+    groups that no other node points to are reached from there only. Scores are distances of the given vectors in double precision. A step ends
     when no query has a node left to go to that could enter its ``beam``. A query meets vectors of its length only and
     never its own id; a repeated query counts once, with its smallest vector.
     """
     spark = ready(queries.sparkSession)
     asked = usable(queries).where(F.exists("embedding", lambda x: x != 0)).select(F.col("vec_id").cast("long").alias("query"), "embedding")
     asked = stored(asked.groupBy("query").agg(F.min("embedding").alias("embedding")), "queries")
+    graph, nodes = index.graph, index.nodes
     links = _edges(graph, reverse).groupBy("centre").agg(F.collect_set("other").alias("nbrs"))
     walk = graph.select("node", "block", "vec").join(links.withColumnRenamed("centre", "node"), "node", "left")
     walk = stored(walk.select("node", "block", "vec", F.coalesce("nbrs", F.array().cast("array<long>")).alias("nbrs")), "walk")
@@ -431,9 +464,12 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, k: int = 10,
     state = stored(asked.select("query", F.col("embedding").cast("array<float>").alias("vec")).mapInArrow(_started(sent, beam, 32), _STATE), "walks")
     for step in range(steps):
         bound = F.when(F.size("beam") < beam, F.lit(float("inf"))).otherwise(F.element_at("dists", -1)).cast("float").alias("bound")
-        going = state.select("query", "vec", bound, F.explode(F.arrays_zip("blocks", "nodes")).alias("to"))
-        going = going.select(F.col("to.blocks").alias("block"), "query", "vec", "bound", F.col("to.nodes").alias("nodes"))
-        if going.isEmpty():
+        if step:
+            going = state.select("query", "vec", bound, F.explode(F.arrays_zip("blocks", "nodes")).alias("to"))
+            going = going.select(F.col("to.blocks").alias("block"), "query", "vec", "bound", F.col("to.nodes").alias("nodes"))
+        else:
+            going = state.select("query", "vec", bound).join(_home_blocks(asked, index), "query").select("block", "query", "vec", "bound", F.array().cast("array<long>").alias("nodes"))
+        if step and going.isEmpty():
             break
         going = going.toDF(*going.columns)
         told = going.groupBy("block").cogroup(walk.groupBy("block")).applyInArrow(_walked(beam, 2, 8), _HEARD)
@@ -455,5 +491,4 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, **how: int) ->
     take no part. Rows that repeat an id and its vector count once; an id with several vectors is a candidate with
     each. Extra columns play no part. Empty tables give no rows.
     """
-    nodes, graph = build(vectors, keep=k + 1, **how)
-    return search(queries, nodes, graph, k)
+    return search(queries, build(vectors, keep=k + 1, **how), k)

@@ -207,7 +207,7 @@ def test_small_tables_are_searched_whole(spark):
     assert set(got) == set(want)
     for q, near in want.items():
         assert [i for _, i in got[q]] == [i for _, i in near]
-        assert got[q] == pytest.approx(near)
+        assert [s for s, _ in got[q]] == pytest.approx([s for s, _ in near])
 
 
 def test_recall_on_a_table_of_many_blocks(spark):
@@ -218,13 +218,13 @@ def test_recall_on_a_table_of_many_blocks(spark):
     points[3500:3800] = points[100]  # and one of exact copies
     rows = list(enumerate(points.astype(np.float32).tolist()))
     df = vectors(spark, rows)
-    nodes, graph = neighbours.build(df, k=16, reverse=16, block_rows=256)
-    assert graph.count() == nodes.count() == 4000 - 300
-    got, want = found(neighbours.search(df.where("vec_id % 100 = 0"), nodes, graph, beam=96, starts=128)), exact(rows)
+    index = neighbours.build(df, k=16, reverse=16, block_rows=256)
+    assert index.graph.count() == index.nodes.count() == 4000 - 300
+    got, want = found(neighbours.search(df.where("vec_id % 100 = 0"), index, beam=96, starts=128)), exact(rows)
     assert set(got) == set(want) and all(len(v) == 10 for v in got.values())
     assert all(s == pytest.approx(math.dist(rows[q][1], rows[i][1]), abs=1e-12) for q, near in got.items() for s, i in near)
     hit = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want) / (10 * len(want))
-    assert hit >= 0.9
+    assert hit >= 0.9, {q: len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want}
     # Exact copies are settled by their ids.
     assert [i for _, i in got[100]] == list(range(3500, 3510)) and [i for _, i in got[3600]][:2] == [100, 3500]
 
