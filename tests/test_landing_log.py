@@ -132,16 +132,16 @@ def test_many_batches_leave_few_files_and_a_short_log(spark, path):
 def test_a_stream_of_many_batches_stays_in_few_files(spark, path):
     from retailloom.sources import topics
 
-    for start in range(0, 40 * 3, 3):
+    for start in range(0, 18 * 3, 3):
         records(some_events(spark, 3, start=start)).coalesce(1).write.mode("append").parquet(path("topic"))
-    query = landing.land_stream(topics.read_record_files(spark, path("topic"), 1), path("landing"), path("checkpoint"), guard="none", compact_every=8)
+    query = landing.land_stream(topics.read_record_files(spark, path("topic"), 1), path("landing"), path("checkpoint"), guard="none", compact_every=4)
     query.awaitTermination()
     state = manifest.read_state(spark, path("landing"))
-    assert state.runs[query.id]["batch"] == 39 and len(state.of("rows")) <= 8 * 3 + 1 and len(state.of("seen")) <= 8 + 1
+    assert state.runs[query.id]["batch"] == 17 and len(state.of("rows")) <= 4 * 3 + 1 and len(state.of("seen")) <= 4 + 1
     got = pairs(landing.landed(spark, path("landing")))
-    assert len(got) == 120 == len(set(got))
+    assert len(got) == 54 == len(set(got))
     rate = landing.run_progress(spark, path("landing")).first()
-    assert (rate.batches, rate.input_rows) == (40, 120) and rate.rows_per_second > 0
+    assert (rate.batches, rate.input_rows) == (18, 54) and rate.rows_per_second > 0
     assert landing.progress(spark, path("landing")).where("rows_per_second is null or started_at is null").count() == 0
 
 
