@@ -356,7 +356,7 @@ def _by_pivots(large: DataFrame, sketch: DataFrame, bucket: int, rounds: int) ->
 
 def grouped(
     docs: DataFrame, size: int = 5, similarity: float = 0.8, recall: float = 0.9999, breadth: float = 1.25, depth: int = 2,
-    bucket: int = 512, rounds: int = 6, block_rows: int = 1024, block_bytes: int = 8 << 20, nameless: bool = False,
+    bucket: int = 512, rounds: int = 3, block_rows: int = 1024, block_bytes: int = 8 << 20, nameless: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, sets), stored: (doc_id, row, key1, key2, n_tokens, ...) of every row, and (key1, key2, copies, first_id, class, links) of every different set.
 
