@@ -1,13 +1,16 @@
 """Secret scans: base patterns, and a likelihood ratio of two character Markov models.
 
 One model learns transitions between characters from labelled secrets (what the
-base patterns find), the other from ordinary identifiers (all other words). A
-long word that the first explains much better than the second is a secret, too.
+base patterns find), the other from ordinary identifiers: all other words as they stand, and
+put together as names are (see ``identifiers``). A word that the first explains
+much better than the second is a secret, too.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +26,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "markov")
 LEAST_ASSIGNED = 8
-LEAST_WORD = 16
+# A word of fewer characters cannot reach the bound on the whole ratio but by chance.
+LEAST_WORD = 10
 _WORD = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_WORD)
 _IDENTIFIER = re.compile(r"[A-Za-z0-9+/_=-]{4,}")
 
@@ -48,8 +52,30 @@ def _transitions(words: list[str]) -> np.ndarray:
     return np.bincount(state[:-1] * STATES + state[1:], minlength=STATES * STATES) if len(state) > 1 else np.zeros(STATES * STATES, np.int64)
 
 
-def _is_free(begin: int, end: int, spans: list[tuple[str, int, int, int]]) -> bool:
-    return all(end <= s[1] or begin >= s[2] for s in spans)
+class Covered:
+    """Where base spans lie, as disjoint runs in order."""
+
+    def __init__(self, spans: list[tuple]):
+        self.begin: list[int] = []
+        self.end: list[int] = []
+        for _, begin, end, *_ in spans:  # by start
+            if self.end and begin <= self.end[-1]:
+                self.end[-1] = max(self.end[-1], end)
+            else:
+                self.begin.append(begin)
+                self.end.append(end)
+
+    def rests(self, begin: int, end: int) -> Iterator[tuple[int, int]]:
+        """The parts of a span that no base span covers."""
+        at = bisect_right(self.end, begin)
+        while begin < end:
+            if at == len(self.begin) or self.begin[at] >= end:
+                yield begin, end
+                return
+            if self.begin[at] > begin:
+                yield begin, self.begin[at]
+            begin = max(begin, self.end[at])
+            at += 1
 
 
 def _count(batches):
@@ -59,13 +85,53 @@ def _count(batches):
             spans = base_spans(text)
             if spans:
                 secret += _transitions([text[s[3] : s[2]] for s in spans])
-                ordinary += _transitions([m[0] for m in _IDENTIFIER.finditer(text) if _is_free(*m.span(), spans)])
+                covered = Covered(spans)
+                ordinary += _transitions([text[b:e] for m in _IDENTIFIER.finditer(text) for b, e in covered.rests(*m.span()) if e - b >= 4])
             else:
                 ordinary += _transitions(_IDENTIFIER.findall(text))
     cells = np.flatnonzero(secret + ordinary)
     yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(secret[cells]), pa.array(ordinary[cells])], ["cell", "secret", "ordinary"])
 
 
+_EDGE = STATES - 1
+_JOINS = [_ALPHABET.index(c) for c in "_-/.="]
+
+
+def identifiers(ordinary: np.ndarray) -> np.ndarray:
+    """Transitions within names put together of the counted words, which prose itself hardly holds.
+
+    A word's end and the next one's begin meet directly, with a capital, or around a joint; words
+    are also written in capitals throughout; joints repeat as in rules; digits follow digits and joints as in dates and versions.
+    The variants weigh as much as the words as they stand.
+    """
+    plain = ordinary.astype(float).reshape(STATES, STATES)
+    begins, ends = plain[_EDGE].copy(), plain[:, _EDGE].copy()
+    begins[_EDGE] = ends[_EDGE] = 0
+    upper = np.arange(STATES)
+    upper[:26] = np.arange(26, 52)
+    capital = np.zeros(STATES)
+    np.add.at(capital, upper, begins)
+    out, words = plain.copy(), max(1.0, begins.sum())
+    out += np.outer(ends, capital) / words  # camelCase
+    capital_end = np.zeros(STATES)
+    np.add.at(capital_end, upper, ends)
+    shouted = np.zeros_like(plain)
+    np.add.at(shouted, (upper[:, None], upper[None, :]), plain)
+    out += shouted / 4
+    digits = [_ALPHABET.index(c) for c in "0123456789"]
+    for joint in _JOINS:
+        share = 1 / len(_JOINS)
+        out[:, joint] += share * (ends + capital_end / 4)
+        out[joint] += share * (begins + capital / 4)
+        out[joint, joint] += share * words / 8
+        out[joint, digits] += share * words / 80
+        out[digits, joint] += share * words / 80
+    out[np.ix_(digits, digits)] += words / 400
+    out[digits, _EDGE] += words / 80
+    out[_EDGE, digits] += words / 80
+    return out.ravel()
+
+
 @dataclass
 class SecretModel:
     """Log-likelihood ratio of each transition, in nats; the last state is the edge of a word."""
@@ -100,6 +166,7 @@ def fit(docs: DataFrame) -> SecretModel | None:
         table[:, r.cell] = r.secret, r.ordinary
     if not table[0].any():
         return None
+    table[1] = identifiers(table[1])
     chance = np.log((table + 1).reshape(2, STATES, STATES) / (table.reshape(2, STATES, STATES).sum(2, keepdims=True) + STATES))
     return SecretModel((chance[0] - chance[1]).ravel())
 
@@ -107,8 +174,8 @@ def fit(docs: DataFrame) -> SecretModel | None:
 def scan(docs: DataFrame, model: SecretModel | None) -> DataFrame:
     """Adds ``secrets``, an array of (kind, start, finish) in code points, to every document's id.
 
-    Base spans are as the patterns give them; a ``markov`` span is a word of at
-    least ``LEAST_WORD`` characters outside them that the model finds. NULL and
+    Base spans are as the patterns give them; a ``markov`` span is a word, or what base spans leave of one, of at
+    least ``LEAST_WORD`` characters that the model finds. Words and spans are merged in order, so a text with many of both takes linear time. NULL and
     empty texts have none. Rows are scanned each for itself, whole.
     """
     spark = ready(docs.sparkSession)
@@ -122,10 +189,12 @@ def scan(docs: DataFrame, model: SecretModel | None) -> DataFrame:
             where: list[tuple[int, int, int]] = []
             words: list[str] = []
             for row, text in enumerate(texts) if known else ():
+                covered = Covered(spans[row])
                 for m in _WORD.finditer(text):
-                    if all(m.end() <= s[1] or m.start() >= s[2] for s in spans[row]):
-                        where.append((row, m.start(), m.end()))
-                        words.append(m[0])
+                    for begin, end in covered.rests(*m.span()):
+                        if end - begin >= LEAST_WORD:
+                            where.append((row, begin, end))
+                            words.append(text[begin:end])
             for (row, begin, end), secret in zip(where, known.find(words) if known else (), strict=True):
                 if secret:
                     spans[row].append(("markov", begin, end))

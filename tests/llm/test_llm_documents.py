@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -238,7 +239,7 @@ def copies(rng, n, words=120):
 def test_near_copies_beyond_a_bucket_keep_every_link(spark, docs, rng):
     df = docs(*copies(rng, 120), *[prose(rng, 40) for _ in range(15)])
     expected = brute.near_duplicates([(r.doc_id, r.text) for r in df.collect()])
-    for bucket, rounds, block_rows in ((16, 6, 1024), (16, 1, 32), (16, 0, 50)):
+    for bucket, rounds, block_rows in ((16, 3, 1024), (16, 1, 32), (16, 0, 50)):
         got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_duplicates(df, bucket=bucket, rounds=rounds, block_rows=block_rows).collect()}
         assert got == expected
 
@@ -392,3 +393,69 @@ def test_golden_points_are_spread(spark):
     far = spark.range(1 << 40, (1 << 40) + 3).select(mixing.point(F.col("id")).alias("u")).collect()
     steps = [(b.u - a.u) % 1 for a, b in zip(far, far[1:], strict=False)]
     assert all(abs(s - (5**0.5 - 1) / 2) < 1e-6 for s in steps)
+
+
+def test_ratio_of_the_models_equals_brute_force(spark, docs, rng):
+    """Counts of transitions and the ratio of every word, recomputed character by character."""
+    from math import log
+
+    texts = [prose(rng, 30) + f" secret={rng.randrange(10**14):x}Zz{i} snake_case_{i} {rng.randrange(16**11):x}" for i in range(40)]
+    model = secrets.fit(docs(*texts, texts[0], None, ""))
+    state = lambda c: secrets._ALPHABET.find(c) if c in secrets._ALPHABET else secrets.STATES - 1
+    counts = {"secret": Counter(), "ordinary": Counter()}
+    for text in (*texts, texts[0]):
+        spans = secrets.base_spans(text)
+        inside = [text[s[3] : s[2]] for s in spans]
+        rest = "".join("\0" if any(s[1] <= i < s[2] for s in spans) else c for i, c in enumerate(text))
+        words = [w for w in re.findall(r"[A-Za-z0-9+/_=-]+", rest) if len(w) >= 4]
+        for kind, found in (("secret", inside), ("ordinary", words)):
+            joined = [state(c) for c in "\n".join(found)]
+            counts[kind].update(zip(joined, joined[1:], strict=False))
+    plain = np.zeros(secrets.STATES**2)
+    for (a, b), n in counts["ordinary"].items():
+        plain[a * secrets.STATES + b] = n
+    ordinary = secrets.identifiers(plain).reshape(secrets.STATES, -1)
+    secret = np.zeros_like(ordinary)
+    for (a, b), n in counts["secret"].items():
+        secret[a, b] = n
+
+    def ratio(word):
+        path = [secrets.STATES - 1, *map(state, word), secrets.STATES - 1]
+        chance = lambda t, a, b: log((t[a, b] + 1) / (t[a].sum() + secrets.STATES))
+        return sum(chance(secret, a, b) - chance(ordinary, a, b) for a, b in zip(path, path[1:], strict=False))
+
+    words = ["abcdefg", "snake_case_word", *[f"{rng.randrange(16**n):x}" for n in range(8, 30)], *(prose(rng, 30).split())]
+    for word, found in zip(words, model.find(words), strict=True):
+        whole = ratio(word)
+        if min(abs(whole - model.least_total), abs(whole - model.least_mean * (len(word) + 1))) > 1e-6:
+            assert found == (whole >= model.least_total and whole >= model.least_mean * (len(word) + 1))
+
+
+def test_names_put_together_of_known_words_are_no_secrets(spark, docs, rng):
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    letters = "eeeeettttaaaaooonnnsssrrriihhddlluucmfywgpbvkxqjz"  # about as in prose
+    texts = [prose(rng, 60, letters) + " token=" + "".join(rng.choice(alphabet) for _ in range(60)) for _ in range(300)]
+    model = secrets.fit(docs(*texts))
+    own = prose(rng, 400, letters).split()
+    names = ["".join(w.capitalize() for w in own[i : i + 4]) for i in range(0, 80, 4)] + ["_".join(own[i : i + 4]) for i in range(80, 160, 4)]
+    names += ["/".join(own[i : i + 5]) for i in range(160, 240, 5)] + ["_".join(own[i : i + 3]).upper() for i in range(240, 300, 3)]
+    names += [own[300] + "-" * 20, "2024-01-01-" + own[301], "=" * 30]
+    assert model.find(names).mean() < 0.05
+    assert model.find(["".join(rng.choice(alphabet) for _ in range(32)) for _ in range(200)]).mean() > 0.9
+
+
+def test_rests_of_words_and_many_secrets_in_one_text(spark, docs, rng):
+    covered = secrets.Covered([("hex", 3, 6), ("assign", 5, 9), ("hex", 9, 10), ("hex", 20, 25)])
+    for begin, end in ((0, 30), (3, 10), (4, 22), (10, 20), (12, 14), (25, 26), (0, 3)):
+        free = [i for i in range(begin, end) if not (3 <= i < 10 or 20 <= i < 25)]
+        assert [i for b, e in covered.rests(begin, end) for i in range(b, e)] == free and all(b < e for b, e in covered.rests(begin, end))
+
+    def seconds(n):
+        text = " ".join(f"{rng.randrange(16**32):032x} averyveryverylongword" for _ in range(n))
+        began = time.process_time()
+        where = secrets.Covered(secrets.base_spans(text))
+        assert sum(1 for m in secrets._WORD.finditer(text) for _ in where.rests(*m.span())) == n
+        return time.process_time() - began
+
+    seconds(1000)
+    assert seconds(32_000) < 40 * max(seconds(4000), 0.01)
