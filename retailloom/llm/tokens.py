@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retailloom.llm.shared import ready
+from retailloom.llm.text import slices
+from retailloom.llm.vocab import Coded
 from retailloom.session import scratch_path
 
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens int, ids array<int>"
@@ -34,14 +37,30 @@ LAYOUT = {
     "parquet.enable.dictionary#doc_id": "false",
     "parquet.enable.dictionary#local_start": "false",
 }
-# A task keeps the ids of up to twice this many chunks of at most this length, and takes texts in runs of this many characters.
-_KEPT_CHUNKS = 150_000
+# A task keeps the ids of up to twice this many chunks of at most this length, and takes texts in runs of this many bytes.
+_KEPT_CHUNKS = 400_000
 _KEPT_LENGTH = 32
-_RUN_CHARS = 500_000
-_JOINED_CHUNKS = 64
+_RUN_BYTES = 4 << 20
+_JOINED_CHUNKS = 256
+_CLOSING = np.isin(np.arange(256), [ord(c) for c in ".,;:!?"])
+_LETTER = np.isin(np.arange(256) | 0x20, np.arange(ord("a"), ord("z") + 1)) & (np.arange(256) >= 0x40) & (np.arange(256) < 0x80)
+# Chunks end at blanks and line feeds.
+_IN_CHUNK = ~np.isin(np.arange(256), [0x20, 0x0A])
 _encoders: dict[str, "ChunkEncoder"] = {}
 
 
+def _closing(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Places of closing marks that end a chunk after an ASCII letter: there the tokenizer always begins a new word."""
+    where = np.flatnonzero(_CLOSING[data])
+    last = np.ones(len(data) + 1, bool)
+    last[:-1] = ~_IN_CHUNK[data]
+    last[at] = True
+    first = np.zeros(len(data) + 1, bool)
+    first[at] = True
+    where = where[last[where + 1] & ~first[where]]
+    return where[_LETTER[data[where - 1]]]
+
+
 class ChunkEncoder:
     """Whole texts encoded chunk by chunk, parted at blanks and line feeds; ids of short chunks are kept, up to a bound.
 
@@ -50,7 +69,8 @@ class ChunkEncoder:
     chunks one after the other. Every id comes from the library. New chunks of
     letters, or of letters and a stop or comma, are handed over many at a time,
     joined by blanks: they are one word, or two, and the vocabulary marks where a
-    word ends. Of the kept chunks, those not used for long are forgotten first.
+    word ends. Of the kept chunks, those not used for long are forgotten first. Texts are
+    parted and their chunks looked up as arrays: a chunk is asked for once per run of texts.
     """
 
     def __init__(self, path: str):
@@ -91,49 +111,54 @@ class ChunkEncoder:
         for first in range(0, len(texts), 100):
             yield from self.tokenizer.encode_batch_fast(texts[first : first + 100], add_special_tokens=False)
 
-    def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit values, closed by ``end``."""
-        out, first = [], 0
-        while first < len(texts):
-            last, size = first, 0
-            while last < len(texts) and (last == first or size + len(texts[last]) <= _RUN_CHARS):
-                size += len(texts[last])
-                last += 1
-            chunks = [text.replace("\n", " ").split(" ") for text in texts[first:last]]
-            if len(self.recent) > _KEPT_CHUNKS:
-                self.recent, self.older = {}, self.recent
-            missing = set().union(*chunks) - self.recent.keys()
-            again = missing & self.older.keys()
-            for chunk in again:
-                self.recent[chunk] = self.older[chunk]
-            fresh = missing - again
-            self._learn(fresh)
-            known = self.recent
-            out += [b"".join(map(known.__getitem__, row)) + end for row in chunks]
-            for chunk in fresh:
-                if len(chunk) > _KEPT_LENGTH:
-                    del known[chunk]
-            first = last
-        return out
+    def ids_of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different chunks one after the other, and how many each has."""
+        if len(self.recent) > _KEPT_CHUNKS:
+            self.recent, self.older = {}, self.recent
+        missing = [c for c in chunks if c not in self.recent]
+        older = self.older
+        self.recent.update((c, older[c]) for c in missing if c in older)
+        fresh = {c for c in missing if c not in older}
+        self._learn(fresh)
+        rows = list(map(self.recent.__getitem__, chunks))
+        for chunk in fresh:
+            if len(chunk) > _KEPT_LENGTH:
+                del self.recent[chunk]
+        return np.frombuffer(b"".join(rows), "<i4"), np.fromiter(map(len, rows), np.int64, len(rows)) // 4
+
+    def encode(self, texts: pa.Array, end_id: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Runs of whole texts: (first, end, all ids with ``end_id`` after each text, ids of each text)."""
+        for first, last, data, at in slices(texts, _RUN_BYTES):
+            # The tokenizer lowers letters itself, but knows its special tokens by their case and as a whole.
+            special = b"<|" in data.tobytes()
+            words = Coded(data, at, _IN_CHUNK, lower=not special, parted=None if special else _closing(data, at))
+            flat, sizes = self.ids_of(words.values.to_pylist())
+            begin = np.cumsum(sizes) - sizes
+            # Each chunk's ids are picked from those of the different ones.
+            n = sizes[words.codes]
+            ids = flat[np.repeat((begin[words.codes] - np.cumsum(n) + n).astype(np.int32), n) + np.arange(int(n.sum()), dtype=np.int32)]
+            per_text = np.bincount(words.row, weights=n, minlength=last - first).astype(np.int64) + 1
+            out = np.full(int(per_text.sum()), end_id, np.int32)
+            inside = np.ones(len(out), bool)
+            inside[np.cumsum(per_text) - 1] = False
+            out[inside] = ids
+            yield first, last, out, per_text
 
 
 def _encode(tokenizer: str, end_id: int):
     def run(batches):
         if tokenizer not in _encoders:
             _encoders[tokenizer] = ChunkEncoder(tokenizer)
-        encoder, end = _encoders[tokenizer], np.array([end_id], "<u4").tobytes()
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            rows = encoder.encode([t or "" for t in batch.column(1).to_pylist()], end)
-            sizes = np.array([len(r) // 4 for r in rows], np.int64)
-            starts = before + np.cumsum(sizes) - sizes
-            before += int(sizes.sum())
-            ends = np.zeros(len(rows) + 1, np.int32)
-            np.cumsum(sizes, out=ends[1:])
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), "<i4"), pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(len(rows), part, np.int32)), pa.array(starts), pa.array(sizes.astype(np.int32)), ids],
-                ["doc_id", "part", "local_start", "n_tokens", "ids"])
+            for first, last, flat, sizes in _encoders[tokenizer].encode(batch.column(1), end_id):
+                starts = before + np.cumsum(sizes) - sizes
+                before += int(sizes.sum())
+                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, last - first), pa.array(np.full(last - first, part, np.int32)), pa.array(starts), pa.array(sizes.astype(np.int32)), ids],
+                    ["doc_id", "part", "local_start", "n_tokens", "ids"])
 
     return run
 

@@ -14,20 +14,25 @@ LOWER[0x41:0x5B] |= 0x20
 
 
 class Coded:
-    """Words of consecutive rows: where each begins and ends, its row, and its code into ``values``, A-Z lowered."""
+    """Words of consecutive rows: where each begins and ends, its row, and its code into ``values``."""
 
-    def __init__(self, data: np.ndarray, at: np.ndarray, kept: np.ndarray):
-        """``kept`` says of each of the 256 bytes whether it belongs to a word; a row's edge ends a word."""
+    def __init__(self, data: np.ndarray, at: np.ndarray, kept: np.ndarray, lower: bool = True, parted: np.ndarray | None = None):
+        """``kept`` says of each of the 256 bytes whether it belongs to a word; a row's edge ends a word, and so does a place in ``parted``.
+
+        A-Z are lowered if asked."""
         inside = np.zeros(len(data) + 2, bool)
         inside[1:-1] = kept[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[at] = True
+        if parted is not None:
+            edge[parted] = True
         self.begin = np.flatnonzero(inside[1:] & (~inside[:-1] | edge))
         self.end = np.flatnonzero(inside[:-1] & (~inside[1:] | edge))
         self.row = np.searchsorted(at, self.begin, "right") - 1
         offsets = np.zeros(len(self.begin) + 1, np.int64)
         np.cumsum(self.end - self.begin, out=offsets[1:])
-        raw = pa.py_buffer(LOWER[data[inside[1:-1]]])
+        raw = data[inside[1:-1]]
+        raw = pa.py_buffer(LOWER[raw] if lower else raw)
         words = pa.LargeStringArray.from_buffers(len(self.begin), pa.py_buffer(offsets), raw)
         coded = words.dictionary_encode()
         self.codes = coded.indices.to_numpy()
