@@ -32,6 +32,17 @@ def per_key(df: DataFrame, key: str, *aggregates: Column) -> DataFrame:
     return df.groupBy(key, F.xxhash64(key).alias("_apart")).agg(*aggregates).drop("_apart")
 
 
+def streamed(df: DataFrame, keys: Sequence[str], by: Sequence[str] | None = None) -> DataFrame:
+    """The rows in order of ``keys``, those of one key in one task, for grouping that reduces little.
+
+    Reducing such rows before the shuffle only fills each task's memory with
+    groups of one row until they spill. Sorted rows are grouped as they pass
+    instead (``spark.sql.execution.replaceHashWithSortAgg``). ``by`` names those of the
+    keys that a later join needs, so its shuffle is this one.
+    """
+    return df.repartition(*(by or keys)).sortWithinPartitions(*keys)
+
+
 def left_join(left: DataFrame, right: DataFrame, key: str, hot: list | None = None, condition=None) -> DataFrame:
     """Left equi-join, optionally with an extra ``condition`` over both sides.
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailloom.operators.joins import per_key
+from retailloom.operators.joins import per_key, streamed
 from retailloom.schemas import raw_table
 
 Source = Callable[[str], DataFrame]
@@ -60,7 +60,8 @@ _LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 def sales(source: Source) -> DataFrame:
     """One sale per line item: all quantities and amounts of the line items are kept."""
-    lines = source("lineitem").groupBy(*_LINE).agg(
+    # By order, as the join needs them: the lines are shuffled once.
+    lines = streamed(source("lineitem").select(*_LINE, "l_quantity", "l_extendedprice"), _LINE, ["l_orderkey"]).groupBy(*_LINE).agg(
         F.sum("l_quantity").cast("int").alias("quantity"),
         F.sum(_money("l_extendedprice")).cast("decimal(10,2)").alias("total_amount"),
     )
@@ -89,14 +90,22 @@ def sales(source: Source) -> DataFrame:
     )
 
 
+def _dated(moment: str) -> Column:
+    """The moment in a struct; NULL if it is NULL, so a minimum passes over it."""
+    return F.when(F.col(moment).isNotNull(), F.struct(moment))
+
+
 def returns(source: Source) -> DataFrame:
     """One return per returned line item and line status; open lines refund above the price."""
     price = _money("l_extendedprice", "decimal(12,2)")
     rate = F.col("l_discount").cast("decimal(4,2)")
     refund = price * F.when(F.col("l_linestatus") == "F", rate).otherwise(rate + F.lit(1).cast("decimal(1,0)"))
-    lines = source("lineitem").where("l_returnflag = 'R'").groupBy(*_LINE, "l_linestatus").agg(
-        F.max("l_shipdate").alias("shipped"),
-        F.sum(F.round(refund, 2)).cast("decimal(10,2)").alias("refund_amount"),
+    returned = source("lineitem").where("l_returnflag = 'R'").select(
+        *_LINE, "l_linestatus", _dated("l_shipdate").alias("shipped"), F.round(refund, 2).alias("refund"))
+    # A maximum over structs is taken from sorted rows, so no table of all groups is held in memory.
+    lines = returned.repartition("l_orderkey").groupBy(*_LINE, "l_linestatus").agg(
+        F.max("shipped")["l_shipdate"].alias("shipped"),
+        F.sum("refund").cast("decimal(10,2)").alias("refund_amount"),
     )
     orders = source("orders").select("o_orderkey", "o_custkey")
     status = F.col("l_linestatus")
@@ -205,8 +214,10 @@ def stores(source: Source) -> DataFrame:
 
 def inventory(source: Source) -> DataFrame:
     """One stock record per (part, supplier) that was ever sold; some counts are negative."""
-    pairs = source("lineitem").groupBy("l_partkey", "l_suppkey").agg(
-        F.min("l_shipdate").alias("first_shipped"), F.max("l_shipdate").alias("last_shipped")
+    shipped = source("lineitem").select("l_partkey", "l_suppkey", _dated("l_shipdate").alias("shipped"))
+    # Pairs hardly repeat; extremes over structs are taken from sorted rows, without a table of all pairs in memory.
+    pairs = shipped.repartition("l_partkey", "l_suppkey").groupBy("l_partkey", "l_suppkey").agg(
+        F.min("shipped")["l_shipdate"].alias("first_shipped"), F.max("shipped")["l_shipdate"].alias("last_shipped")
     )
     part, supplier = F.col("l_partkey"), F.col("l_suppkey")
     return pairs.select(
