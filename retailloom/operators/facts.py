@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailloom.functions import date_key, percent_of, surrogate_key
@@ -22,14 +22,23 @@ def returns_agg(returns: DataFrame, statuses: list[str] | None = None) -> DataFr
 
 
 def fact_sales(sales: DataFrame, returns: DataFrame, statuses: list[str] | None = None) -> DataFrame:
-    """One row per sale, net of its returns.
+    """One row per sale, net of its returns."""
+    return fact_sales_rows(sales, returns, statuses).select(*fact_sales_columns())
+
+
+def fact_sales_rows(sales: DataFrame, returns: DataFrame, statuses: list[str] | None = None) -> DataFrame:
+    """Sales with the sums of their returns, before keys are hashed.
 
     The many side is aggregated first, so the join cannot multiply sales.
     """
-    joined = sales.join(returns_agg(returns, statuses), "sale_id", "left")
+    needed = [c for c in sales.columns if c != "product_name"]
+    return sales.select(*needed).join(returns_agg(returns, statuses), "sale_id", "left")
+
+
+def fact_sales_columns() -> list[Column | str]:
     returned = F.coalesce("return_count", F.lit(0))
     refunded = F.coalesce("total_refund_amount", F.lit(0))
-    return joined.select(
+    return [
         surrogate_key("sale_id").alias("sale_sk"),
         "sale_id",
         date_key(F.col("sale_date")).alias("date_sk"),
@@ -44,7 +53,7 @@ def fact_sales(sales: DataFrame, returns: DataFrame, statuses: list[str] | None
         (F.col("total_amount") - refunded).alias("net_amount"),
         (returned > 0).alias("has_return"),
         "ingested_at",
-    )
+    ]
 
 
 def fact_returns(returns: DataFrame, sales: DataFrame, hot_sales: list[str] | None = None) -> DataFrame:
@@ -53,11 +62,19 @@ def fact_returns(returns: DataFrame, sales: DataFrame, hot_sales: list[str] | No
     ``hot_sales`` names sale ids holding an outsized share of the returns, see
     :func:`retailloom.operators.joins.heavy_keys`.
     """
+    return fact_returns_rows(returns, sales, hot_sales).select(*fact_returns_columns())
+
+
+def fact_returns_rows(returns: DataFrame, sales: DataFrame, hot_sales: list[str] | None = None) -> DataFrame:
+    """Returns with their sale's context, before keys are hashed."""
     sale_context = sales.select(
         "sale_id", "sale_date", "store_id", "channel", F.col("total_amount").alias("original_sale_amount")
     )
-    joined = left_join(returns, sale_context, "sale_id", hot_sales)
-    return joined.select(
+    return left_join(returns.drop("processed_by"), sale_context, "sale_id", hot_sales)
+
+
+def fact_returns_columns() -> list[Column | str]:
+    return [
         surrogate_key("return_id").alias("return_sk"),
         "return_id",
         "sale_id",
@@ -73,12 +90,16 @@ def fact_returns(returns: DataFrame, sales: DataFrame, hot_sales: list[str] | No
         "original_sale_amount",
         percent_of(F.col("refund_amount"), F.col("original_sale_amount")).alias("refund_pct"),
         "notes", "ingested_at",
-    )
+    ]
 
 
 def fct_sales_realtime(stream: DataFrame) -> DataFrame:
     """One row per streamed sale; a pure projection, so it also runs on a stream."""
-    return stream.select(
+    return stream.select(*fct_sales_realtime_columns())
+
+
+def fct_sales_realtime_columns() -> list[Column | str]:
+    return [
         surrogate_key("event_id").alias("event_sk"),
         "event_id", "sale_id",
         date_key(F.col("sale_date")).alias("date_sk"),
@@ -89,7 +110,7 @@ def fct_sales_realtime(stream: DataFrame) -> DataFrame:
         "quantity", "unit_price",
         F.col("total_amount").alias("gross_amount"),
         "kafka_partition", "kafka_offset", "ingested_at", "latency_seconds",
-    )
+    ]
 
 
 def stamp_build(mart: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailloom.functions import as_timestamp
-from retailloom.operators.joins import union_all
+from retailloom.operators.joins import streamed, union_all
 from retailloom.session import scratch_path
 
 RESULT_SCHEMA = "check_id int, check_name string, table_name string, column_name string, severity string"
@@ -106,8 +106,9 @@ def _keyed(df: DataFrame, checks: list[tuple[int, str]], names: str = "value") -
 
 
 def _exact(check: Check) -> str:
-    """A key by its values; of a combination NULL counts as a value."""
-    return f"array({', '.join(f'cast(`{c}` as string)' for c in check.columns)})"
+    """A key by its values, as text; of a combination NULL counts as a value."""
+    texts = [f"cast(`{c}` as string)" for c in check.columns]
+    return texts[0] if len(texts) == 1 else f"to_json(array({', '.join(texts)}))"
 
 
 def _some_key(check: Check, value: str) -> str:
@@ -123,7 +124,9 @@ def fingerprint(columns: Sequence[str]) -> str:
 def _repeated(table: Callable[[str], DataFrame], checks: dict[str, list[tuple[int, Check]]], mark: Callable[[Sequence[str]], str]) -> DataFrame:
     """(check_id, mark) of all fingerprints that occur more than once; all tables share this one shuffle of whole numbers."""
     marks = [_keyed(table(name), [(i, _some_key(c, mark(c.columns))) for i, c in members], "mark") for name, members in checks.items()]
-    return union_all(marks).groupBy("check_id", "mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("check_id", "mark")
+    # Counted as doubles: Spark drops the order below a count of whole numbers, and would hold all keys in memory.
+    counted = streamed(union_all(marks), ["check_id", "mark"]).groupBy("check_id", "mark").agg(F.sum(F.lit(1.0)).alias("n"))
+    return counted.where("n > 1").select("check_id", "mark")
 
 
 def _duplicate_metrics(
@@ -159,12 +162,12 @@ def _wide_mark(column: str) -> str:
 
 
 def _orphan_metrics(children: DataFrame, parents: DataFrame) -> DataFrame:
-    """Child rows without a parent per check; both sides are reduced to keys before the join.
+    """Child rows without a parent per check; children are reduced to keys before the join, parents hardly repeat.
 
     Keys are compared by 128 bits of hash, as wide as the surrogate keys themselves.
     """
     counted = children.groupBy("check_id", "one", "two").agg(F.count(F.lit(1)).alias("n"))
-    orphans = counted.join(parents.distinct(), ["check_id", "one", "two"], "left_anti")
+    orphans = counted.join(parents, ["check_id", "one", "two"], "left_anti")
     return orphans.groupBy("check_id").agg(F.sum("n").alias("failing_rows"))
 
 

@@ -10,7 +10,7 @@ from retailloom.operators import history, quality, reports
 from retailloom.plans import checks
 from retailloom.plans.warehouse import Warehouse
 from retailloom.schemas import REFERENCE, STREAM_SALES, TRANSACTIONAL, RawTable, raw_table
-from retailloom.session import child_names, path_exists, prepare
+from retailloom.session import child_names, path_exists, prepare_tables
 from retailloom.sources import ndjson, writers
 from retailloom.streaming import landing
 
@@ -145,7 +145,7 @@ def refresh(
     With ``gates`` a failed check or a breached report raises after all results
     are known; warnings never do.
     """
-    prepare(spark)
+    prepare_tables(spark)
     counts = load_deliveries(spark, data_dir, root, as_of, reference)
     warehouse = open_warehouse(spark, root, as_of, stream_target)
     warehouse.build(warehouse.MARTS)

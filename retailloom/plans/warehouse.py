@@ -10,15 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retailloom.operators import dimensions, facts, staging
 from retailloom.schemas import RAW_TABLES
-from retailloom.session import prepare, scratch_path
+from retailloom.session import prepare_tables, scratch_path
 from retailloom.sources import orders_model
 from retailloom.sources.writers import read_clustered, write_clustered
 
-# (day column, sort column) of the date-clustered facts.
+# (day column, sort columns) of the date-clustered facts. Within a day, rows of one order or customer
+# stand side by side, so their repeated values take little space.
 CLUSTERING = {
-    "fact_sales": ("sale_date", "sale_date"),
-    "fact_returns": ("return_date", "return_date"),
-    "fct_sales_realtime": ("sale_date", "event_ts"),
+    "fact_sales": ("sale_date", ("sale_date", "sale_id")),
+    "fact_returns": ("return_date", ("return_date", "return_id")),
+    "fct_sales_realtime": ("sale_date", ("event_ts",)),
 }
 
 
@@ -64,9 +65,10 @@ class Warehouse:
             path = f"{self.root}/{name}"
             df = build()
             if name in CLUSTERING:
-                write_clustered(df, path, *CLUSTERING[name])
-                return read_clustered(self.spark, path, df.schema, CLUSTERING[name][0])
-            df.write.mode("overwrite").parquet(path)
+                columns = self._fact_columns(name)
+                write_clustered(df, path, *CLUSTERING[name], columns)
+                return read_clustered(self.spark, path, df.select(*columns).schema, CLUSTERING[name][0])
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
             return self.spark.read.schema(df.schema).parquet(path)
 
         return self._once(f"table {name}", write)
@@ -84,6 +86,19 @@ class Warehouse:
     def mart(self, name: str) -> DataFrame:
         return self._materialise(name, lambda: self._build_mart(name))
 
+    def served(self, name: str) -> DataFrame:
+        """A fact for a question asked once: the stored one if there is one, else its definition over the raw tables.
+
+        A question that needs few columns then neither hashes nor lays out the whole fact.
+        """
+        with self._lock:
+            stored = f"table {name}" in self._pending
+        return self.mart(name) if stored else self._build_mart(name).select(*self._fact_columns(name))
+
+    def asked(self, name: str) -> DataFrame:
+        """Like :meth:`table`, but facts need not be stored to be asked."""
+        return self.served(name) if name in CLUSTERING else self.table(name)
+
     def _build_mart(self, name: str) -> DataFrame:
         if name == "dim_customer":
             return dimensions.dim_customer(self.staged("stg_customers"), self.staged("stg_sales"), self.as_of)
@@ -96,14 +111,21 @@ class Warehouse:
                 return dimensions.dim_date(dimensions.calendar_bounds(self.spark, *self.calendar))
             dated = [(self.staged("stg_sales"), "sale_date"), (self.staged("stg_returns"), "return_date")]
             return dimensions.dim_date(dimensions.calendar_bounds_of(*dated))
+        # Facts as rows whose keys are hashed only when they are written.
         if name == "fact_sales":
-            return facts.fact_sales(self.staged("stg_sales"), self.staged("stg_returns"))
+            return facts.fact_sales_rows(self.staged("stg_sales"), self.staged("stg_returns"))
         if name == "fact_returns":
-            return facts.fact_returns(self.staged("stg_returns"), self.staged("stg_sales"))
+            return facts.fact_returns_rows(self.staged("stg_returns"), self.staged("stg_sales"))
         if name == "fct_sales_realtime":
-            return facts.fct_sales_realtime(self.staged("stg_stream_sales"))
+            return self.staged("stg_stream_sales")
         raise ValueError(f"unknown table {name!r}")
 
+    def _fact_columns(self, name: str) -> list:
+        return {
+            "fact_sales": facts.fact_sales_columns, "fact_returns": facts.fact_returns_columns,
+            "fct_sales_realtime": facts.fct_sales_realtime_columns,
+        }[name]()
+
     def table(self, name: str) -> DataFrame:
         if name in RAW_TABLES:
             return self.raw(name)
@@ -133,7 +155,7 @@ _open: dict[tuple[str, ...], Warehouse] = {}
 
 def warehouse_for(spark: SparkSession, sf_dir: str, as_of) -> Warehouse:
     """The warehouse over the tables in ``sf_dir``, shared by the queries of one application."""
-    prepare(spark)
+    prepare_tables(spark)
     key = (spark.sparkContext.applicationId, sf_dir, str(as_of))
     if key not in _open:
         def source(name: str) -> DataFrame:
