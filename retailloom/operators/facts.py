@@ -56,6 +56,19 @@ def fact_sales_columns() -> list[Column | str]:
     ]
 
 
+#: The columns of the sales fact that hang on returns; all others are known from the sale alone.
+OF_RETURNS = ("return_count", "refund_amount", "net_amount", "has_return")
+
+
+def fact_sales_apart(sales: DataFrame) -> DataFrame:
+    """The sales fact without what hangs on returns, and so without the join.
+
+    Returns are joined as one row per sale, so they neither add nor drop a sale.
+    """
+    unknown = {"return_count": F.lit(0), "total_refund_amount": F.lit(0)}
+    return sales.withColumns(unknown).select(*fact_sales_columns()).drop(*OF_RETURNS)
+
+
 def fact_returns(returns: DataFrame, sales: DataFrame, hot_sales: list[str] | None = None) -> DataFrame:
     """One row per return with its sale's context; orphans keep NULL sale columns.
 

@@ -57,6 +57,16 @@ def unique_combination(table: str, *columns: str, severity: str = "error") -> Ch
     return Check("unique_combination", table, columns, severity)
 
 
+def columns_of(checks: Sequence[Check]) -> dict[str, set[str]]:
+    """The columns that checks look at, by table."""
+    found = defaultdict(set)
+    for check in checks:
+        found[check.table].update(check.columns)
+        if check.parent:
+            found[check.parent[0]].add(check.parent[1])
+    return found
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -143,20 +153,22 @@ def _duplicate_metrics(
     path = scratch_path(spark, "repeated-keys")
     suspects.write.parquet(path)
     suspects = spark.read.schema(suspects.schema).parquet(path)
-    found = {r.check_id for r in suspects.select("check_id").distinct().collect()}  # at most one row per check
-    again = []
+    found = {r.check_id: r["count"] for r in suspects.groupBy("check_id").count().collect()}  # at most one row per check
+    few, many = [], []
     for name, members in checks.items():
         cells = [(i, f"{_some_key(c, mark(c.columns))}, {_exact(c)}") for i, c in members if i in found]
         if cells:
             again.append(_keyed(table(name), cells, "mark, value"))
     if not again:
         return None
-    counted = union_all(again).join(suspects, ["check_id", "mark"], "left_semi").groupBy("check_id", "value").count()
-    return counted.groupBy("check_id").agg(F.count_if(F.col("count") > 1).alias("failing_rows"))
+    return union_all(counts).groupBy("check_id").agg(F.count_if(F.col("n") > 1).alias("failing_rows"))
 
 
 def _wide_mark(column: str) -> str:
-    """Sixteen bytes of a key's text, as two whole numbers."""
+    """Sixteen bytes of a key's text, as two whole numbers.
+
+    The second number's own text comes first: after the key, it would only hash the first number again.
+    """
     text = f"cast(`{column}` as string)"
     return f"if(`{column}` is null, null, xxhash64({text})), xxhash64({text}, 'second')"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from concurrent.futures import Future, ThreadPoolExecutor
 from threading import Lock
 
@@ -86,18 +86,21 @@ class Warehouse:
     def mart(self, name: str) -> DataFrame:
         return self._materialise(name, lambda: self._build_mart(name))
 
-    def served(self, name: str) -> DataFrame:
+    def served(self, name: str, columns: Collection[str] | None = None) -> DataFrame:
         """A fact for a question asked once: the stored one if there is one, else its definition over the raw tables.
 
-        A question that needs few columns then neither hashes nor lays out the whole fact.
+        A question that needs few columns then neither hashes nor lays out the whole fact. Who names the ``columns``
+        gets sales without their returns where none of these hangs on returns.
         """
         with self._lock:
             stored = f"table {name}" in self._pending
+        if not stored and name == "fact_sales" and columns is not None and not set(facts.OF_RETURNS) & set(columns):
+            return facts.fact_sales_apart(self.staged("stg_sales"))
         return self.mart(name) if stored else self._build_mart(name).select(*self._fact_columns(name))
 
-    def asked(self, name: str) -> DataFrame:
-        """Like :meth:`table`, but facts need not be stored to be asked."""
-        return self.served(name) if name in CLUSTERING else self.table(name)
+    def asked(self, name: str, columns: Collection[str] | None = None) -> DataFrame:
+        """Like :meth:`table`, but facts need not be stored to be asked, and need no more than the ``columns``."""
+        return self.served(name, columns) if name in CLUSTERING else self.table(name)
 
     def _build_mart(self, name: str) -> DataFrame:
         if name == "dim_customer":

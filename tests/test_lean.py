@@ -1,12 +1,14 @@
 """What is shuffled and held in memory: each row once, narrow, and no table of groups that hold one row."""
 
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 from rows import plan_of
 
 from retailloom.operators import facts, quality
+from retailloom.plans import registry
 from retailloom.plans.warehouse import Warehouse
 from retailloom.session import prepare_tables
 from retailloom.sources import ndjson, orders_model, writers
@@ -111,3 +113,65 @@ def test_lines_are_stored_packed(spark, path):
     ndjson.write_ndjson(df, path("out"))
     assert {n.rsplit(".", 1)[1] for n in os.listdir(path("out")) if n.startswith("part-")} == {"lz4"}
     assert ndjson.read_lines(spark, path("out")).count() == 10
+
+
+def test_questions_about_sales_alone_do_not_join_returns(spark, path, no_broadcast):
+    wh = Warehouse(spark, lambda entity: orders_model.build(entity, orders(spark)), path("wh"), "2002-01-01 00:00:00")
+    asked = wh.asked("fact_sales", {"sale_sk", "sale_id", "gross_amount"})
+    plan = plan_of(asked)
+    assert "Join" not in plan and "Exchange" not in plan
+    whole = wh.asked("fact_sales", {"sale_id", "net_amount"})
+    assert "return_count" in whole.columns and "Join" in plan_of(whole)
+    assert sorted(map(str, asked.collect())) == sorted(map(str, whole.select(*asked.columns).collect())) and asked.count() == 30
+    assert wh.asked("fact_sales", {"*"}).count() == 30
+
+
+def test_the_columns_of_checks_are_named_for_children_and_parents():
+    checks = [quality.relationship("c", "k", "p", "sk"), *quality.unique("p", "id"), quality.unique_combination("c", "a", "b")]
+    assert quality.columns_of(checks) == {"c": {"k", "a", "b"}, "p": {"sk", "id"}}
+
+
+def test_both_halves_of_a_wide_mark_hash_the_key(spark):
+    """Keys that share the first number must not share the second for that reason alone."""
+    keys = spark.range(5).selectExpr("cast(id as string) as k")
+    marks = keys.selectExpr(f"stack(1, {quality._wide_mark('k')}) as (one, two)", "xxhash64(k, 'second') as of_the_first")
+    assert marks.where("two = of_the_first").count() == 0 and marks.select("one", "two").distinct().count() == 5
+
+
+def test_damaged_unique_tables_are_worked_out_once(spark, monkeypatch):
+    rows = spark.createDataFrame([("S3", 1), ("S13", 2), ("S13", 2), ("S4", 3), (None, 4)], "sale_id string, n int")
+    seen = []
+    monkeypatch.setattr(registry.checks, "ALL_CHECKS", quality.unique("sales", "sale_id"))
+
+    def run(spark, table, checks):
+        seen.append(table("sales"))
+        return spark.createDataFrame([], "check_name int, table_name int, column_name int, severity int, failing_rows int, status int")
+
+    monkeypatch.setattr(registry.quality, "run_checks", run)
+    registry.damaged("unique")(SimpleNamespace(spark=spark, asked=lambda name, columns: rows))
+    assert "Union" not in plan_of(seen[0])
+    assert sorted(map(str, seen[0].collect())) == sorted(map(str, rows.unionByName(rows.where("sale_id like '%3'")).collect()))
+
+
+def test_a_months_refresh_tells_late_sales_apart_without_a_join(spark, path, no_broadcast, monkeypatch):
+    wh = Warehouse(spark, lambda entity: orders_model.build(entity, orders(spark)), path("wh"), "2002-01-01 00:00:00")
+    first, write = [], writers.write_clustered
+    monkeypatch.setattr(writers, "write_clustered", lambda df, *args: (first.append(df), write(df, *args)))
+    got = registry.clustered_month_refresh(wh)
+    want = facts.fact_sales(wh.staged("stg_sales"), wh.staged("stg_returns"))
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and got.count() == 30
+    assert first[0].count() == 0 and "LeftAnti" not in plan_of(first[0])
+
+
+def test_many_repeated_keys_are_counted_by_value_in_one_shuffle(spark, no_broadcast, monkeypatch):
+    rows = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), ("c", None), (None, None), (None, None)], "k string, n int")
+    checks = {"t": list(enumerate([*quality.unique("t", "k", "n"), quality.unique_combination("t", "k", "n")]))}
+    for weak in (quality.fingerprint, lambda _: "7L"):  # all keys collide under the second mark
+        results = []
+        for few in (quality.FEW, 1, 0):
+            monkeypatch.setattr(quality, "FEW", few)
+            counted = quality._duplicate_metrics(spark, lambda _: rows, checks, weak)
+            results.append({r.check_id: r.failing_rows for r in counted.collect() if r.failing_rows})
+            assert few or "Join" not in plan_of(counted)
+        assert results == [{0: 1, 1: 1, 2: 2}] * 3
+        monkeypatch.undo()
