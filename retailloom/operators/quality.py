@@ -170,7 +170,7 @@ def _wide_mark(column: str) -> str:
     The second number's own text comes first: after the key, it would only hash the first number again.
     """
     text = f"cast(`{column}` as string)"
-    return f"if(`{column}` is null, null, xxhash64({text})), xxhash64({text}, 'second')"
+    return f"if(`{column}` is null, null, xxhash64({text})), xxhash64('second', {text})"
 
 
 def _orphan_metrics(children: DataFrame, parents: DataFrame) -> DataFrame:
