@@ -139,15 +139,20 @@ def _repeated(table: Callable[[str], DataFrame], checks: dict[str, list[tuple[in
     return counted.where("n > 1").select("check_id", "mark")
 
 
+#: Up to so many repeated fingerprints of a column, rows are sought by them.
+FEW = 100_000
+
+
 def _duplicate_metrics(
     spark: SparkSession, table: Callable[[str], DataFrame], checks: dict[str, list[tuple[int, Check]]], mark: Callable[[Sequence[str]], str] = fingerprint,
 ) -> DataFrame | None:
     """Values occurring more than once per check, in two phases.
 
-    Every key is first counted by its fingerprint. Only rows whose fingerprint
-    repeats are looked at again, by value, so a collision is no duplicate; of sound tables there
+    Every key is first counted by its fingerprint. Only columns with repeated fingerprints
+    are looked at again, by value, so a collision is no duplicate; of sound tables there
     are none, and no key is shuffled as text. The repeated fingerprints are stored, as the
-    second phase depends on whether there are any.
+    second phase depends on how many there are: rows are sought by a few of them, but where
+    there are many, all values are shuffled once and counted as they pass.
     """
     suspects = _repeated(table, checks, mark)
     path = scratch_path(spark, "repeated-keys")
@@ -156,10 +161,20 @@ def _duplicate_metrics(
     found = {r.check_id: r["count"] for r in suspects.groupBy("check_id").count().collect()}  # at most one row per check
     few, many = [], []
     for name, members in checks.items():
-        cells = [(i, f"{_some_key(c, mark(c.columns))}, {_exact(c)}") for i, c in members if i in found]
-        if cells:
-            again.append(_keyed(table(name), cells, "mark, value"))
-    if not again:
+        again = [(i, c) for i, c in members if i in found]
+        sought = [(i, f"{_some_key(c, mark(c.columns))}, {_exact(c)}") for i, c in again if found[i] <= FEW]
+        if sought:
+            few.append(_keyed(table(name), sought, "mark, value"))
+        compared = [(i, _some_key(c, _exact(c))) for i, c in again if found[i] > FEW]
+        if compared:
+            many.append(_keyed(table(name), compared))
+    counts = []
+    if few:
+        hit = union_all(few).join(suspects, ["check_id", "mark"], "left_semi").groupBy("check_id", "value")
+        counts.append(hit.agg(F.sum(F.lit(1.0)).alias("n")))
+    if many:
+        counts.append(streamed(union_all(many), ["check_id", "value"]).groupBy("check_id", "value").agg(F.sum(F.lit(1.0)).alias("n")))
+    if not counts:
         return None
     return union_all(counts).groupBy("check_id").agg(F.count_if(F.col("n") > 1).alias("failing_rows"))
 
