@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ LAYOUT = {
 # A task keeps the ids of up to twice this many chunks of at most this length, and takes texts in runs of this many bytes.
 _KEPT_CHUNKS = 400_000
 _KEPT_LENGTH = 32
-_RUN_BYTES = 4 << 20
+_RUN_BYTES = 8 << 20
 _JOINED_CHUNKS = 256
 _CLOSING = np.isin(np.arange(256), [ord(c) for c in ".,;:!?"])
 _LETTER = np.isin(np.arange(256) | 0x20, np.arange(ord("a"), ord("z") + 1)) & (np.arange(256) >= 0x40) & (np.arange(256) < 0x80)
@@ -67,7 +68,7 @@ class ChunkEncoder:
     The tokenizer drops white space before it looks for words, and no word or
     special token spans a blank or a line feed, so a text's ids are those of its
     chunks one after the other. Every id comes from the library. New chunks of
-    letters, or of letters and a stop or comma, are handed over many at a time,
+    letters, or of letters and marks after them, are handed over many at a time,
     joined by blanks: they are one word, or two, and the vocabulary marks where a
     word ends. Of the kept chunks, those not used for long are forgotten first. Texts are
     parted and their chunks looked up as arrays: a chunk is asked for once per run of texts.
@@ -85,11 +86,11 @@ class ChunkEncoder:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def _learn(self, fresh: set[str]) -> None:
-        words = [c for c in fresh if c.isalpha()]
-        rest = fresh.difference(words)
-        closed = [c for c in rest if c[-1:] in (".", ",") and c[:-1].isalpha()]
-        single = [*rest.difference(closed), *self._joined(words, 1), *self._joined(closed, 2)]
+    def _learn(self, fresh: list[str]) -> None:
+        words, closed, other = [], [], []
+        for chunk in fresh:
+            (words if chunk.isalpha() else closed if chunk.rstrip(punctuation).isalpha() else other).append(chunk)
+        single = [*other, *self._joined(words, 1), *self._joined(closed, 2)]
         for chunk, found in zip(single, self._encoded(single), strict=True):
             self.recent[chunk] = np.array(found.ids, "<u4").tobytes()
 
@@ -115,12 +116,16 @@ class ChunkEncoder:
         """The ids of different chunks one after the other, and how many each has."""
         if len(self.recent) > _KEPT_CHUNKS:
             self.recent, self.older = {}, self.recent
-        missing = [c for c in chunks if c not in self.recent]
-        older = self.older
-        self.recent.update((c, older[c]) for c in missing if c in older)
-        fresh = {c for c in missing if c not in older}
+        rows = list(map(self.recent.get, chunks))
+        missing = [i for i, ids in enumerate(rows) if ids is None]
+        known = [self.older.get(chunks[i]) for i in missing]
+        fresh = [chunks[i] for i, ids in zip(missing, known, strict=True) if ids is None]
         self._learn(fresh)
-        rows = list(map(self.recent.__getitem__, chunks))
+        for i, ids in zip(missing, known, strict=True):
+            if ids is None:
+                rows[i] = self.recent[chunks[i]]
+            else:
+                rows[i] = self.recent[chunks[i]] = ids
         for chunk in fresh:
             if len(chunk) > _KEPT_LENGTH:
                 del self.recent[chunk]
@@ -134,14 +139,17 @@ class ChunkEncoder:
             words = Coded(data, at, _IN_CHUNK, lower=not special, parted=None if special else _closing(data, at))
             flat, sizes = self.ids_of(words.values.to_pylist())
             begin = np.cumsum(sizes) - sizes
-            # Each chunk's ids are picked from those of the different ones.
+            # Each chunk's ids are picked from those of the different ones, with room after it for the end of every text up to the next chunk.
             n = sizes[words.codes]
-            ids = flat[np.repeat((begin[words.codes] - np.cumsum(n) + n).astype(np.int32), n) + np.arange(int(n.sum()), dtype=np.int32)]
             per_text = np.bincount(words.row, weights=n, minlength=last - first).astype(np.int64) + 1
-            out = np.full(int(per_text.sum()), end_id, np.int32)
-            inside = np.ones(len(out), bool)
-            inside[np.cumsum(per_text) - 1] = False
-            out[inside] = ids
+            ahead = int(words.row[0]) if len(n) else last - first
+            room = n + np.diff(words.row, append=last - first)
+            total = int(room.sum())
+            picked = np.repeat(begin[words.codes] - np.cumsum(room) + room, room)
+            picked += np.arange(total)
+            out = np.empty(ahead + total, np.int32)
+            np.take(flat, picked, out=out[ahead:], mode="clip")
+            out[np.cumsum(per_text) - 1] = end_id
             yield first, last, out, per_text
 
 
