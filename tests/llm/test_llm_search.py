@@ -242,3 +242,18 @@ def test_no_vectors(spark):
     assert neighbours.nearest(df.where("vec_id = 0"), df.limit(0)).count() == 0
     assert neighbours.nearest(df.limit(0), df).count() == 0
     assert found(neighbours.nearest(df.where("vec_id = 0"), df)) == {0: [(0.5, 1)]}
+
+
+def test_a_step_shuffles_walkers_with_the_graph_and_what_they_tell_with_their_state(spark, monkeypatch):
+    exchanges = {}
+
+    def seen(df, label, *rest, **options):
+        exchanges.setdefault(label, []).append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return plain(df, label, *rest, **options)
+
+    plain = neighbours.stored
+    monkeypatch.setattr(neighbours, "stored", seen)
+    rng = np.random.default_rng(3)
+    df = vectors(spark, [(i, rng.normal(size=4).tolist()) for i in range(300)])
+    assert neighbours.nearest(df.where("vec_id % 100 = 0"), df).count() == 30
+    assert max(exchanges["walks"][2:]) <= 2 and max(exchanges["graph"]) <= 6
