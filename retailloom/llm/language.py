@@ -88,8 +88,10 @@ class LanguageModel:
     reject_below: np.ndarray
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
-        weighted = np.sqrt(counts) * self.idf
-        return weighted / np.maximum(np.sqrt((weighted * weighted).sum(1, keepdims=True)), 1e-12)
+        weighted = np.sqrt(counts)
+        weighted *= self.idf
+        weighted /= np.maximum(np.sqrt((weighted * weighted).sum(1, keepdims=True)), 1e-12)
+        return weighted
 
     def nearest(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(language number, cosine, rejected) of each row; ties go to the first centroid."""
@@ -113,16 +115,29 @@ def _pieces(text: bytes) -> list[bytes]:
 
 
 def _sample_counts(batches):
-    """Trigram counts of each text, then of its pieces, as the slots that are not 0 and their counts."""
+    """Trigram counts of each text, then of its pieces, as the slots that are not 0 and their counts, packed."""
     for batch in batches:
         for text, lang in zip(batch.column(0), batch.column(1), strict=True):
-            counts, slots = [], []
-            for _, _, packed in blocks(pa.array(_pieces(text.as_buffer().to_pybytes()), pa.binary())):
-                counts += [row[row > 0].astype("<f4").tobytes() for row in packed]
-                slots += [np.flatnonzero(row > 0).astype("<u2").tobytes() for row in packed]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([counts], pa.list_(pa.binary())), pa.array([slots], pa.list_(pa.binary())), pa.array([lang.as_py()], pa.string())],
-                ["counts", "slots", "lang"])
+            pieces = []
+            for _, _, counts in blocks(pa.array(_pieces(text.as_buffer().to_pybytes()), pa.binary())):
+                pieces += [(row[row > 0].astype("<f4").tobytes(), np.flatnonzero(row > 0).astype("<u2").tobytes()) for row in counts]
+            yield pa.RecordBatch.from_arrays([pa.array([_packed(pieces)], pa.binary()), pa.array([lang.as_py()], pa.string())], ["pieces", "lang"])
+
+
+def _packed(pieces: list[tuple[bytes, bytes]]) -> bytes:
+    """(counts, slots) of a text and its pieces as few bytes, since those of a sample meet in the driver."""
+    return zlib.compress(b"".join([np.array([len(pieces), *(len(s) // 2 for _, s in pieces)], "<u4").tobytes(), *(c for c, _ in pieces), *(s for _, s in pieces)]), 1)
+
+
+def _unpacked(packed: bytes) -> list[tuple[bytes, bytes]]:
+    raw = zlib.decompress(packed)
+    n = int.from_bytes(raw[:4], "little")
+    sizes = np.frombuffer(raw, "<u4", n, 4).astype(np.int64)
+    at, out = 4 * (n + 1) + np.concatenate([[0], np.cumsum(4 * sizes)]), []
+    after = int(at[-1]) + np.concatenate([[0], np.cumsum(2 * sizes)])
+    for k in range(n):
+        out.append((raw[at[k] : at[k + 1]], raw[after[k] : after[k + 1]]))
+    return out
 
 
 def _dense(sparse: list[tuple[bytes, bytes]]) -> np.ndarray:
@@ -132,6 +147,14 @@ def _dense(sparse: list[tuple[bytes, bytes]]) -> np.ndarray:
     return counts
 
 
+def _sample_vectors(model: LanguageModel, sparse: list[tuple[bytes, bytes]]) -> np.ndarray:
+    """The vectors of a sample, a block of dense counts at a time, so that the driver holds one such table of it."""
+    out = np.zeros((len(sparse), DIMS), np.float32)
+    for low in range(0, len(sparse), BLOCK):
+        out[low : low + BLOCK] = model.vectors(_dense(sparse[low : low + BLOCK]))
+    return out
+
+
 def _centres(own: np.ndarray, centroids: int, rounds: int) -> np.ndarray:
     """Spherical k-means from members drawn with a fixed seed."""
     centres = own[np.random.default_rng(7).permutation(len(own))[: min(centroids, len(own))]]
@@ -173,24 +196,23 @@ def fit(docs: DataFrame, per_language: int = 400, centroids: int = 4, rounds: in
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_language / n))]), F.col("lang"))
     chosen = usable.where(F.col("lang").isin(list(sizes))).where(place < share).select("text", "lang")
-    fields = "counts array<binary>, slots array<binary>, lang string"
-    table = chosen.mapInArrow(_sample_counts, fields).limit(2 * per_language * len(sizes)).toArrow()
-    samples: dict[str, list] = {}
-    for c, s, lang in zip(*(table.column(n).to_pylist() for n in ("counts", "slots", "lang")), strict=True):
-        samples.setdefault(lang, []).append(list(zip(c, s, strict=True)))
+    table = chosen.mapInArrow(_sample_counts, "pieces binary, lang string").limit(2 * per_language * len(sizes)).toArrow()
+    samples: dict[str, list[bytes]] = {}
+    for packed, lang in zip(*(table.column(n).to_pylist() for n in ("pieces", "lang")), strict=True):
+        samples.setdefault(lang, []).append(packed)
+    del table
     if not samples:
         return None
     held = np.zeros(DIMS, np.int64)
     for own in samples.values():
-        own.sort()
-        for pieces in own:
-            held[np.frombuffer(pieces[0][1], "<u2")] += 1
+        for packed in own:
+            held[np.frombuffer(_unpacked(packed)[0][1], "<u2")] += 1
     idf = np.log((1 + sum(map(len, samples.values()))) / (1 + held)).astype(np.float32) + np.float32(0.1)
     model = LanguageModel(idf, np.zeros((0, DIMS), np.float32), np.zeros(0, np.int64), sorted(samples), np.zeros(0))
     found, owner, bounds = [], [], []
     for number, language in enumerate(model.languages):
-        own = samples[language]
-        vectors = model.vectors(_dense([pieces[0] for pieces in own]))
+        own = sorted(map(_unpacked, samples.pop(language)))
+        vectors = _sample_vectors(model, [pieces[0] for pieces in own])
         found.append(_centres(vectors, centroids, rounds))
         owner += [number] * len(found[-1])
         # Copies are in one half, as it follows from what they hold.
