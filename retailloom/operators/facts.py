@@ -9,30 +9,29 @@ from retailloom.functions import date_key, percent_of, surrogate_key
 from retailloom.operators.joins import left_join, per_key
 
 
-def returns_agg(returns: DataFrame, statuses: list[str] | None = None) -> DataFrame:
-    """Return count and refunds per sale. All statuses count unless some are named."""
+def returns_agg(returns: DataFrame, statuses: list[str] | None = None, dealt_by: str | None = None) -> DataFrame:
+    """Return count and refunds per sale, and per ``dealt_by`` if given. All statuses count unless some are named."""
     if statuses is not None:
         returns = returns.where(F.col("status").isin(statuses))
-    return per_key(
-        returns,
-        "sale_id",
-        F.count(F.lit(1)).alias("return_count"),
-        F.sum("refund_amount").alias("total_refund_amount"),
-    )
+    sums = F.count(F.lit(1)).alias("return_count"), F.sum("refund_amount").alias("total_refund_amount")
+    return returns.groupBy(dealt_by, "sale_id").agg(*sums) if dealt_by else per_key(returns, "sale_id", *sums)
 
 
-def fact_sales(sales: DataFrame, returns: DataFrame, statuses: list[str] | None = None) -> DataFrame:
+def fact_sales(sales: DataFrame, returns: DataFrame, statuses: list[str] | None = None, dealt_by: str | None = None) -> DataFrame:
     """One row per sale, net of its returns."""
-    return fact_sales_rows(sales, returns, statuses).select(*fact_sales_columns())
+    return fact_sales_rows(sales, returns, statuses, dealt_by).select(*fact_sales_columns())
 
 
-def fact_sales_rows(sales: DataFrame, returns: DataFrame, statuses: list[str] | None = None) -> DataFrame:
+def fact_sales_rows(sales: DataFrame, returns: DataFrame, statuses: list[str] | None = None, dealt_by: str | None = None) -> DataFrame:
     """Sales with the sums of their returns, before keys are hashed.
 
     The many side is aggregated first, so the join cannot multiply sales.
+    ``dealt_by`` names a column of both by which their rows are dealt to tasks already, and which is
+    equal and not NULL wherever sale ids are equal: they are then joined where they are, without another shuffle.
     """
     needed = [c for c in sales.columns if c != "product_name"]
-    return sales.select(*needed).join(returns_agg(returns, statuses), "sale_id", "left")
+    on = [dealt_by, "sale_id"] if dealt_by else "sale_id"
+    return sales.select(*needed).join(returns_agg(returns, statuses, dealt_by), on, "left").drop(*[dealt_by] * bool(dealt_by))
 
 
 def fact_sales_columns() -> list[Column | str]:

@@ -39,10 +39,15 @@ class Warehouse:
         as_of,
         calendar: tuple[str, str] | None = None,
         source: Callable[[str], DataFrame] | None = None,
+        build_dealt: Callable[[str], DataFrame] | None = None,
+        dealt_by: str | None = None,
     ):
-        """``build_raw`` gives a raw table by name; ``calendar`` fixes the date range, else it follows the facts."""
+        """``build_raw`` gives a raw table by name; ``calendar`` fixes the date range, else it follows the facts.
+
+        ``build_dealt`` gives sales or returns as they are built, with the column ``dealt_by`` by whose values their rows lie together.
+        """
         self.spark, self.build_raw, self.root, self.as_of = spark, build_raw, root, as_of
-        self.calendar, self.source = calendar, source
+        self.calendar, self.source, self.build_dealt, self.dealt_by = calendar, source, build_dealt, dealt_by
         self._lock, self._pending = Lock(), {}
 
     def _once(self, name: str, make: Callable[[], object]):
@@ -83,6 +88,18 @@ class Warehouse:
     def staged(self, view: str) -> DataFrame:
         return staging.stage(self.raw(staging.VIEWS[view].raw), view)
 
+    def _known(self, name: str) -> bool:
+        with self._lock:
+            return f"table {name}" in self._pending
+
+    def net_sales(self, join: Callable[..., DataFrame]) -> DataFrame:
+        """``join`` of staged sales and returns. Where neither is stored yet, their definitions are joined as they are built,
+        order by order, so sales are neither stored in between nor shuffled again by their ids."""
+        views = "stg_sales", "stg_returns"
+        if self.build_dealt is None or any(self._known(staging.VIEWS[v].raw) for v in views):
+            return join(*(self.staged(v) for v in views))
+        return join(*(staging.stage(self.build_dealt(staging.VIEWS[v].raw), v, [self.dealt_by]) for v in views), dealt_by=self.dealt_by)
+
     def mart(self, name: str) -> DataFrame:
         return self._materialise(name, lambda: self._build_mart(name))
 
@@ -92,8 +109,7 @@ class Warehouse:
         A question that needs few columns then neither hashes nor lays out the whole fact. Who names the ``columns``
         gets sales without their returns where none of these hangs on returns.
         """
-        with self._lock:
-            stored = f"table {name}" in self._pending
+        stored = self._known(name)
         if not stored and name == "fact_sales" and columns is not None and not set(facts.OF_RETURNS) & set(columns):
             return facts.fact_sales_apart(self.staged("stg_sales"))
         return self.mart(name) if stored else self._build_mart(name).select(*self._fact_columns(name))
@@ -116,7 +132,7 @@ class Warehouse:
             return dimensions.dim_date(dimensions.calendar_bounds_of(*dated))
         # Facts as rows whose keys are hashed only when they are written.
         if name == "fact_sales":
-            return facts.fact_sales_rows(self.staged("stg_sales"), self.staged("stg_returns"))
+            return self.net_sales(facts.fact_sales_rows)
         if name == "fact_returns":
             return facts.fact_returns_rows(self.staged("stg_returns"), self.staged("stg_sales"))
         if name == "fct_sales_realtime":
@@ -165,5 +181,7 @@ def warehouse_for(spark: SparkSession, sf_dir: str, as_of) -> Warehouse:
             return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
         root = scratch_path(spark, "warehouse")
-        _open[key] = Warehouse(spark, lambda entity: orders_model.build(entity, source), root, as_of, ORDERS_CALENDAR, source)
+        _open[key] = Warehouse(
+            spark, lambda entity: orders_model.build(entity, source), root, as_of, ORDERS_CALENDAR, source,
+            lambda entity: orders_model.build(entity, source, [orders_model.DEALT_BY]), orders_model.DEALT_BY)
     return _open[key]

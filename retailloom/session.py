@@ -25,6 +25,8 @@ TABLE_CONF = {
     "spark.sql.execution.replaceHashWithSortAgg": "true",
     # Packed tables are larger in memory; joins should not broadcast them by their size on disk.
     "spark.sql.sources.fileCompressionFactor": "4.0",
+    # Sales and returns that lie by order are joined by order and sale id where they are, without another shuffle.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

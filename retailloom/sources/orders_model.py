@@ -6,7 +6,7 @@ reduces inside the tasks first and no group's rows are ever gathered.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,6 +87,7 @@ def sales(source: Source) -> DataFrame:
         F.when(F.col("o_orderpriority") != "5-LOW", _id("ST", "c_nationkey")).alias("store_id"),
         F.col("n_name").alias("country"),
         _hours_after(F.col("o_orderdate"), 1).alias("created_at"),
+        "l_orderkey",
     )
 
 
@@ -123,6 +124,7 @@ def returns(source: Source) -> DataFrame:
         F.when(status == "F", "Approved").otherwise("Pending").alias("status"),
         F.lit(None).cast("string").alias("notes"),
         _hours_after(F.col("shipped"), 6).alias("created_at"),
+        "l_orderkey",
     )
 
 
@@ -333,8 +335,12 @@ BUILDERS = {
 }
 
 
-def build(entity: str, source: Source) -> DataFrame:
-    """The raw table with its declared column order and types."""
+#: What sales and returns are dealt by while they are built. A sale id holds it, so equal sale ids mean equal order keys.
+DEALT_BY = "l_orderkey"
+
+
+def build(entity: str, source: Source, beside: Sequence[str] = ()) -> DataFrame:
+    """The raw table with its declared column order and types, and further columns ``beside`` it."""
     table = raw_table(entity)
     rows = BUILDERS[entity](source)
-    return rows.select(*(F.col(c.name).cast(c.spark_type).alias(c.name) for c in table.columns))
+    return rows.select(*(F.col(c.name).cast(c.spark_type).alias(c.name) for c in table.columns), *beside)

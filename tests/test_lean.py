@@ -175,3 +175,27 @@ def test_many_repeated_keys_are_counted_by_value_in_one_shuffle(spark, no_broadc
             assert few or "Join" not in plan_of(counted)
         assert results == [{0: 1, 1: 1, 2: 2}] * 3
         monkeypatch.undo()
+
+
+def test_sales_not_stored_yet_meet_their_returns_where_they_are_built(spark, path, no_broadcast):
+    tables = {name: orders(spark)(name) for name in ("lineitem", "orders", "customer", "nation")}
+    # An order known twice; a line below zero, and one returned in two states.
+    tables["orders"] = tables["orders"].union(tables["orders"].where("o_orderkey = 3"))
+    one = tables["lineitem"].where("l_orderkey = 3 and l_linenumber = 1")
+    again = one.withColumns({"l_linestatus": F.lit("O"), "l_linenumber": F.lit(-1)})
+    tables["lineitem"] = tables["lineitem"].union(one.withColumn("l_linestatus", F.lit("O"))).union(again)
+
+    def warehouse(name, *dealt):
+        return Warehouse(spark, lambda e: orders_model.build(e, tables.get), path(name), "2002-01-01 00:00:00", None, None, *dealt)
+
+    dealt = warehouse("dealt", lambda e: orders_model.build(e, tables.get, [orders_model.DEALT_BY]), orders_model.DEALT_BY)
+    fact = dealt.net_sales(facts.fact_sales)
+    plan = plan_of(fact)
+    assert "hashpartitioning(sale_id" not in plan and "sale_id#" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+    assert not os.path.exists(path("dealt"))
+    plain = warehouse("plain").net_sales(facts.fact_sales)
+    assert fact.columns == plain.columns and plain.count() == 35
+    assert fact.exceptAll(plain).count() == plain.exceptAll(fact).count() == 0
+    assert sorted(r.return_count for r in fact.where("return_count > 0 and sale_id like 'S3-%'").collect()) == [2, 2, 4, 4]
+    dealt.raw("sales")
+    assert dealt.net_sales(facts.fact_sales).exceptAll(plain).count() == 0
