@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from retailloom.session import prepare, scratch_path
@@ -42,27 +42,33 @@ def components(edges: DataFrame, label: str = "components", rounds: int = 40) ->
 
     Alternates two steps until no edge changes: every node hands its larger
     neighbours to the smallest of its neighbourhood, then its smaller ones. Each
-    round is a grouped minimum and a join, both splittable, and is stored.
-    Self-edges and repeats do no harm; NULL ends are dropped.
+    round is a grouped minimum and a join, both splittable, and is stored once, its state told as it is written.
+    Edges that are stars already take one round. Self-edges and repeats do no harm; NULL ends are dropped.
     """
-    edges = stored(
+    edges, seen = _with_state(
         edges.where("a is not null and b is not null and a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
-    seen = None
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.union(least.where("low < a").select("a", F.col("low").alias("b"))).distinct()
+        # An edge and a node give one row each at most, so repeats need not go before the round's end.
+        large = large.union(least.where("low < a").select("a", F.col("low").alias("b")))
         floor = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(floor, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        edges = stored(small.union(floor.select("a", F.col("low").alias("b"))).distinct(), label)
-        state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if (state.n, state.s) == seen:
+        before = seen
+        edges, seen = _with_state(small.union(floor.select("a", F.col("low").alias("b"))).distinct(), label)
+        if seen == before:
             break
-        seen = (state.n, state.s)
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     stars = edges.groupBy("a").agg(F.min("b").alias("component"))
     roots = stars.select(F.col("component").alias("node")).distinct()
     return stars.withColumnRenamed("a", "node").union(roots.select("node", F.col("node").alias("component")))
+
+
+def _with_state(edges: DataFrame, label: str) -> tuple[DataFrame, dict]:
+    """The edges, stored, and what tells them from others: their number and the sum of their hashes."""
+    seen = Observation()
+    hashes = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    return stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), hashes.alias("s")), label), seen.get
