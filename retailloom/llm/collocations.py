@@ -30,6 +30,9 @@ _ROUNDS = 4
 #: Ids have at most so many bits, so that the remainder of three fits 64.
 ID_BITS = 32
 
+# A reader holds whole row groups, so a shard is one of its own.
+_ONE_BY_ONE = {"parquet.block.row.count.limit": "1"}
+
 _SHARD = "shard long, lang string, words array<string>, counts array<long>, codes array<int>"
 _FILTER = "lang string, size int, part int, slots long, gaps binary, gap_more array<long>, remainders binary, counts binary, count_more array<long>"
 _COUNTED = "lang string, size int, first long, second long, third long, a long"
@@ -255,7 +258,7 @@ def phrases(docs: DataFrame, least: int = 10, shard_bytes: int = 4 << 20, merge_
     """
     spark = ready(docs.sparkSession)
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    shards = stored(texts.mapInArrow(_sharded(shard_bytes), _SHARD), "shards")
+    shards = stored(texts.mapInArrow(_sharded(shard_bytes), _SHARD), "shards", **_ONE_BY_ONE)
     pairs = shards.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     counted = pairs.groupBy("lang", "word").agg(F.sum("n").alias("f"))
     totals = stored(shards.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n")), "totals")

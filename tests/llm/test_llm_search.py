@@ -4,9 +4,11 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from urllib.parse import urlparse
 
 import brute
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from retailloom.llm import collocations, lexical, neighbours
@@ -110,6 +112,16 @@ def test_scores_of_large_counts_are_exact(spark):
     assert [r.score for r in df.collect()] == [10**6 * a * a // (left * right) for a, left, right in cases]
 
 
+def test_a_reader_holds_one_shard_at_a_time(spark, monkeypatch):
+    df = spark.createDataFrame([(f"one two three w{i} " * 20, f"l{i % 10}") for i in range(30)], "text string, lang string").coalesce(1)
+    seen, store = {}, collocations.stored
+    monkeypatch.setattr(collocations, "stored", lambda df, label, *a, **how: seen.setdefault(label, store(df, label, *a, **how)))
+    collocations.phrases(df, 3)
+    files = [pq.ParquetFile(urlparse(f).path).metadata for f in seen["shards"].inputFiles()]
+    assert max(f.num_rows for f in files) == 10
+    assert all(f.num_row_groups == f.num_rows for f in files)
+
+
 def test_no_documents_no_collocations(spark):
     df = spark.createDataFrame([], "text string, lang string")
     assert collocations.collocations(df).count() == 0
