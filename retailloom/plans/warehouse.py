@@ -136,7 +136,7 @@ class Warehouse:
         if name == "fact_returns":
             return facts.fact_returns_rows(self.staged("stg_returns"), self.staged("stg_sales"))
         if name == "fct_sales_realtime":
-            return self.staged("stg_stream_sales")
+            return self.staged("stg_stream_sales").drop("product_name")
         raise ValueError(f"unknown table {name!r}")
 
     def _fact_columns(self, name: str) -> list:

@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 import posixpath
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from threading import Lock
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -129,6 +131,32 @@ def load_upsert(spark: SparkSession, df: DataFrame, source: str | list[str], tar
 
 #: The folder column of clustered tables: the month of their day, as yyyymm.
 MONTH = "clustered_month"
+#: The rows of a full refresh are laid out in so many parts, one after another, each of whole months.
+SLICES, _SLICE = 4, "clustered_slice"
+
+#: Takes the shuffle files of a query away when it ends.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_tidying, _tidy_lock = {"depth": 0, "before": None}, Lock()
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of each query within are gone when it ends, not when the driver happens to collect its garbage.
+
+    For writes and frames that are asked once: one that is asked again has to shuffle anew.
+    """
+    with _tidy_lock:
+        if not _tidying["depth"]:
+            _tidying["before"] = spark.conf.get(_TIDY, None)
+            spark.conf.set(_TIDY, "true")
+        _tidying["depth"] += 1
+    try:
+        yield
+    finally:
+        with _tidy_lock:
+            _tidying["depth"] -= 1
+            if not _tidying["depth"]:
+                spark.conf.unset(_TIDY) if _tidying["before"] is None else spark.conf.set(_TIDY, _tidying["before"])
 
 
 def _month(day: Column) -> Column:
@@ -150,9 +178,27 @@ def write_clustered(
     twice. Adaptive execution cuts a month holding much of the data into several
     files and merges small months into one task. Rows without a day have a folder of their own.
     ``columns`` are what is written, worked out of ``df`` after the shuffle: wide hashes are not shuffled.
+
+    The rows are stored packed first, apart by ``SLICES`` groups of months, and each group is laid out by itself: the
+    disk then never holds what ``df`` shuffles, the shuffle of all rows and the table at once.
     """
-    laid_out = _by_month(df, day, sort_by, columns)
-    return counted_write(laid_out, lambda d: d.write.mode("overwrite").option("compression", "zstd").partitionBy(MONTH).parquet(target))
+    spark = df.sparkSession
+    path, written = scratch_path(spark, "unclustered"), 0
+    apart = df.withColumn(_SLICE, F.coalesce(F.pmod(_month(F.col(day)), F.lit(SLICES)), F.lit(0)))
+    with tidy(spark):
+        apart.write.option("compression", "zstd").partitionBy(_SLICE).parquet(path)
+        rows = spark.read.schema(T.StructType([*df.schema, T.StructField(_SLICE, T.IntegerType())])).parquet(path)
+        try:
+            for part in range(SLICES):
+                laid_out = _by_month(rows.where(F.col(_SLICE) == part).drop(_SLICE), day, sort_by, columns)
+                written += counted_write(laid_out, lambda d, mode="append" if part else "overwrite": d.write.mode(mode)
+                                         .option("compression", "zstd").partitionBy(MONTH).parquet(target))
+                manifest.remove(spark, f"{path}/{_SLICE}={part}")
+        except BaseException:
+            manifest.remove(spark, target)  # no table rather than some of its months
+            raise
+    manifest.remove(spark, path)
+    return written
 
 
 def rewrite_months(
@@ -163,13 +209,15 @@ def rewrite_months(
     ``df`` must hold these months whole (see :func:`whole_months`) and must not read ``target``. Repeating it changes nothing.
     """
     laid_out = _by_month(df, day, sort_by, columns)
-    return counted_write(laid_out, lambda d: d.write.mode("overwrite").option("compression", "zstd")
-                         .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(target))
+    with tidy(df.sparkSession):
+        return counted_write(laid_out, lambda d: d.write.mode("overwrite").option("compression", "zstd")
+                             .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(target))
 
 
 def whole_months(rows: DataFrame, day: str, fresh: DataFrame, fresh_day: str) -> DataFrame:
     """The rows of every month in which ``fresh`` has a day: what has to be built anew after it arrived."""
-    months = [r[0] for r in fresh.select(_month(F.col(fresh_day).cast("date"))).distinct().collect()]  # one row per month
+    with tidy(fresh.sparkSession):
+        months = [r[0] for r in fresh.select(_month(F.col(fresh_day).cast("date"))).distinct().collect()]  # one row per month
     known = [m for m in months if m is not None]
     wanted = _month(F.col(day).cast("date")).isin(known) if known else F.lit(False)
     return rows.where(wanted | F.col(day).isNull() if None in months else wanted)

@@ -1,8 +1,10 @@
 """Tables in folders by month: what a day's query reads, and what a new day rewrites."""
 
 import os
+import time
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 from rows import plan_of
 
@@ -66,3 +68,41 @@ def test_rows_without_a_day(spark, path):
     writers.rewrite_months(writers.whole_months(whole, "day", more, "day"), path("t"), "day")
     assert everything(writers.read_clustered(spark, path("t"), df.schema, "day")) == everything(whole)
     assert writers.whole_months(whole, "day", more.limit(0), "day").count() == 0
+
+
+def shuffle_files(spark):
+    found = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_a_full_refresh_is_laid_out_in_parts_that_leave_nothing_behind(spark, path, monkeypatch):
+    df = rows(spark).unionByName(spark.createDataFrame([(9001, None, 1)], SCHEMA)).repartition(3)
+    held, parts, lay_out = shuffle_files(spark), [], writers._by_month
+    monkeypatch.setattr(writers, "scratch_path", lambda spark, label: path(label))
+    monkeypatch.setattr(writers, "_by_month", lambda df, *args: (parts.append(everything(df)), lay_out(df, *args))[1])
+    assert writers.write_clustered(df, path("t"), "day") == 601
+    assert everything(writers.read_clustered(spark, path("t"), df.schema, "day")) == everything(df)
+    assert len(parts) == writers.SLICES and sum(map(len, parts)) == 601 and max(map(len, parts)) < 300
+    months = [{r[1] and r[1].month for r in part} for part in parts]
+    assert sum(map(len, months)) == len(set().union(*months)) == 5
+    assert not os.path.exists(path("unclustered")) and spark.conf.get(writers._TIDY) == "false"
+    monkeypatch.undo()
+    writers.rewrite_months(writers.whole_months(df, "day", df.where("id = 1"), "day"), path("t"), "day")
+    held |= shuffle_files(spark)  # what the test itself asked for is not taken away
+    writers.write_clustered(df, path("t"), "day")
+    for _ in range(50):
+        if shuffle_files(spark) <= held:
+            break
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= held
+
+
+def test_an_empty_refresh_empties_and_a_failed_one_leaves_no_part(spark, path):
+    df = rows(spark)
+    writers.write_clustered(df, path("t"), "day")
+    writers.write_clustered(df.limit(0), path("t"), "day")
+    assert everything(writers.read_clustered(spark, path("t"), df.schema, "day")) == []
+    bad = F.when(F.month("day") == 11, F.raise_error(F.lit("no such day"))).otherwise(F.col("v")).cast("int").alias("v")
+    with pytest.raises(Exception, match="no such day"):
+        writers.write_clustered(df, path("t"), "day", None, ["id", "day", bad])
+    assert not os.path.exists(path("t")) and spark.conf.get(writers._TIDY) == "false"
